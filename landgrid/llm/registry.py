@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from landgrid.llm.fingerprint import op10_fingerprint
 from landgrid.llm.html_extract import op1_html_extract
+from landgrid.llm.packing import op7_packing
 
 QUERIES = {
     "op1_html_extract": op1_html_extract,
+    "op7_packing": op7_packing,
+    "op10_fingerprint": op10_fingerprint,
 }
 
 ORACLES: dict[str, str] = {}
