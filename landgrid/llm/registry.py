@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from landgrid.llm.fingerprint import op10_fingerprint
 from landgrid.llm.html_extract import op1_html_extract
+from landgrid.llm.mixing import op2_mixing
 from landgrid.llm.packing import op7_packing
 
 QUERIES = {
     "op1_html_extract": op1_html_extract,
+    "op2_mixing": op2_mixing,
     "op7_packing": op7_packing,
     "op10_fingerprint": op10_fingerprint,
 }
