@@ -20,6 +20,7 @@ rows; sequence ids are dense from 0 and the same on each run.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ from landgrid.llm.common import written
 WINDOW = 4096
 END_ID = 2
 #: Entries of a worker's memo of chunk -> ids; it is emptied when full.
-MEMO = 200_000
+MEMO = 600_000
 #: Bytes of text that are split at a time.
 SPLIT_BYTES = 1 << 20
 #: Rows of one length that one task may rank.
@@ -46,32 +47,82 @@ SALTS = 64
 PIECE_FIELDS = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
 
 
+#: Chunks of Latin letters, perhaps with punctuation at the end: two units of the word pattern, apart by definition.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+WORD_END = "</w>"
+
+
 class Encoder:
     """ids of whole texts as bytes of little-endian unsigned 32-bit numbers.
 
     With ``chunked``, texts are cut at ASCII white space and each different chunk
     is encoded once: right for tokenizers that drop white space and never join
-    what it separates.
+    what it separates. Chunks of letters and closing punctuation are put together
+    from their two parts; new words are encoded in one call and told apart by the
+    ids that end a word.
     """
 
     def __init__(self, path: str, chunked: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.chunked, self.memo = Tokenizer.from_file(path), chunked, {}
+        self.tokenizer, self.chunked = Tokenizer.from_file(path), chunked
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.memo: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.batch(texts, add_special_tokens=False)]
 
+    def _learn_words(self, new: list[str]) -> None:
+        """Words of letters alone: each ends with the one id that ends a word."""
+        for a in range(0, len(new), 4096):
+            part = new[a : a + 4096]
+            ids = np.array(self.batch([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part) or cuts[-1] != len(ids):
+                self.words.update(zip(part, self._encode(part)))
+                continue
+            flat = ids.tobytes()
+            at = 0
+            for word, end in zip(part, (4 * cuts).tolist()):
+                self.words[word] = flat[at:end]
+                at = end
+
+    def _learn(self, new: set[bytes]) -> None:
+        plain, other, parts = [], [], []
+        for chunk in new:
+            m = _PLAIN.fullmatch(chunk)
+            if m:
+                plain.append(chunk)
+                parts.append((m[1].decode().lower(), m[2].decode()))
+            else:
+                other.append(chunk)
+        words = self.words
+        self._learn_words(list({w for w, _ in parts if w not in words}))
+        tails = [t for t in {t for _, t in parts} if t not in words]
+        words.update(zip(tails, self._encode(tails)))
+        self.memo.update((chunk, words[w] + words[t]) for chunk, (w, t) in zip(plain, parts))
+        self.memo.update(zip(other, self._encode([c.decode() for c in other])))
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.chunked:
             return self._encode([t.decode() for t in texts])
         split = [t.split() for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = list({c for chunks in split for c in chunks if c not in self.memo})
-        self.memo.update(zip(new, self._encode([c.decode() for c in new])))
+        if len(self.memo) + len(self.words) > MEMO:
+            self.clear()
+        new: set[bytes] = set()
+        for chunks in split:
+            new.update(chunks)
+        new.difference_update(self.memo)
+        if new:
+            self._learn(new)
         get = self.memo.__getitem__
         return [b"".join(map(get, chunks)) for chunks in split]
 
