@@ -65,12 +65,15 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < 3, F.lit(0)).otherwise(let(windows, covered))
 
 
-def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs without the text, with the five counts, n_lines and base_failed."""
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+
+
+def counts(text_col: str = "text") -> Column:
+    """A struct of the counts of a text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
 
-    def stats(words: Column) -> Column:
+    def of(words: Column) -> Column:
         return let(
             lines,
             lambda own: F.struct(
@@ -83,10 +86,13 @@ def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
             ),
         )
 
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-    rest = [c for c in docs.columns if c != text_col and c not in (*names, "base_failed")]
-    rows = docs.select(*rest, let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), stats).alias("_s"))
-    rows = rows.select(*rest, *[F.col(f"_s.{n}").cast("long").alias(n) for n in names])
+    return let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), of)
+
+
+def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs without the text, with the counts and base_failed."""
+    rest = [c for c in docs.columns if c != text_col and c not in (*COUNTS, "base_failed")]
+    rows = docs.select(*rest, counts(text_col).alias("_s")).select(*rest, *[F.col(f"_s.{n}").cast("long").alias(n) for n in COUNTS])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
@@ -98,17 +104,24 @@ def vectors(stats: DataFrame) -> DataFrame:
     return stats.withColumns({x: F.round(v * SCALE).cast("long") for x, v in zip(VECTOR, values)})
 
 
-def grouped(rows: DataFrame, least: int = LEAST) -> DataFrame:
-    """Add _group: language and source, or what is pooled for want of rows; null where nothing can be estimated."""
-    own, lang = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
-    sizes = written(rows.groupBy(own.alias("_own"), lang.alias("_lang")).agg(F.count("*").alias("_n")), "groups")
+def _own() -> Column:
+    return F.to_json(F.struct("lang", "source"))
+
+
+def group_names(rows: DataFrame, least: int = LEAST) -> DataFrame:
+    """(_own, _group): for each language and source its group, or what is pooled for want of rows; null where nothing can be estimated."""
+    sizes = written(rows.groupBy(_own().alias("_own"), F.to_json(F.struct("lang")).alias("_lang")).agg(F.count("*").alias("_n")), "groups")
     small = F.when(F.col("_n") < least, F.col("_n")).otherwise(0)
     pooled = sizes.withColumn("_rest", F.sum(small).over(Window.partitionBy("_lang")))
     last = F.when((F.col("_n") < least) & (F.col("_rest") < least), F.col("_n")).otherwise(0)
     pooled = pooled.withColumn("_last", F.sum(last).over(Window.partitionBy()))
     group = F.when(F.col("_n") >= least, F.col("_own")).when(F.col("_rest") >= least, F.concat(F.lit("rest "), F.col("_lang"))).when(F.col("_last") >= least, F.lit("rest"))
-    named = written(pooled.select("_own", group.alias("_group")), "group_names")
-    return rows.withColumn("_own", own).join(named, "_own").drop("_own")
+    return written(pooled.select("_own", group.alias("_group")), "group_names")
+
+
+def grouped(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Add _group; rows of no group keep null."""
+    return rows.withColumn("_own", _own()).join(names, "_own", "left").drop("_own")
 
 
 def _moments() -> list[Column]:
@@ -181,17 +194,29 @@ def fit(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     return written(now.withColumn("_best", best).where("_best = 1").drop("_best", "start"), "mcd")
 
 
-def judged(stats: DataFrame, cutoff: float = CUTOFF, least: int = LEAST) -> DataFrame:
-    """Add distance (null where the base rule failed or nothing could be estimated) and kept."""
-    passed = grouped(vectors(stats.where(~F.col("base_failed"))), least)
-    near = passed.join(fit(passed), "_group", "left").withColumn("distance", _distance())
-    near = near.select(*stats.columns, "distance", (F.coalesce("distance", F.lit(0.0)) <= cutoff).alias("kept"))
-    failed = stats.where("base_failed").select(*stats.columns, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
-    return near.unionByName(failed)
+def estimated(stats: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """Group names and estimates from the rows of stats that pass the base rule."""
+    passed = vectors(stats.where(~F.col("base_failed")))
+    names = group_names(passed, least)
+    return names, fit(grouped(passed, names))
+
+
+def judged(stats: DataFrame, names: DataFrame, estimates: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """Add distance (null where the base rule failed or nothing could be estimated) and kept; both other tables are small."""
+    rows = grouped(vectors(stats), names).join(estimates, "_group", "left")
+    rows = rows.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    return rows.select(*stats.columns, "distance", (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"))
+
+
+def keep_passing(docs: DataFrame, cutoff: float = CUTOFF, least: int = LEAST) -> DataFrame:
+    """The rows of docs that are kept, with all their columns; texts are read twice and never shuffled."""
+    tables = estimated(written(counted(docs.select("text", "lang", "source")), "counts"), least)
+    rows = counted(docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source"))
+    return judged(rows, *tables, cutoff).where("kept").select("_row.*")
 
 
 def op4_outliers(spark, sf_dir: str) -> DataFrame:
     """Counts and verdict for every row of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     stats = written(counted(docs), "counts")
-    return judged(stats).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+    return judged(stats, *estimated(stats)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")

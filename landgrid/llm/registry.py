@@ -7,6 +7,7 @@ from landgrid.llm.html_extract import op1_html_extract
 from landgrid.llm import licenses, quotations
 from landgrid.llm.licenses import op3_licenses
 from landgrid.llm.mixing import op2_mixing
+from landgrid.llm.ngram_join import op8_ngram_join
 from landgrid.llm.outliers import op4_outliers
 from landgrid.llm.packing import op7_packing
 from landgrid.llm.quality import op5_quality
@@ -21,11 +22,13 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
+    "op8_ngram_join": op8_ngram_join,
     "op9_quotations": op9_quotations,
     "op10_fingerprint": op10_fingerprint,
 }
 
 ORACLES: dict[str, str] = {
     "op3_licenses": licenses.oracle(),
+    "op8_ngram_join": op8_ngram_join,
     "op9_quotations": quotations.ORACLE,
 }

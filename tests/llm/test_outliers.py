@@ -1,8 +1,14 @@
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from landgrid.llm.outliers import CUTOFF, LEAST, counted, judged
+from landgrid.llm.outliers import CUTOFF, LEAST, counted, estimated, keep_passing
+from landgrid.llm.outliers import judged as judge
+
+
+def judged(stats):
+    return judge(stats, *estimated(stats))
 
 
 def brute_counts(text):
@@ -41,6 +47,8 @@ def test_outliers_go_and_clean_rows_stay(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, bad boolean")
     for r in judged(counted(df)).collect():
         assert r.kept == (not r.bad), r
+    kept = keep_passing(df.withColumn("n_words", F.lit("clash")))
+    assert kept.columns == [*df.columns, "n_words"] and sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in rows if not r[4])
     again = sorted((r.doc_id, r.distance) for r in judged(counted(df.repartition(7))).collect())
     assert again == sorted((r.doc_id, r.distance) for r in judged(counted(df)).collect())
 
