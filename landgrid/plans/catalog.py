@@ -1,15 +1,776 @@
-"""The registered queries of the land-record engine and their oracle SQL."""
+"""The registered queries of the land-record engine and their oracle SQL.
+
+A query is a name, its output columns with types, a Spark function over the
+engine's views, and independent SQL over the same views where SQL can say it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from landgrid.functions import fields, geometry
+from landgrid.operators import cascade, detections, mining, reconcile, reports, sampling, status, tokens
+from landgrid.plans.views import view, with_views
+from landgrid.streaming import streams
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+TYPES = {"s": ("string", "varchar"), "l": ("bigint", "bigint"), "d": ("double", "double"), "b": ("boolean", "boolean")}
+
+
+def query(name: str, columns: str, views: str = "", sql: str | None = None):
+    """Register a function of views; columns are "name:type" with s, l, d or b. Doubles are rounded to 6 places."""
+    spec = [c.split(":") for c in columns.split()]
+
+    def register(f: Callable) -> Callable:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            own = [view(spark, sf_dir, v) for v in views.split()]
+            df = f(*own) if views else f(spark, sf_dir)
+            cast = lambda n, t: F.round(F.col(n).cast("double"), 6) if t == "d" else F.col(n).cast(TYPES[t][0])
+            return df.select(*[cast(n, t).alias(n) for n, t in spec])
+
+        run.__doc__ = f.__doc__
+        QUERIES[name] = run
+        if sql is not None:
+            body = with_views(sql, *views.split()) if views else sql
+            cast = lambda n, t: f"round({n}::double, 6)" if t == "d" else f"{n}::{TYPES[t][1]}"
+            ORACLES[name] = f"select {', '.join(f'{cast(n, t)} as {n}' for n, t in spec)} from ({body}) q"
+        return f
+
+    return register
+
+
+def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+# --- fields and geometry -----------------------------------------------------
+
+
+@query("q_index_summary", "n:l mb:d collections:l min_year:l max_year:l", "records", "select count(*) n, sum(file_size_bytes) / 1048576e0 mb, count(distinct collection_num) collections, min(year) min_year, max(year) max_year from records")
+def _(records):
+    """Size and span of an index."""
+    return reports.index_summary(records)
+
+
+DIRTY = """
+select rec_id,
+  case rec_id % 7 when 0 then concat(' S ', section) when 1 then concat(section, '.0') when 2 then concat('T', section) when 3 then 'x' when 4 then '99' when 5 then '' else cast(section as {s}) end as d_section,
+  case rec_id % 6 when 0 then concat('T ', twp, ' n') when 1 then concat('0', twp, 'N') when 2 then concat(twp, '.0') when 3 then 'S' when 4 then concat('township ', twp, ' S') else cast(twp as {s}) end as d_township,
+  case rec_id % 5 when 0 then 'not detected.' when 1 then concat(' ', lower(county), ' ') when 2 then concat(upper(county), '.,') when 3 then '---' else county end as d_county,
+  case rec_id % 5 when 0 then 'ne nw se' when 1 then 'NE/NW_SW' when 2 then 'NE-NW' when 3 then 'NE-NW-XX' else 'sw-se-ne' end as d_quadrant
+from records
+"""
+
+
+@query(
+    "q_norm_fields", "rec_id:l section:s township:s county:s quadrant:s", "records",
+    f"""--cte dirty as ({DIRTY.format(s='varchar')}), p as (
+      select *, try_cast(try_cast(regexp_replace(trim(d_section), '^[TRStrs]\\s*', '') as double) as int) sn,
+        regexp_replace(regexp_replace(upper(trim(d_township)), '^[TR]\\s*', ''), '\\.0+$', '') tw,
+        regexp_replace(trim(d_county), '[.,;]+$', '') co, upper(regexp_replace(trim(d_quadrant), '[\\s_/]+', '-', 'g')) qu from dirty)
+    select rec_id, case when sn between 1 and 36 then sn::varchar end section,
+      case when try_cast(nullif(regexp_extract(tw, '([0-9]+)', 1), '') as int) between 1 and 99 then regexp_extract(tw, '([0-9]+)', 1) || regexp_extract(tw, '([NS])', 1) end township,
+      case when co = '' or regexp_matches(lower(co), '^(not\\s+detected\\.?|none|n/?a|\\.+|unknown|-+)$') then null
+        else array_to_string(list_transform(string_split(lower(co), ' '), lambda w: upper(w[1]) || w[2:]), ' ') end county,
+      case when regexp_matches(qu, '^(NE|NW|SE|SW)-(NE|NW|SE|SW)-(NE|NW|SE|SW)$') then qu end quadrant from p""",
+)
+def _(records):
+    """Dirty survey fields to canonical ones."""
+    dirty = records.sparkSession.sql(DIRTY.format(s="string").replace("from records", "from {records}"), records=records)
+    return dirty.select("rec_id", fields.norm_section("d_section").alias("section"), fields.norm_township("d_township").alias("township"), fields.norm_county("d_county").alias("county"), fields.norm_quadrant("d_quadrant").alias("quadrant"))
+
+
+@query(
+    "q_parse_bounds", "rec_id:l reason:s", "records",
+    """--cte r as (select rec_id, section + case when rec_id % 10 = 1 then 36 else 0 end s, twp + case when rec_id % 10 = 2 then 28 else 0 end t, ns, rng + case when rec_id % 10 = 3 then 27 else 0 end r, ew from records)
+    select rec_id, case when s not between 1 and 36 then 'section_invalid:' || s when t is null or t < 1 then 'township_invalid:' || coalesce(t::varchar, 'None')
+      when ns = 'N' and t > 29 then 'township_N_too_high:' || t || '>29' when ns = 'S' and t > 8 then 'township_S_too_high:' || t || '>8' when ns is null and t > 29 then 'township_too_high:' || t
+      when r is null or r < 1 then 'range_invalid:' || coalesce(r::varchar, 'None') when ew = 'E' and r > 26 then 'range_E_too_high:' || r || '>26' when ew = 'W' and r > 28 then 'range_W_too_high:' || r || '>28'
+      when ew is null and r > 28 then 'range_too_high:' || r else 'ok' end reason from r""",
+)
+def _(records):
+    """The first bound that a record's survey fields break."""
+    moved = lambda c, k, by: (F.col(c) + F.when(F.col("rec_id") % 10 == k, by).otherwise(0))
+    return records.select("rec_id", fields.bounds_reason(moved("section", 1, 36), moved("twp", 2, 28), F.col("ns"), moved("rng", 3, 27), F.col("ew")).alias("reason"))
+
+
+@query(
+    "q_quadrant_roundtrip", "label:s row:l col:l back:s", "",
+    """select a || '-' || b || '-' || c label, 1 + ra * 4 + rb * 2 + rc as row, 1 + ca * 4 + cb * 2 + cc col, a || '-' || b || '-' || c back
+    from (values ('NW', 0, 0), ('NE', 0, 1), ('SW', 1, 0), ('SE', 1, 1)) x(a, ra, ca), (values ('NW', 0, 0), ('NE', 0, 1), ('SW', 1, 0), ('SE', 1, 1)) y(b, rb, cb), (values ('NW', 0, 0), ('NE', 0, 1), ('SW', 1, 0), ('SE', 1, 1)) z(c, rc, cc)""",
+)
+def _(spark, sf_dir):
+    """All 64 quadrant labels to cells and back."""
+    q = geometry.quadrants(spark).withColumn("_c", geometry.label_to_cell("label"))
+    return q.select("label", F.col("_c.row").alias("row"), F.col("_c.col").alias("col"), geometry.cell_to_label("_c.row", "_c.col").alias("back"))
+
+
+FORMS = ("well in NW SW NE of the lease", "NE/SW/NW 1/4 of sec", "located SE-NW only", "5W NE NW 1/4 noted", "no quadrant here")
+
+
+@query(
+    "q_extract_quadrant", "doc_id:l db_label:s levels:l confidence:l", "",
+    """select doc_id, case doc_id % 5 when 0 then 'NE-SW-NW' when 1 then 'NW-SW-NE' when 2 then 'NW-SE' when 3 then 'NW-NE-SW' end db_label, case doc_id % 5 when 2 then 2 when 4 then null else 3 end levels,
+      case doc_id % 5 when 0 then 85 when 1 then 98 when 2 then 45 when 3 then 90 end confidence from documents""",
+)
+def _(spark, sf_dir):
+    """Printed quadrants, fine to coarse, to labels."""
+    form = F.get(F.array(*map(F.lit, FORMS)), (F.col("doc_id") % 5).cast("int"))
+    q = fields.quadrant_of_text(form)
+    return parquet(spark, sf_dir, "documents").select("doc_id", q.alias("q")).select("doc_id", "q.db_label", "q.levels", "q.confidence")
+
+
+COORDINATES = (
+    "Latitude: 36.123456 Longitude: -97.654321", "Lat 36 30 15.5 N Long 97 45 30 W", "at 35.12345 and -98.76543 found", "-98.76543 then 35.12345", "Location: lat 35.5000 lon -97.2500", "lat 99.12345 lon -97.1234", "36 10 20 and nothing",
+)
+
+
+@query(
+    "q_latlon", "doc_id:l lat:d lon:d confidence:l method:s", "",
+    """select doc_id, case doc_id % 7 when 0 then 36.123456e0 when 1 then 36 + 30 / 60e0 + 15.5e0 / 3600e0 when 2 then 35.12345e0 when 3 then 35.12345e0 when 4 then 35.5e0 end lat,
+      case doc_id % 7 when 0 then -97.654321e0 when 1 then -(97 + 45 / 60e0 + 30 / 3600e0) when 2 then -98.76543e0 when 3 then -98.76543e0 when 4 then -97.25e0 end lon,
+      case doc_id % 7 when 0 then 95 when 1 then 90 when 2 then 75 when 3 then 70 when 4 then 97 end confidence,
+      case doc_id % 7 when 0 then 'labeled' when 1 then 'dms' when 2 then 'unlabeled' when 3 then 'unlabeled' when 4 then 'labeled' end as method from documents""",
+)
+def _(spark, sf_dir):
+    """Printed coordinates: labels, degrees-minutes-seconds, bare decimals."""
+    docs = parquet(spark, sf_dir, "documents").select("doc_id", F.get(F.array(*map(F.lit, COORDINATES)), (F.col("doc_id") % 7).cast("int")).alias("t"))
+    return docs.select("doc_id", fields.latlon("t").alias("x")).select("doc_id", "x.lat", "x.lon", "x.confidence", "x.method")
+
+
+BLOCKS = (
+    "Form 1002A\nLocation:\nALFALFA 36 28N 11W\nC SW SW\n660 FSL 660 FWL of 1/4 SEC", "Locate Well Correctly\nSEC 14 T5N R9W\nNW NE NW\n330 FNL\n330 F.E.L of SEC", "no block at all", "Location: ROGER MILLS\nNE\n2640 FSL",
+)
+
+
+@query(
+    "q_location_block", "doc_id:l county:s section:s township:s range:s quadrant:s x:d y:d", "",
+    """select doc_id, case doc_id % 4 when 0 then 'Alfalfa' end county, case doc_id % 4 when 0 then '36' when 1 then '14' end section, case doc_id % 4 when 0 then '28N' when 1 then '5N' end township,
+      case doc_id % 4 when 0 then '11W' when 1 then '9W' end as range, case doc_id % 4 when 0 then 'C SW SW' when 1 then 'NW NE NW' when 3 then 'NE' end quadrant,
+      case doc_id % 4 when 0 then 0.25e0 when 1 then 1 - 330 / 5280e0 end x, case doc_id % 4 when 0 then 0.75e0 when 1 then 330 / 5280e0 when 3 then 0.5e0 end y from documents""",
+)
+def _(spark, sf_dir):
+    """Location blocks and feet from section lines."""
+    docs = parquet(spark, sf_dir, "documents").select("doc_id", F.get(F.array(*map(F.lit, BLOCKS)), (F.col("doc_id") % 4).cast("int")).alias("t"))
+    b = docs.select("doc_id", fields.location_block("t").alias("b")).select("doc_id", "b.*")
+    rel = geometry.feet_to_rel("feet_fsl", "feet_fnl", "feet_fwl", "feet_fel", "feet_ref")
+    return b.select("doc_id", "county", "section", "township", "range", "quadrant", rel["x"].alias("x"), rel["y"].alias("y"))
+
+
+STR_TEXTS = ("Section 19 Township 18N Range 12W", "SECTION SW/4 of 13 TOWNSHIP 18 RANGE 11", "Sec. 18 Twp. 18 Range 7", "SEC - 12  T - 23N  R - 10W", "Sec 5 Twp. 17 N then 9 E", "Section 77 Township 99 Range 60")
+
+
+@query(
+    "q_str_extract", "doc_id:l section:s township:s range:s", "",
+    """select doc_id, case doc_id % 6 when 0 then '19' when 1 then '13' when 2 then '18' when 3 then '12' when 4 then '5' end section,
+      case doc_id % 6 when 0 then '18N' when 1 then '18' when 2 then '18' when 3 then '23N' when 4 then '17N' end township, case doc_id % 6 when 0 then '12W' when 1 then '11' when 2 then '7' when 3 then '10W' when 4 then '9E' end as range from documents""",
+)
+def _(spark, sf_dir):
+    """Survey fields of labelled free text."""
+    docs = parquet(spark, sf_dir, "documents").select("doc_id", F.get(F.array(*map(F.lit, STR_TEXTS)), (F.col("doc_id") % 6).cast("int")).alias("t"))
+    return docs.select("doc_id", fields.str_of_text("t").alias("x")).select("doc_id", "x.section", "x.township", "x.range")
+
+
+@query(
+    "q_api_county", "stem:s county:s", "records",
+    "select stem, (string_split('" + "|".join(fields.COUNTIES) + "', '|'))[(stem[3:5]::int - 1) // 2 + 1] county from records",
+)
+def _(records):
+    """County of the API number in front of a stem."""
+    return records.select("stem", fields.api_county("stem").alias("county"))
+
+
+@query("q_well_names", "stem:s well:s lease:s map_name:s", "records", "select stem, regexp_extract(stem, '^[^_]*_(.*)_[^_]*$', 1) well, regexp_replace(regexp_extract(stem, '^[^_]+_(.+)_[0-9]+$', 1), '\\s+[0-9]+$', '') lease, string_split(stem, '_')[2] map_name from records")
+def _(records):
+    """Well and lease names of stems."""
+    return records.select("stem", fields.well_name("stem").alias("well"), fields.lease_name("stem").alias("lease"), fields.well_name_for_map("stem").alias("map_name"))
+
+
+MESSAGES = ("HTTP 503 from service", "unet checkpoint missing", "grid_image_not_found", "keyword_not_found: x", "GEMINI_DISABLED", "no grid on page", "file not_found", "invalid_crop box", "no_change", "boom", "")
+
+
+@query(
+    "q_error_classify", "event_id:l kind:s", "",
+    "select event_id, (['api_error', 'model_load_failed', 'grid_image_not_found', 'keyword_not_found', 'no_match', 'not_detected', 'not_found', 'invalid_crop', 'not_detected', 'exception', 'unknown'])[event_id % 11 + 1] kind from events",
+)
+def _(spark, sf_dir):
+    """Free-text errors to kinds."""
+    return parquet(spark, sf_dir, "events").select("event_id", fields.error_kind(F.get(F.array(*map(F.lit, MESSAGES)), (F.col("event_id") % 11).cast("int"))).alias("kind"))
+
+
+@query("q_eras", "rec_id:l tier:s decade:s prior:d slug:s", "records", "select rec_id, case when collection_num <= 6 then 'early' when collection_num <= 8 then 'transition' when collection_num <= 10 then 'mid' when collection_num <= 12 then 'late' else 'modern' end tier, (year // 10 * 10) || 's' as decade, case when collection_num in (9, 10) then 0.01e0 when collection_num = 11 then 0.03e0 when collection_num = 12 then 0.29e0 when collection_num >= 13 then 0.77e0 else 0e0 end prior, regexp_replace(county, '[^A-Za-z0-9]+', '_', 'g') slug from records")
+def _(records):
+    """Era, decade, prior of printed coordinates and safe names."""
+    return records.select("rec_id", fields.tier("collection_num").alias("tier"), fields.decade("year").alias("decade"), fields.latlong_prior("collection_num").alias("prior"), fields.slug("county").alias("slug"))
+
+
+@query(
+    "q_fuzzy_county", "r_id:l county:s score:l", "",
+    "with c as (select unnest(string_split('" + "|".join(c.lower() for c in fields.COUNTIES) + """', '|')) n), t as (
+      select c_custkey r_id, c_custkey % 4 k, (string_split('"""
+    + "|".join(c.lower() for c in fields.COUNTIES)
+    + """', '|'))[c_custkey % 77 + 1] base from customer), s as (
+      select r_id, case k when 0 then base when 1 then 'in ' || base when 2 then base[2:] else 'zz' end x from t), best as (
+      select r_id, max({'score': floor(100 - 100 * levenshtein(x, n) / greatest(length(x), length(n), 1))::int, 'n': n}) b, any_value(x) x,
+        max(case when contains(x, n) then {'l': length(n), 'n': n} end) h, bool_or(x = n) e from s, c group by r_id)
+    select r_id, case when length(x) < 3 then null when e then x when h is not null then h.n when b.score >= 72 then b.n end c0,
+      array_to_string(list_transform(string_split(c0, ' '), lambda w: upper(w[1]) || w[2:]), ' ') county, case when length(x) < 3 then null when e then 100 when h is not null then 95 when b.score >= 72 then b.score end score from best""",
+)
+def _(spark, sf_dir):
+    """Noisy county names against the dictionary."""
+    names = F.array(*[F.lit(c.lower()) for c in fields.COUNTIES])
+    base = F.get(names, (F.col("c_custkey") % 77).cast("int"))
+    k = F.col("c_custkey") % 4
+    noisy = F.when(k == 0, base).when(k == 1, F.concat(F.lit("in "), base)).when(k == 2, F.expr("substring(base, 2)")).otherwise("zz")
+    rows = parquet(spark, sf_dir, "customer").select(F.col("c_custkey").alias("r_id"), base.alias("base"), "c_custkey").withColumn("x", noisy)
+    return rows.select("r_id", fields.fuzzy_county("x").alias("f")).select("r_id", "f.county", "f.score")
+
+
+# --- status ------------------------------------------------------------------
+
+LONG = "select stem, collection_num, year, s stage, coalesce(nullif(st, ''), 'pending') status, cf confidence, er error_type from (" + " union all ".join(
+    f"select stem, collection_num, year, '{s}' s, {s}_status st, {s}_confidence cf, {s}_error_type er from status" for s in status.STAGES
+) + ")"
+
+
+@query("q_status_counts", "stage:s status:s n:l", "status", f"--cte long as ({LONG}) select stage, status, count(*) n from long group by all")
+def _(s):
+    """Records of each status in each stage."""
+    return status.tally(s)
+
+
+@query("q_stage_rollup", "collection_num:l stage:s n:l done:l failed:l level:l done_pct:l", "status", f"--cte long as ({LONG}) select collection_num, stage, count(*) n, count(*) filter (status = 'done') done, count(*) filter (status = 'failed') failed, grouping(collection_num, stage) as level, count(*) filter (status = 'done') * 100 // count(*) done_pct from long group by rollup (collection_num, stage)")
+def _(s):
+    """Counts by collection and stage with totals."""
+    return reports.stage_rollup(s)
+
+
+@query("q_stage_quality", "stage:s done:l avg_confidence:d", "status", f"--cte long as ({LONG}) select stage, count(*) filter (status = 'done') done, avg(confidence) filter (status = 'done') avg_confidence from long group by all")
+def _(s):
+    """Done records and mean confidence of each stage."""
+    return reports.stage_quality(s)
+
+
+@query("q_confidence_bins", "stage:s bin:l n:l", "status", f"--cte long as ({LONG}) select stage, confidence // 10 * 10 bin, count(*) n from long where status = 'done' group by all")
+def _(s):
+    """Done stages by tens of confidence."""
+    return reports.confidence_bins(s)
+
+
+@query(
+    "q_record_classify", "stem:s final_status:s reasons:s", "status",
+    """select stem, case when not good then 'failed' when reasons <> '' then 'review' else 'success' end final_status, case when good then reasons else '' end reasons from (
+      select stem, county_status = 'done' and (latlong_lat <> '' or (grid_status = 'done' and location_status = 'done')) good,
+        array_to_string(list_filter([case when county_score < 86 then 'county_score=' || county_score || '<86' end, case when grid_status = 'done' and grid_confidence < 80 then 'grid_conf=' || grid_confidence || '<80' end,
+          case when location_status = 'done' and location_confidence < 100 then 'location_conf=' || location_confidence || '<100' end, case when latlong_lat <> '' and latlong_confidence between 1 and 79 then 'latlong_conf=' || latlong_confidence || '<80' end,
+          case when dot_status = 'done' and dot_confidence < 70 then 'dot_conf=' || dot_confidence || '<70' end], lambda x: x is not null), ';') reasons from status)""",
+)
+def _(s):
+    """Success, review or failed, and why."""
+    return fields.classified(s).select("stem", "final_status", F.array_join("review_reasons", ";").alias("reasons"))
+
+
+@query(
+    "q_failure_analysis", "stage:s error_type:s tier:s n:l min_year:l max_year:l examples:s", "status",
+    f"""--cte long as ({LONG}), f as (select *, case when collection_num <= 6 then 'early' when collection_num <= 8 then 'transition' when collection_num <= 10 then 'mid' when collection_num <= 12 then 'late' else 'modern' end tier,
+      row_number() over (partition by stage, error_type, tier order by stem) k from long where status = 'failed')
+    select stage, error_type, tier, count(*) n, min(year) min_year, max(year) max_year, string_agg(stem, ',' order by stem) filter (k <= 5) examples from f group by all""",
+)
+def _(s):
+    """Failures by stage, error and era with examples."""
+    return reports.failure_analysis(s).withColumn("examples", F.array_join("examples", ","))
+
+
+@query("q_insights_clusters", "collection_num:l stage:s error_type:s decade:s n:l", "status", f"--cte long as ({LONG}) select collection_num, stage, error_type, (year // 10 * 10) || 's' as decade, count(*) n from long where status = 'failed' group by all order by n desc, collection_num, stage, error_type, decade limit 15")
+def _(s):
+    """The largest groups of failures."""
+    return reports.clusters(s)
+
+
+@query("q_collection_rates", "collection_num:l n:l latlong_pct:l grid_pct:l location_pct:l county_pct:l dot_pct:l", "status", "select collection_num, count(*) n, " + ", ".join(f"count(*) filter ({s}_status = 'done') * 100 // count(*) {s}_pct" for s in status.STAGES) + " from status group by all")
+def _(s):
+    """Share of done by collection and stage."""
+    return reports.rates(s)
+
+
+@query("q_flip_delta", "collection_num:l stage:s n:l", "status baseline", f"--cte now as ({LONG}), old as ({LONG.replace('from status', 'from baseline')}) select n.collection_num, n.stage, count(*) n from now n join old o using (stem, stage) where o.status = 'failed' and n.status = 'done' group by all")
+def _(s, b):
+    """Stages that failed in the baseline and are done now."""
+    return reports.flips(b, s)
+
+
+@query("q_gates", "stem:s run_latlong:b run_grid:b run_location:b run_county:b run_dot:b", "status", "select stem, latlong_status in ('pending', 'failed') and collection_num >= 12 run_latlong, grid_status in ('pending', 'failed') and latlong_status <> 'done' run_grid, location_status in ('pending', 'failed') and latlong_status <> 'done' run_location, county_status in ('', 'failed', 'pending') run_county, dot_status in ('pending', 'failed') and grid_status = 'done' run_dot from status")
+def _(s):
+    """Stages that are to run for each record."""
+    return status.gates(s)
+
+
+@query("q_newest_wins", "key:l status:s version:l", "", "select user_id as key, arg_max(case event_type when 'signup' then 'pending' when 'purchase' then 'skipped' when 'error' then 'failed' else 'done' end, event_id) status, max(event_id) as version from events group by all")
+def _(spark, sf_dir):
+    """The latest status of each key of a log."""
+    return status.newest(streams.status_events(parquet(spark, sf_dir, "events")).drop("ts"), ["key"], "version")
+
+
+@query("q_safe_merge", "stem:s location_status:s location_confidence:l origin:s", "status baseline", "select stem, case when b.location_confidence >= s.location_confidence then b.location_status else s.location_status end location_status, greatest(b.location_confidence, s.location_confidence) location_confidence, case when b.location_confidence >= s.location_confidence then 'base' else 'shard' end origin from status s join baseline b using (stem)")
+def _(s, b):
+    """The better row of base and shard; the base wins ties."""
+    return status.ranked_merge([b.withColumn("origin", F.lit("base")), s.withColumn("origin", F.lit("shard"))], "stem", F.col("location_confidence"))
+
+
+@query("q_store_overlay", "stem:s location_status:s n:l", "status baseline", "select stem, case when rec_id % 3 = 0 then s.location_status else b.location_status end location_status, 1 n from status s join baseline b using (stem, rec_id)")
+def _(s, b):
+    """The store after a save of changed rows."""
+    columns = ["stem", "rec_id", "location_status"]
+    return status.overlaid(b.select(columns), s.where("rec_id % 3 = 0").select(columns)).withColumn("n", F.lit(1))
+
+
+@query("q_reset_skipped", "stem:s location_status:s", "status", "select stem, case when location_status = 'skipped' and latlong_lat = '' then 'pending' else location_status end location_status from status")
+def _(s):
+    """Locations that were skipped without coordinates run again."""
+    return status.reset_skipped_location(s)
+
+
+@query("q_finished", "n:l", "status", "select count(*) n from status where latlong_status in ('done', 'skipped', 'failed') and grid_status in ('done', 'skipped', 'failed') and location_status in ('done', 'skipped', 'failed') and county_status in ('done', 'skipped', 'failed') and dot_status in ('done', 'skipped', 'failed')")
+def _(s):
+    """Records of which nothing is left to do on a resume."""
+    return status.finished(s, resume=True).agg(F.count("*").alias("n"))
+
+
+@query("q_stage_failures", "stage:s error_type:s n:l total:l", "status", f"--cte long as ({LONG}) select *, sum(n) over (partition by stage) total from (select stage, error_type, count(*) n from long where status = 'failed' group by all)")
+def _(s):
+    """Failures by error, with each stage's total."""
+    return reconcile.stage_failures(s)
+
+
+@query("q_retry_plan", "stem:s stage:s action:s", "status", f"--cte long as ({LONG}) select stem, stage, case when stage = 'grid' and error_type = 'not_found' then 'relax_band' when stage = 'location' and error_type = 'no_match' then 'wider_crop' else 'plain' end as action from long where status = 'failed'")
+def _(s):
+    """What to try next for each failed stage."""
+    policy = s.sparkSession.createDataFrame([("grid", "not_found", "relax_band"), ("location", "no_match", "wider_crop")], "stage string, error_type string, action string")
+    return status.retry_plan(s, policy)
+
+
+@query("q_cost", "collection_num:l pending:l cost:d", "status", "select collection_num, count(*) filter (location_status = 'pending') pending, count(*) filter (location_status = 'pending') / 1000e0 * 2.824e0 as cost from status group by all")
+def _(s):
+    """Cost of what waits."""
+    return reports.cost(s)
+
+
+# --- grid and cascade --------------------------------------------------------
+
+
+@query("q_direction_stats", "county:s ns:s ew:s", "grid", """--cte a as (select county, ns, count(*) n from grid group by all), b as (select county, ew, count(*) n from grid group by all)
+    select x.county, ns, ew from (select county, string_agg(ns, ',' order by n desc, ns) ns from a group by all) x join (select county, string_agg(ew, ',' order by n desc, ew desc) ew from b group by all) y using (county)""")
+def _(grid):
+    """Directions of each county, most cells first."""
+    return mining.direction_stats(grid).select("county", F.array_join("ns_order", ",").alias("ns"), F.array_join("ew_order", ",").alias("ew"))
+
+
+@query("q_county_constraints", "county:s min_twp:l max_twp:l ns:s min_rng:l max_rng:l ew:s n_sections:l", "grid", "select county, min(twp) min_twp, max(twp) max_twp, string_agg(distinct ns, ',' order by ns) ns, min(rng) min_rng, max(rng) max_rng, string_agg(distinct ew, ',' order by ew) ew, count(distinct (sect, twp, ns, rng, ew)) n_sections from grid group by all")
+def _(grid):
+    """Limits of each county."""
+    return mining.county_constraints(grid).select("*", F.array_join("ns_values", ",").alias("ns"), F.array_join("ew_values", ",").alias("ew"))
+
+
+@query("q_section_box", "sect:l twp:l ns:s rng:l ew:s minx:d miny:d maxx:d maxy:d n_cells:l", "grid", "select sect, twp, ns, rng, ew, min(minx) minx, min(miny) miny, max(maxx) maxx, max(maxy) maxy, count(*) n_cells from grid group by all")
+def _(grid):
+    """Box of each section."""
+    return mining.section_boxes(grid)
+
+
+P1 = """
+ prepared as (
+  select r.*, case when ns is null then ns_order when len(ns_order) = 1 and ns_order[1] <> ns then [ns_order[1], ns] else [ns] end nt, case when ew is null then ew_order when len(ew_order) = 1 and ew_order[1] <> ew then [ew_order[1], ew] else [ew] end et from records r left join (
+    select county, list(ns order by n desc, ns) ns_order from (select county, ns, count(*) n from grid group by all) group by county) a using (county) left join (
+    select county, list(ew order by n desc, ew desc) ew_order from (select county, ew, count(*) n from grid group by all) group by county) b using (county)
+), tries as (
+  select *, unnest(range(1, len(nt) + 1)) i from (select * replace (coalesce(nt, ['N', 'S']) as nt, coalesce(et, ['W', 'E']) as et) from prepared)
+), cand as (select stem, section, twp, rng, nt[i] tn, et[j] te, i * 2 + j k, dot_row, dot_col, x_norm, y_norm, county, ns, ew from (select *, unnest(range(1, len(et) + 1)) j from tries)),
+ first_dir as (select stem, twp, rng from cand),
+ parts as (select *, (case when (dot_row - 1) // 4 % 2 = 0 then 'N' else 'S' end) || (case when (dot_col - 1) // 4 % 2 = 0 then 'W' else 'E' end) || '-' || (case when (dot_row - 1) // 2 % 2 = 0 then 'N' else 'S' end) || (case when (dot_col - 1) // 2 % 2 = 0 then 'W' else 'E' end)
+   || '-' || (case when (dot_row - 1) % 2 = 0 then 'N' else 'S' end) || (case when (dot_col - 1) % 2 = 0 then 'W' else 'E' end) q,
+   case when x_norm * 8 - (dot_col - 1) between 0 and 1 and y_norm * 8 - (dot_row - 1) between 0 and 1 then x_norm * 8 - (dot_col - 1) else 0.5e0 end rx,
+   case when x_norm * 8 - (dot_col - 1) between 0 and 1 and y_norm * 8 - (dot_row - 1) between 0 and 1 then y_norm * 8 - (dot_row - 1) else 0.5e0 end ry from cand),
+ cellhit as (select stem, k, minx x0, miny y0, maxx x1, maxy y1, rx, ry from parts join grid g on g.sect = section and g.twp = parts.twp and g.rng = parts.rng and g.ns = tn and g.ew = te and g.quad = q
+   qualify row_number() over (partition by stem order by k) = 1),
+ secbox as (select sect, twp, ns, rng, ew, min(minx) a, min(miny) b, max(maxx) c, max(maxy) d from grid group by all),
+ sechit as (select stem, k, a + (dot_col - 1) * (c - a) / 8 x0, d - dot_row * (d - b) / 8 y0, a + dot_col * (c - a) / 8 x1, d - (dot_row - 1) * (d - b) / 8 y1, rx, ry, coalesce(tn = p.ns and te = p.ew, false) exact from parts p join secbox g on g.sect = section and g.twp = p.twp and g.rng = p.rng and g.ns = tn and g.ew = te
+   qualify row_number() over (partition by stem order by coalesce(tn = p.ns and te = p.ew, false) desc, k) = 1),
+ p1 as (select r.stem, case when r.twp is null or r.rng is null then 'bounds_invalid' when c.stem is not null then 'quadrant_direct' when s.stem is null then 'rds_miss' when exact then 'exact_county' when ns is not null and ew is not null then 'county_constrained'
+    when ns is not null then 'ew_fallback' when ew is not null then 'ns_fallback' else 'ns_ew_fallback' end source,
+    round(coalesce(c.y1 + (c.y0 - c.y1) * c.ry, s.y1 + (s.y0 - s.y1) * s.ry), 7) lat, round(coalesce(c.x0 + (c.x1 - c.x0) * c.rx, s.x0 + (s.x1 - s.x0) * s.rx), 7) lon
+  from records r left join cellhit c using (stem) left join sechit s using (stem))
+"""
+
+
+@query("q_resolve_p1", "stem:s source:s lat:d lon:d", "records grid", f"--cte {P1} select stem, source, lat, lon from p1")
+def _(records, grid):
+    """Pass 1 of the cascade: cell, then section."""
+    return first_pass(records, grid)
+
+
+def first_pass(records: DataFrame, grid: DataFrame) -> DataFrame:
+    ready = cascade.prepared(records.drop("centroid"), mining.direction_stats(grid))
+    return cascade.pass1(ready, *cascade.grid_maps(grid))
+
+
+@query("q_resolve_p2", "stem:s source:s lat:d lon:d", "records grid")
+def _(records, grid):
+    """Pass 2: misses by directions, then by neighbouring sections of their county."""
+    stats = mining.direction_stats(grid)
+    return cascade.pass2(first_pass(records, grid).where("source = 'rds_miss'"), grid, stats)
+
+
+@query("q_resolve_p3", "stem:s twp:l ns:s rng:l ew:s missing:s", "records grid")
+def _(records, grid):
+    """Pass 3: a missing township or range by its county's grid."""
+    return cascade.pass3(first_pass(records, grid).where("source = 'bounds_invalid'"), grid)
+
+
+@query(
+    "q_resolve_p5", "stem:s lat:d lon:d", "records grid",
+    f"""--cte {P1}, best as (select stem, (b + d) / 2 lat, (a + c) / 2 lon from parts p join secbox g on g.sect = section and g.twp = p.twp and g.rng = p.rng and g.ns = tn and g.ew = te qualify row_number() over (partition by stem order by k) = 1)
+    select stem, lat, lon from best join records using (stem) where centroid""",
+)
+def _(records, grid):
+    """Pass 5: section centres."""
+    ready = cascade.prepared(records.where("centroid").drop("centroid"), mining.direction_stats(grid))
+    return cascade.centroids(ready, cascade.grid_maps(grid)[0])
+
+
+@query("q_resolve_all", "stem:s source:s lat:d lon:d flags:s", "records grid")
+def _(records, grid):
+    """All passes of the cascade."""
+    return cascade.resolve(records, grid).withColumn("flags", F.array_join("flags", "; "))
+
+
+@query("q_method_families", "family:s n:l", "records grid")
+def _(records, grid):
+    """Resolved records by the pass that placed them."""
+    return reports.method_families(cascade.resolve(records, grid).where("lat is not null"))
+
+
+LEASED = "(select *, regexp_replace(regexp_extract(stem, '^[^_]+_(.+)_[0-9]+$', 1), '\\s+[0-9]+$', '') lease from records)"
+
+
+@query("q_lease_consensus", "lease:s county:s twp:l rng:l", "records", f"select lease, county, case when min(twp) = max(twp) then min(twp) end twp, case when min(rng) = max(rng) then min(rng) end rng from {LEASED} where section % 2 = 0 group by all")
+def _(records):
+    """Values on which all records of a lease agree."""
+    return mining.consensus(records.where("section % 2 = 0").withColumn("lease", fields.lease_name("stem")), ["lease", "county"], ["twp", "rng"])
+
+
+@query("q_county_consistency", "verdict:s n:l", "records grid", "--cte g as (select sect, twp, ns, rng, ew, list(distinct county) cs from grid group by all) select case when cs is null then 'no_section' when list_contains(cs, county) and len(cs) = 1 then 'agree' when list_contains(cs, county) then 'border' else 'mismatch' end verdict, count(*) n from records r left join g on g.sect = section and g.twp = r.twp and g.ns = r.ns and g.rng = r.rng and g.ew = r.ew group by all")
+def _(records, grid):
+    """Extracted county against the counties of the section."""
+    return mining.county_consistency(records, grid).groupBy("verdict").agg(F.count("*").alias("n"))
+
+
+@query("q_top_mismatches", "county:s grid_counties:s n:l", "records grid", "--cte g as (select sect, twp, ns, rng, ew, string_agg(distinct county, '|' order by county) cs from grid group by all) select r.county, cs grid_counties, count(*) n from records r join g on g.sect = section and g.twp = r.twp and g.ns = r.ns and g.rng = r.rng and g.ew = r.ew where not list_contains(string_split(cs, '|'), county) group by all order by n desc, county, grid_counties limit 8")
+def _(records, grid):
+    """The commonest disagreements of county and section."""
+    return reports.top_mismatches(mining.county_consistency(records, grid))
+
+
+@query("q_county_pinned", "stem:s ns:s ew:s", "records grid", "--cte c as (select distinct county, sect, twp, rng, ns gn, ew ge from grid) select stem, min(gn) ns, min(ge) ew from records r join c on c.county = r.county and sect = section and c.twp = r.twp and c.rng = r.rng and (ns is null or ns = gn) and (ew is null or ew = ge) group by stem having count(*) = 1")
+def _(records, grid):
+    """Directions that only one choice in the county allows."""
+    return mining.pinned(records, grid)
+
+
+@query("q_dominance_infer", "sect:l rng:l ew:s county:s twp:l ns:s n:l", "grid", "--cte c as (select sect, rng, ew, county, twp, ns, count(*) n from grid group by all), r as (select *, lead(n) over w nx, row_number() over w k from c window w as (partition by sect, rng, ew, county order by n desc, twp, ns)) select * from r where k = 1 and (nx is null or n >= 4 * nx)")
+def _(grid):
+    """Townships that a county's grid leaves no doubt about."""
+    counts = grid.groupBy("sect", "rng", "ew", "county", "twp", "ns").agg(F.count("*").alias("n"))
+    return mining.dominant(counts, ["sect", "rng", "ew", "county"], ["twp", "ns"])
+
+
+# --- reconcile ---------------------------------------------------------------
+
+SITE = "(select stem, rec_id, rec_id % 4 = 0 verified, rec_id % 40 = 0 corrected from records where rec_id % 3 = 0)"
+COORDS = "(select stem, case when section % 5 > 1 then section * 1e0 end lat from records where rec_id % 5 > 0)"
+
+
+def _site(records):
+    return records.where("rec_id % 3 = 0").select("stem", "rec_id", (F.col("rec_id") % 4 == 0).alias("verified"), (F.col("rec_id") % 40 == 0).alias("corrected"))
+
+
+def _coords(records):
+    return records.where("rec_id % 5 > 0").select("stem", F.when(F.col("section") % 5 > 1, F.col("section").cast("double")).alias("lat"))
+
+
+@query(
+    "q_reconcile_ledger", "stem:s state:s failed_stage:s", "records status",
+    f"""--cte st as (select * from status where rec_id % 7 > 0)
+    select r.stem, case when m.stem is not null then 'mapped' when c.lat is not null then 'resolved' when f is not null then 'failed' when s.stem is not null then 'processed' else 'untouched' end state, f failed_stage
+    from records r left join (select stem, case when latlong_status = 'failed' then 'latlong' when grid_status = 'failed' then 'grid' when location_status = 'failed' then 'location' when county_status = 'failed' then 'county' when dot_status = 'failed' then 'dot' end f from st) s using (stem)
+      left join {COORDS} c using (stem) left join {SITE} m using (stem)""",
+)
+def _(records, s):
+    """State of every record of the index."""
+    return reconcile.ledger(records.select("stem"), s.where("rec_id % 7 > 0"), _coords(records), _site(records))
+
+
+@query("q_orphans", "stem:s kind:s", "records status", f"--cte i as (select stem from records where rec_id % 11 > 0) select stem, 'status_not_in_index' kind from status where stem not in (select stem from i) union all select stem, 'site_not_in_index' from {SITE} where stem not in (select stem from i) union all select stem, 'site_not_in_coords' from {SITE} where stem not in (select stem from {COORDS})")
+def _(records, s):
+    """Stems that one table has and another lacks."""
+    return reconcile.orphans(records.where("rec_id % 11 > 0"), s, _coords(records), _site(records))
+
+
+@query("q_monotonic_publish", "stem:s verified:b corrected:b carried:b", "records", f"--cte n as (select stem from records where rec_id % 2 = 0), p as (select * from {SITE}) select stem, coalesce(verified, false) verified, coalesce(corrected, false) corrected, false carried from n left join p using (stem) union all select stem, verified, corrected, true from p where stem not in (select stem from n)")
+def _(records):
+    """A build that keeps prior features and human marks."""
+    return reconcile.published(records.where("rec_id % 2 = 0").select("stem"), _site(records))
+
+
+@query("q_backfill", "stem:s collection_num:l year:l", "records", "select stem, case when rec_id % 6 = 5 then null else collection_num end collection_num, case when rec_id % 6 = 5 then null else year end as year from records")
+def _(records):
+    """Missing metadata from the first complete source."""
+    rows = records.select("stem", F.when(F.col("rec_id") % 3 == 0, F.col("collection_num")).alias("collection_num"), F.when(F.col("rec_id") % 3 == 0, F.col("year")).alias("year"))
+    return reconcile.backfilled(rows, records.where("rec_id % 3 = 1"), records.where("rec_id % 6 = 2"), columns=("collection_num", "year"))
+
+
+@query("q_completed_groups", "collection_num:l year:l month:l n:l", "status", "--cte f as (select stem from status where latlong_status in ('done', 'skipped', 'failed') and location_status in ('done', 'skipped', 'failed') and grid_status in ('done', 'skipped', 'failed') and county_status in ('done', 'skipped', 'failed') and dot_status in ('done', 'skipped', 'failed')) select collection_num, year, month, count(*) n from status left join f using (stem) group by all having count(f.stem) >= count(*) and month % 6 > 0")
+def _(s):
+    """Groups that are finished and not published."""
+    done = s.where("month % 6 = 0").select("collection_num", "year", "month").distinct()
+    return reconcile.completed_groups(s.select("stem", "collection_num", "year", "month"), s, done, ["collection_num", "year", "month"])
+
+
+@query("q_failed_export", "stem:s failed_stages:s", "records status", "select stem, array_to_string(list_filter([case when latlong_status = 'failed' then 'latlong' end, case when grid_status = 'failed' then 'grid' end, case when location_status = 'failed' then 'location' end, case when county_status = 'failed' then 'county' end, case when dot_status = 'failed' then 'dot' end], lambda x: x is not null), ',') failed_stages from status where 'failed' in (latlong_status, grid_status, location_status, county_status, dot_status)")
+def _(records, s):
+    """Failed records with their failed stages."""
+    return reconcile.failed_export(records.select("stem"), s)
+
+
+@query("q_review_queue", "category:s n:l", "status", f"--cte o as (select * from status where stem not in (select stem from {COORDS.replace('from records', 'from status')} where lat is not null)), c as (select case when dot_status = 'done' and (twp is null or rng is null) then 'dot_without_survey' when twp is not null and rng is not null and dot_status <> 'done' then 'survey_without_dot' else 'partial_survey' end category from o) select category, count(*) n from c group by all")
+def _(s):
+    """Worklists of what unresolved records lack."""
+    return reconcile.worklists(s, _coords(s)).groupBy("category").agg(F.count("*").alias("n"))
+
+
+CHANGES = "(select stem, 'twp' field, (rec_id % 7 + 1)::varchar as new, rec_id as issue from records where rec_id % 50 = 0 union all select stem, 'twp', (rec_id % 4 + 1)::varchar, rec_id + 1 from records where rec_id % 100 = 0 union all select stem, 'rng', '9', rec_id from records where rec_id % 70 = 0)"
+
+
+def _changes(records):
+    change = lambda k, field, new, by=0: records.where(F.col("rec_id") % k == 0).select("stem", F.lit(field).alias("field"), new.cast("string").alias("new"), (F.col("rec_id") + by).alias("issue"))
+    return change(50, "twp", F.col("rec_id") % 7 + 1).unionByName(change(100, "twp", F.col("rec_id") % 4 + 1, 1)).unionByName(change(70, "rng", F.lit(9)))
+
+
+@query("q_corrections_apply", "stem:s twp:l rng:l", "records", f"--cte l as (select stem, field, arg_max(new, issue) as new from {CHANGES} group by all) select r.stem, coalesce(a.new::int, twp) twp, coalesce(b.new::int, rng) rng from records r left join l a on a.stem = r.stem and a.field = 'twp' left join l b on b.stem = r.stem and b.field = 'rng'")
+def _(records):
+    """Records after the corrections."""
+    return reconcile.corrected(records.select("stem", "twp", "rng"), _changes(records), ["twp", "rng"])
+
+
+@query("q_corrections_log", "stem:s field:s old:s new:s issue:l", "records", f"--cte l as (select stem, field, arg_max(new, issue) as new, max(issue) issue from {CHANGES} group by all) select stem, field, (case field when 'twp' then twp else rng end)::varchar old, l.new, issue from l join records using (stem) where old is distinct from l.new")
+def _(records):
+    """What the corrections change."""
+    return reconcile.change_log(records.select("stem", "twp", "rng"), _changes(records), ["twp", "rng"])
+
+
+@query("q_missing_objects", "stem:s key:s", "records", "select stem, concat_ws('/', 'pdf', collection_num, year, stem || '.pdf') as key from records where rec_id % 9 = 0")
+def _(records):
+    """Records without a stored object and their keys."""
+    return reconcile.missing_objects(records, records.where("rec_id % 9 > 0"), "pdf")
+
+
+@query("q_agreement", "field:s n:l agree:l agree_pct:l", "records", "--cte v as (select stem, twp % 3 + 1 twp, rng from records where rec_id % 2 = 0), m as (select r.twp a, v.twp b, r.rng c, v.rng d from records r join v using (stem)) select 'twp' field, count(*) filter (a is not null and b is not null) n, count(*) filter (a = b) agree, count(*) filter (a = b) * 100 // count(*) filter (a is not null and b is not null) agree_pct from m union all select 'rng', count(*) filter (c is not null and d is not null), count(*) filter (c = d), count(*) filter (c = d) * 100 // count(*) filter (c is not null and d is not null) from m")
+def _(records):
+    """Agreement of a candidate extraction with verified values."""
+    verified = records.where("rec_id % 2 = 0").select("stem", (F.col("twp") % 3 + 1).alias("twp"), "rng")
+    return reports.agreement(records, verified, ["twp", "rng"])
+
+
+@query("q_upper_median", "collection_num:l median:l", "records", "select collection_num, (list(file_size_bytes order by file_size_bytes))[count(*) // 2 + 1] median from records group by all")
+def _(records):
+    """The upper middle size of each collection."""
+    return reports.upper_median(records, "collection_num", "file_size_bytes")
+
+
+@query("q_top_per_group", "year:l county:s n:l rank:l", "records", "--cte c as (select year, county, count(*) n from records group by all) select year, county, n, row_number() over (partition by year order by n desc, county) as rank from c qualify rank <= 3")
+def _(records):
+    """The commonest counties of each year."""
+    return reports.top_per_group(records, "year", "county")
+
+
+@query("q_cross_table", "year:l c1:l c13:l", "records", "select year, count(*) filter (collection_num = 1) c1, count(*) filter (collection_num = 13) c13 from records where collection_num in (1, 13) group by all")
+def _(records):
+    """Records by year and collection."""
+    wide = reports.cross_table(records.where("collection_num in (1, 13)"), "year", "collection_num", [1, 13])
+    return wide.select("year", F.col("1").alias("c1"), F.col("13").alias("c13"))
+
+
+# --- sampling ----------------------------------------------------------------
+
+ORDERED = "(rec_id * 7919 + 13 * 104729) % 1000003"
+
+
+@query("q_sample_group", "collection_num:l year:l rec_id:l", "records", f"select collection_num, year, rec_id from records qualify row_number() over (partition by collection_num, year order by {ORDERED}, rec_id) <= greatest(1, (count(*) over (partition by collection_num, year) + 99) // 100)")
+def _(records):
+    """One per cent of each group, one record at least."""
+    return sampling.per_group_percent(records, ["collection_num", "year"], "rec_id")
+
+
+@query("q_sample_k", "collection_num:l rec_id:l", "records", f"select collection_num, rec_id from records qualify row_number() over (partition by collection_num order by {ORDERED}, rec_id) <= 5")
+def _(records):
+    """Five records of each collection."""
+    return sampling.per_group(records, ["collection_num"], "rec_id", 5)
+
+
+@query("q_sample_density", "collection_num:l year:l month:l rec_id:l", "records", f"select collection_num, year, month, rec_id from records qualify row_number() over (partition by collection_num, year, month order by {ORDERED}, rec_id) <= greatest(count(*) over (partition by collection_num, year, month) // 20, case when count(*) over (partition by collection_num, year, month) >= 10 then 1 else 0 end)")
+def _(records):
+    """Samples in proportion to density."""
+    return sampling.by_density(records, ["collection_num", "year", "month"], "rec_id", 20)
+
+
+@query("q_first_last", "collection_num:l year:l month:l total:l position:s stem:s", "records", "--cte g as (select collection_num, year, month, min(stem) a, max(stem) b, count(*) total from records group by all) select collection_num, year, month, total, 'first' as position, a stem from g union all select collection_num, year, month, total, 'last', b from g where a <> b")
+def _(records):
+    """First and last name of each folder."""
+    return sampling.first_and_last(records, ["collection_num", "year", "month"], "stem")
+
+
+@query("q_next_chunk", "rec_id:l stem:s", "records status", "select rec_id, stem from records where stem not in (select stem from status where location_status in ('done', 'skipped')) order by rec_id limit 50")
+def _(records, s):
+    """The next records to work on."""
+    return sampling.next_chunk(records.select("stem", "rec_id"), s.where("location_status in ('done', 'skipped')"), "rec_id", 50)
+
+
+@query("q_slice_mod", "rec_id:l slice:l", "records", "select rec_id, (row_number() over (order by rec_id) - 1) % 7 slice from records")
+def _(records):
+    """Records dealt in turn to seven slices."""
+    return sampling.exact_slices(records.select("rec_id"), "rec_id", 7)
+
+
+@query("q_campaign_order", "rec_id:l priority:l", "records", "select rec_id, case county when 'C3 County' then 1 when 'C1 County' then 2 else 3 end priority from records")
+def _(records):
+    """Records by the user's order of counties."""
+    return sampling.in_campaign_order(records, "county", ["C3 County", "C1 County"])
+
+
+@query("q_holdout", "collection_num:l split:s n:l", "records", f"--cte r as (select collection_num, case when row_number() over (partition by collection_num order by {ORDERED}, rec_id) <= greatest(1, floor(count(*) over (partition by collection_num) * 0.1e0)) and collection_num in (1, 2) then 'holdout' else 'train' end split from records) select collection_num, split, count(*) n from r group by all")
+def _(records):
+    """Held-out rows by source."""
+    rows = sampling.holdout(records.withColumn("src", F.col("collection_num").cast("string")), "src", "rec_id", only=("1", "2"))
+    return rows.groupBy("collection_num", "split").agg(F.count("*").alias("n"))
+
+
+@query("q_rate_window", "event_id:l in_window:l", "", "select event_id, count(*) over (partition by user_id order by epoch(ts)::bigint range between 3600 preceding and current row) in_window from events")
+def _(spark, sf_dir):
+    """Events of each user in the hour before each event."""
+    return sampling.windowed_count(parquet(spark, sf_dir, "events"), "ts", 3600, "user_id")
+
+
+# --- tokens and detections ---------------------------------------------------
+
+NORMAL = "regexp_replace(lower(t), '[.\\s,;:\\-]+$', '')"
+
+
+@query(
+    "q_keyword_pairing", "doc_id:l sec_pos:l township_pos:l range_pos:l", "tokens",
+    f"""--cte k as (select doc_id, pos, case when {NORMAL} in ('section', 'sec', 'sect') then 's' when {NORMAL} in ('township', 'twp', 'twn') then 't' when {NORMAL} in ('range', 'rge', 'rng') then 'r' end kind, x0, y0 - 50 a, y1 + 50 b from tokens),
+    m as (select s.doc_id, s.pos sec_pos, min(o.pos) filter (o.kind = 't') township_pos, min(o.pos) filter (o.kind = 'r') range_pos from k s join k o on o.doc_id = s.doc_id and o.kind in ('t', 'r') and o.x0 > s.x0
+      and greatest(0, least(s.b, o.b) - greatest(s.a, o.a)) / least(s.b - s.a, o.b - o.a) >= 0.3e0 where s.kind = 's' group by all)
+    select * from m where township_pos is not null and range_pos is not null qualify row_number() over (partition by doc_id order by sec_pos) = 1""",
+)
+def _(t):
+    """Labels of section, township and range on one line."""
+    return tokens.paired(tokens.keyword_boxes(t))
+
+
+@query("q_value_below", "doc_id:l label_pos:l value:s", "tokens", f"--cte l as (select * from tokens where {NORMAL} = 'section') select l.doc_id, l.pos label_pos, arg_min(o.t, (o.y0 - l.y0, o.t)) as value from l join tokens o on o.doc_id = l.doc_id and {NORMAL.replace('(t)', '(o.t)')} <> 'section' and abs((l.x0 + l.x1) / 2 - (o.x0 + o.x1) / 2) <= 55 and o.y0 - l.y0 between 10 and 160 group by all")
+def _(t):
+    """The value under each section label."""
+    return tokens.value_below(t, "section")
+
+
+@query(
+    "q_left_right", "doc_id:l label_pos:l left_text:s right_text:s below_text:s", "tokens",
+    f"""--cte l as (select * from tokens where {NORMAL} = 'rge'), m as (select l.doc_id, l.pos label_pos, o.pos, o.t, o.x0 - l.x0 dx, o.y0 - l.y0 dy from l join tokens o on o.doc_id = l.doc_id and o.pos <> l.pos),
+    g as (select doc_id, label_pos, list(t order by dx, pos, t) filter (abs(dy) <= 35 and dx < 0) a, list(t order by dx, pos, t) filter (abs(dy) <= 35 and dx > 0) b, list(t order by dy, pos, t) filter (abs(dx) <= 80 and dy between 5 and 120) c from m group by all)
+    select doc_id, label_pos, coalesce(array_to_string(a[-4:], ' '), '') left_text, coalesce(array_to_string(b[1:4], ' '), '') right_text, coalesce(array_to_string(c[1:2], ' '), '') below_text from g""",
+)
+def _(t):
+    """Tokens around each range label."""
+    return tokens.beside(t, "rge")
+
+
+@query("q_text_in_box", "doc_id:l box_pos:l kind:s text:s", "tokens", f"--cte k as (select doc_id, pos box_pos, 'township' kind, x0 a, y0 - 50 b, x1 + 400 c, y1 + 50 d from tokens where {NORMAL} in ('township', 'twp', 'twn')) select k.doc_id, box_pos, kind, string_agg(t, ' ' order by pos) as text from k join tokens o on o.doc_id = k.doc_id and (x0 + x1) / 2 between a and c and (y0 + y1) / 2 between b and d group by all")
+def _(t):
+    """Text right of each township label."""
+    return tokens.text_in(t, tokens.keyword_boxes(t).where("kind = 'township'"))
+
+
+@query("q_illegible", "doc_id:l n_tokens:l", "tokens", "select doc_id, count(*) n_tokens from tokens group by all having count(*) < 15")
+def _(t):
+    """Pages with too few tokens."""
+    return tokens.illegible(t)
+
+
+@query("q_form_classifier", "rec_id:l kind:s suspect:b", "records")
+def _(records):
+    """Kind of form by where its grid stands, and whether the grid is suspect."""
+    cx, cy = (F.col("rec_id") % 100) / 100, (F.col("rec_id") * 7 % 100) / 100
+    anchor = F.when(F.col("rec_id") % 11 == 0, "LOCATE WELL CORRECTLY").when(F.col("rec_id") % 13 == 0, "Location:")
+    kind = geometry.form_kind(cx, cy, (F.col("rec_id") % 20) / 10 + 0.1, anchor, fields.tier("collection_num"))
+    return records.select("rec_id", kind.alias("kind"), geometry.suspect(cx, cy, F.lit(0.5), F.lit(0.1), F.lit(0.9), F.lit(0.4)).alias("suspect"))
+
+
+BOXES = "select rec_id stem, detector, 1 as page, 'early' tier, 100 + (rec_id * (3 + k)) % 600 w, 100 + (rec_id * (5 + k)) % 500 h, (rec_id * (7 + k)) % 100 / 100e0 density, 800 page_w, 700 page_h from records, (values ('adaptive', 1), ('otsu', 2), ('canny', 3)) d(detector, k)"
+
+
+@query("q_best_grids", "stem:l detector:s confidence:l", "records", f"--cte c as ({BOXES}) select stem, detector, least(100, floor(density * 100)) confidence from c where w >= 50 and h >= 50 and w / h::double between 0.6e0 and 1.7e0 and w * h / (page_w * page_h)::double < 0.92e0 and density >= 0.15e0 and w <= 565 qualify row_number() over (partition by stem order by density desc, w * h, detector) = 1")
+def _(records):
+    """The densest acceptable grid candidate of each record."""
+    k = F.inline(F.array(*[F.struct(F.lit(n).alias("detector"), F.lit(i).alias("k")) for n, i in (("adaptive", 1), ("otsu", 2), ("canny", 3))]))
+    size = lambda base, step, by: base + (F.col("rec_id") * (step + F.col("k"))) % by
+    c = records.select("rec_id", k).select(
+        F.col("rec_id").alias("stem"), "detector", F.lit(1).alias("page"), F.lit("early").alias("tier"), size(100, 3, 600).alias("w"), size(100, 5, 500).alias("h"), ((F.col("rec_id") * (7 + F.col("k"))) % 100 / 100).alias("density"), F.lit(800).alias("page_w"), F.lit(700).alias("page_h")
+    )
+    return detections.best_grids(c)
+
+
+# --- streaming ---------------------------------------------------------------
+
+
+def _drained(df: DataFrame, name: str, mode: str) -> DataFrame:
+    """Run a stream over what there is and return the sink's table."""
+    import uuid
+
+    table = f"{name}_{uuid.uuid4().hex}"
+    run = df.writeStream.format("memory").queryName(table).outputMode(mode).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return df.sparkSession.table(table)
+
+
+@query("q_stream_status", "key:l status:s version:l", "", ORACLES["q_newest_wins"])
+def _(spark, sf_dir):
+    """The latest status of each key, as a stream."""
+    return _drained(streams.latest(streams.status_events(streams.stream(spark, f"{sf_dir}/events.parquet"))), "latest", "complete")
+
+
+@query(
+    "q_stream_fsm", "key:l transitions:l status:s", "",
+    """with e as (select user_id as key, event_id v, case event_type when 'signup' then 'pending' when 'purchase' then 'skipped' when 'error' then 'failed' else 'done' end s from events),
+    t as (select key, min(v) filter (s in ('done', 'skipped')) tv from e group by key),
+    l as (select e.*, lag(s, 1, 'pending') over (partition by key order by v) p, tv from e join t using (key) where tv is null or v <= tv)
+    select key, count(*) filter (s <> p) transitions, arg_max(s, v) status from l group by key""",
+)
+def _(spark, sf_dir):
+    """Life of each record as a state machine over a stream."""
+    return _drained(streams.lifecycle(streams.status_events(streams.stream(spark, f"{sf_dir}/events.parquet"))), "fsm", "update")
+
+
+@query("q_stream_dedup", "n:l", "", "select count(*) n from (select distinct user_id, event_id from events)")
+def _(spark, sf_dir):
+    """Events once each, by watermark."""
+    log = streams.status_events(streams.stream(spark, f"{sf_dir}/events.parquet"))
+    return _drained(streams.deduplicated(log), "dedup", "append").agg(F.count("*").alias("n"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Placeholder until the cascade lands."""
-    return spark.read.parquet(f"{sf_dir}/orders.parquet")
+    """Records resolved against the land grid by all passes."""
+    return QUERIES["q_resolve_all"](spark, sf_dir)
