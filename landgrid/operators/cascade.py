@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from landgrid.functions import fields, geometry
 from landgrid.operators import mining
+from landgrid.session import materialised
 
 KEY3 = ["section", "twp", "rng"]
 OUT = ["stem", "source", "lat", "lon", "flags", "county_verified"]
@@ -85,13 +86,21 @@ def _finish(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
     return ok, F.when(ok, F.round(lat, 7)), F.when(ok, F.round(lon, 7))
 
 
-def _position(corners: Column) -> Column:
-    rel = geometry.in_cell("x_norm", "y_norm", F.col("cell.row"), F.col("cell.col"))
-    return geometry.interpolated(corners, rel["x"], rel["y"])
+def _sub_box(box: dict[str, Column], in_section: Column) -> dict[str, Column]:
+    """The cell's part of a section's box where in_section holds, else the box itself."""
+    row, column = F.col("cell.row"), F.col("cell.col")
+    w, h = (box["maxx"] - box["minx"]) / geometry.GRID, (box["maxy"] - box["miny"]) / geometry.GRID
+    part = {"minx": box["minx"] + (column - 1) * w, "miny": box["maxy"] - row * h, "maxx": box["minx"] + column * w, "maxy": box["maxy"] - (row - 1) * h}
+    return {k: F.when(in_section, part[k]).otherwise(box[k]) for k in BOX}
 
 
-def _corners(box: Column) -> Column:
-    return geometry.box_corners(box["minx"], box["miny"], box["maxx"], box["maxy"])
+def _located(df: DataFrame, box: dict[str, Column], in_section: Column) -> DataFrame:
+    """Add _lat, _lon of the dot in its cell, and _ok: inside the state."""
+    df = df.withColumns({f"_{k}": v for k, v in _sub_box(box, in_section).items()} | {"_rel": geometry.in_cell("x_norm", "y_norm", F.col("cell.row"), F.col("cell.col"))})
+    lat = F.col("_maxy") - (F.col("_maxy") - F.col("_miny")) * F.col("_rel.y")
+    lon = F.col("_minx") + (F.col("_maxx") - F.col("_minx")) * F.col("_rel.x")
+    df = df.withColumns({"_lat": F.round(lat, 7), "_lon": F.round(lon, 7)}).drop(*[f"_{k}" for k in BOX], "_rel")
+    return df.withColumn("_ok", fields.in_box(F.col("_lat"), F.col("_lon"), fields.RESOLVER_BOX))
 
 
 def pass1(ready: DataFrame, sections: DataFrame, cells: DataFrame) -> DataFrame:
@@ -107,21 +116,19 @@ def pass1(ready: DataFrame, sections: DataFrame, cells: DataFrame) -> DataFrame:
         .when(F.col("ew").isNotNull(), "ns_fallback")
         .otherwise("ns_ew_fallback")
     )
-    box = F.coalesce("_exact", "_any")
-    in_section = geometry.cell_corners(box["v"]["minx"], box["v"]["miny"], box["v"]["maxx"], box["v"]["maxy"], F.col("cell.row"), F.col("cell.col"))
-    corners = F.when(F.col("_cell").isNotNull(), _corners(F.col("_cell.v"))).otherwise(in_section)
-    met = met.withColumns({"_at": _position(corners), "_hit": F.coalesce("_cell", box)})
-    ok, lat, lon = _finish(F.col("_at.lat"), F.col("_at.lon"))
+    met = met.withColumn("_hit", F.coalesce("_cell", "_exact", "_any"))
+    met = _located(met, {k: F.col(f"_hit.v.{k}") for k in BOX}, F.col("_cell").isNull())
     valid = F.col("reason") == "ok"
     hit = F.col("_hit").isNotNull()
     source = (
-        F.when(F.col("reason") == "parse_failed", "parse_failed").when(~valid, "bounds_invalid").when(~hit, "rds_miss").when(~ok, "geometry_error").when(F.col("_cell").isNotNull(), "quadrant_direct").otherwise(strategy)
+        F.when(F.col("reason") == "parse_failed", "parse_failed").when(~valid, "bounds_invalid").when(~hit, "rds_miss").when(~F.col("_ok"), "geometry_error").when(F.col("_cell").isNotNull(), "quadrant_direct").otherwise(strategy)
     )
     centred = F.when(F.col("x_norm").isNull() | F.col("y_norm").isNull(), "cell_centre_used")
     flags = F.concat("qflags", F.array_compact(F.array(F.when(~valid & (F.col("reason") != "parse_failed"), F.col("reason")), F.when(valid & hit, centred))))
     verified = F.exists(F.col("_hit.v.counties"), lambda c: F.exists(fields.county_variants("county"), lambda p: F.like(F.lower(c), F.lower(p))))
     done = valid & hit
-    result = {"source": source, "lat": F.when(done, lat), "lon": F.when(done, lon), "flags": flags, "county_verified": F.when(done, verified)}
+    placed = done & F.col("_ok")
+    result = {"source": source, "lat": F.when(placed, F.col("_lat")), "lon": F.when(placed, F.col("_lon")), "flags": flags, "county_verified": F.when(done, verified)}
     return met.withColumns(result).select(*ready.columns, *OUT[1:])
 
 
@@ -141,9 +148,8 @@ def pass2(misses: DataFrame, grid: DataFrame, stats: DataFrame | None) -> DataFr
     rows = rows.where(fields.bounds_reason("section", "twp", "ns", "rng", "ew") == "ok")
     like = mining.like_any(F.col("g_county"), fields.county_variants("county"))
     own_cells = grid.select(*mining.STR, "quad", F.col("county").alias("g_county"), *BOX)
-    box = F.struct(*BOX)
     in_cell = rows.join(own_cells, [rows[a] == own_cells[b] for a, b in (("section", "sect"), ("twp", "twp"), ("rng", "rng"), ("ns", "ns"), ("ew", "ew"), ("quad", "quad"))]).where(like)
-    in_cell = in_cell.select("stem", F.col("_i").alias("rank"), F.concat(F.lit("direction_inferred_p2_"), "_d").alias("source"), _corners(box).alias("corners"), "x_norm", "y_norm", "cell")
+    in_cell = in_cell.select("stem", F.col("_i").alias("rank"), F.concat(F.lit("direction_inferred_p2_"), "_d").alias("source"), *BOX, "x_norm", "y_norm", "cell", F.lit(False).alias("_sec"))
     steps = F.array(F.struct(F.lit(0).alias("delta"), F.lit(100).alias("base")), *[F.struct(F.lit(d).alias("delta"), F.lit(200 + i).alias("base")) for i, d in enumerate(DELTAS)])
     near = rows.select("*", F.inline(steps)).withColumn("_s", F.col("section") + F.col("delta")).where(F.col("_s").between(fields.SECTION_MIN, fields.SECTION_MAX))
     boxes = mining.section_boxes(grid, "county").withColumnRenamed("county", "g_county")
@@ -152,10 +158,9 @@ def pass2(misses: DataFrame, grid: DataFrame, stats: DataFrame | None) -> DataFr
     label = F.when(F.col("delta") == 0, F.concat(F.lit("direction_inferred_p2_"), "_d")).otherwise(F.concat(F.lit("sect_adj_p2_"), F.col("_s").cast("string"), F.lit("_"), "_d"))
     met = keyed.select("stem", rank.alias("rank"), label.alias("source"), *BOX, "x_norm", "y_norm", "cell")
     met = met.groupBy("stem", "rank", "source", "x_norm", "y_norm", "cell").agg(*[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in BOX])
-    in_section = met.select("stem", "rank", "source", geometry.cell_corners(*BOX, F.col("cell.row"), F.col("cell.col")).alias("corners"), "x_norm", "y_norm", "cell")
-    found = in_cell.unionByName(in_section).withColumn("_at", _position(F.col("corners")))
-    ok, lat, lon = _finish(F.col("_at.lat"), F.col("_at.lon"))
-    first = found.where(ok).groupBy("stem").agg(F.min(F.struct("rank", "source", lat.alias("lat"), lon.alias("lon"))).alias("b"))
+    in_section = met.select("stem", "rank", "source", *BOX, "x_norm", "y_norm", "cell", F.lit(True).alias("_sec"))
+    found = _located(in_cell.unionByName(in_section), {k: F.col(k) for k in BOX}, F.col("_sec"))
+    first = found.where("_ok").groupBy("stem").agg(F.min(F.struct("rank", "source", F.col("_lat").alias("lat"), F.col("_lon").alias("lon"))).alias("b"))
     return first.select("stem", "b.source", "b.lat", "b.lon")
 
 
@@ -201,11 +206,11 @@ def centroids(ready: DataFrame, sections: DataFrame) -> DataFrame:
 INPUT = ["stem", *KEY3, "ns", "ew", "county", "dot_row", "dot_col", "x_norm", "y_norm"]
 
 
-def resolve(rows: DataFrame, grid: DataFrame, materialise=lambda df, name: df.persist()) -> DataFrame:
+def resolve(rows: DataFrame, grid: DataFrame, materialise=materialised) -> DataFrame:
     """All passes: every row once, with source, lat, lon and flags.
 
-    ``materialise`` cuts the plan between passes (the fourth needs the results of
-    the first three); give it a function that writes a table on a cluster.
+    ``materialise`` cuts the plan between passes: the fourth needs the results of
+    the first three, and each pass is planned on tables with known sizes.
     """
     rows = rows.withColumn("lease", fields.lease_name("stem")) if "lease" not in rows.columns else rows
     stats = materialise(mining.direction_stats(grid), "direction_stats")
@@ -214,11 +219,11 @@ def resolve(rows: DataFrame, grid: DataFrame, materialise=lambda df, name: df.pe
     first = materialise(pass1(prepared(rows.where(~centroid), stats), sections, cells), "pass1")
     result = lambda df, prefix="": df.select("stem", F.concat(F.lit(prefix), "source").alias("source"), "lat", "lon", "flags")
     done = first.where("lat is not null")
-    second = pass2(first.where("source = 'rds_miss'"), grid, stats).withColumn("flags", F.array(F.col("source")))
+    second = materialise(pass2(first.where("source = 'rds_miss'"), grid, stats), "pass2").withColumn("flags", F.array(F.col("source")))
     invalid = first.where("source = 'bounds_invalid'").drop(*OUT[1:])
     base = rows.drop("centroid")
-    filled = pass3(invalid, grid)
-    third = pass1(prepared(refilled(base, filled), stats), sections, cells).where("lat is not null")
+    filled = materialise(pass3(invalid, grid), "pass3")
+    third = materialise(pass1(prepared(refilled(base, filled), stats), sections, cells).where("lat is not null"), "pass3_placed")
     third = third.select("stem", F.concat(F.lit("p3_"), "missing", F.lit("_"), "source").alias("source"), "lat", "lon", "flags", "twp", "ns", "rng", "ew", "section", "lease", "county")
     keys = ["stem", "source", "lat", "lon", "flags", "twp", "ns", "rng", "ew", "section", "lease", "county"]
     two = second.join(base.select("stem", "twp", "ns", "rng", "ew", "section", "lease", "county"), "stem").select(keys)
@@ -234,7 +239,7 @@ def resolve(rows: DataFrame, grid: DataFrame, materialise=lambda df, name: df.pe
         F.when(F.col("rng").isNull(), part("_r", "^([0-9]+)").cast("int")).alias("rng"),
         F.when(F.col("rng").isNull(), part("_r", "([EW])$")).alias("ew"),
     )
-    fourth = result(pass1(prepared(refilled(base, new), stats), sections, cells).where("lat is not null"), "p4_")
+    fourth = result(materialise(pass1(prepared(refilled(base, materialise(new, "pass4")), stats), sections, cells).where("lat is not null"), "pass4_placed"), "p4_")
     fifth = centroids(prepared(rows.where(centroid).drop("centroid"), stats), sections) if "centroid" in rows.columns else None
     placed = result(so_far).unionByName(fourth)
     if fifth is not None:

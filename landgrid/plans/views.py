@@ -108,10 +108,11 @@ def text(name: str, dialect: str = "duckdb") -> str:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view as a DataFrame."""
+    """A view as a DataFrame. The land grid, a dimension of fixed size that no table holds here, is made once a session."""
     sql = text(name, "spark")
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "documents") if f"{{{t}}}" in sql}
-    return spark.sql(sql, **tables)
+    df = spark.sql(sql, **tables)
+    return df.persist() if name == "grid" else df
 
 
 def with_views(sql: str, *names: str) -> str:

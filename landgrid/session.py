@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that results depend on or that every deployment wants. Sizes of
 #: partitions are left to the cluster.
@@ -32,3 +33,12 @@ def local_session(cores: int | None = None, app: str = "landgrid", memory: str =
     spark = builder.config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """Cut the plan: df as a table in the folder that driver and executors share (``spark.checkpoint.dir``), read back."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/landgrid-shared"
+    path = f"{root.rstrip('/')}/landgrid/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
