@@ -121,18 +121,17 @@ def threads(keys: DataFrame, found: DataFrame) -> DataFrame:
     )
     parents = written(parents, "replies")
     root = F.col("reply_turn").isNull()
-    state = parents.select("*", F.coalesce("reply_conv", "conv_id").alias("up_conv"), F.coalesce("reply_turn", "turn").alias("up_turn"), F.when(root, 0).otherwise(1).cast("long").alias("depth"))
-    while True:
-        # up_depth is 0 where the pointer has reached a root
-        far = state.select(F.col("conv_id").alias("up_conv"), F.col("turn").alias("up_turn"), F.col("up_conv").alias("_c"), F.col("up_turn").alias("_t"), F.col("depth").alias("_d"))
-        state = state.join(far, ["up_conv", "up_turn"]).select(
-            "conv_id", "turn", "reply_conv", "reply_turn", F.col("_c").alias("up_conv"), F.col("_t").alias("up_turn"), (F.col("depth") + F.col("_d")).alias("depth"), (F.col("_d") > 0).alias("_moved")
-        )
-        state = written(state, "threads")
-        if not state.where("_moved").limit(1).count():
-            break
-        state = state.drop("_moved")
-    return state.select("conv_id", "turn", "reply_conv", "reply_turn", F.col("up_conv").alias("thread_conv"), F.col("up_turn").alias("thread_turn"), "depth")
+    columns = ["conv_id", "turn", "reply_conv", "reply_turn", "up_conv", "up_turn", "depth"]
+    state = parents.select(*columns[:4], F.coalesce("reply_conv", "conv_id").alias("up_conv"), F.coalesce("reply_turn", "turn").alias("up_turn"), F.when(root, 0).otherwise(1).cast("long").alias("depth"))
+    placed, rest = state.where(root), state.where(~root)
+    while rest.limit(1).count():
+        # Only messages that don't know their root yet move on; what they meet is the state of all.
+        far = rest.withColumn("_done", F.lit(False)).unionByName(placed.withColumn("_done", F.lit(True)))
+        far = far.select(F.col("conv_id").alias("up_conv"), F.col("turn").alias("up_turn"), F.col("up_conv").alias("_c"), F.col("up_turn").alias("_t"), F.col("depth").alias("_d"), "_done")
+        moved = rest.join(far, ["up_conv", "up_turn"]).select(*columns[:4], F.col("_c").alias("up_conv"), F.col("_t").alias("up_turn"), (F.col("depth") + F.col("_d")).alias("depth"), "_done")
+        moved = written(moved, "threads")
+        placed, rest = placed.unionByName(moved.where("_done").drop("_done")), moved.where("not _done").drop("_done")
+    return placed.select(*columns[:4], F.col("up_conv").alias("thread_conv"), F.col("up_turn").alias("thread_turn"), "depth")
 
 
 def link_quotations(messages: DataFrame) -> DataFrame:
