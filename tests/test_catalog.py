@@ -25,7 +25,7 @@ def plain(v):
 def test_query(spark, oracle, name):
     df = catalog.QUERIES[name](spark, SF)
     rows = df.collect()
-    assert rows
+    assert rows or name in catalog.ORACLES
     if name in catalog.ORACLES:
         want = oracle.sql(catalog.ORACLES[name])
         assert sorted(df.columns) == sorted(want.columns)
