@@ -25,6 +25,7 @@ any other. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -39,8 +40,6 @@ from landgrid.llm.fingerprint import WordHashes, mixed, shingles
 
 #: Ratio of a band's bounds.
 BAND = 1.3
-#: Of the segments, what empty subsets may take before one-deletion neighbourhoods are needed.
-SLACK = 0.05
 #: Nodes of one key that are compared in one piece.
 UNIT = 512
 #: Bits of a parity sketch for each element that two sets may differ by.
@@ -82,10 +81,33 @@ class Scheme:
         last = int(np.searchsorted(self.bounds, size * 100 // self.percent))
         return range(max(own, 1), last + 1)
 
+    @cached_property
+    def _segments(self) -> dict[int, tuple[int, int]]:
+        return {}
+
     def segments(self, band: int) -> tuple[int, int]:
-        """H and m of a band."""
-        h = self.most(int(self.bounds[band]))
-        return h, h + 1 + max(1, int(np.ceil(SLACK * (h + 1))))
+        """H and m of a band; m has the least expected number of keys.
+
+        More segments make more keys; fewer leave less room for empty ones and make
+        more sets give their one-deletion neighbourhoods (size + m keys more).
+        """
+        if band not in self._segments:
+            top = int(self.bounds[band])
+            h = self.most(top)
+            low = max(1, (int(self.bounds[band - 1]) + 1) * self.percent // 100)
+            sizes = [low, int((low * top) ** 0.5), top]
+
+            def cost(m: int) -> float:
+                total = 0.0
+                for size in sizes:
+                    empty = math.exp(size * math.log1p(-1 / m))
+                    z = (m - h - 0.5 - m * empty) / math.sqrt(2 * max(m * empty * (1 - empty), 1e-9))
+                    total += m * (1 - empty) + 0.5 * math.erfc(z) * (size + m)
+                return total
+
+            step = max(1, h // 64)
+            self._segments[band] = h, min(range(h + 2, 2 * h + 8, step), key=cost)
+        return self._segments[band]
 
     def sketch_bits(self, band: int) -> int:
         return 1 << max(6, (SKETCH_BITS * self.segments(band)[0] - 1).bit_length())
