@@ -9,8 +9,8 @@
    than m - H - 1 can spare (cost-based allocation: only such a set) also gives the
    one-deletion neighbourhoods of its segments, and where its n-grams crowd into so
    few segments that even these don't suffice, every n-gram as a key.
-3. Keys that two nodes or more share are units of work, large ones cut into pairs
-   of chunks. In a unit, parity sketches (their Hamming distance never exceeds the
+3. The nodes that share a key are a unit of work (the same nodes only once, however
+   many keys they share), large ones cut into pairs of chunks. In a unit, parity sketches (their Hamming distance never exceeds the
    symmetric difference) leave the pairs that may qualify, and of these the least
    spanning forest goes to exact verification; components follow by contraction.
 4. A second pass over the units verifies every remaining pair that may qualify
@@ -43,7 +43,9 @@ BAND = 1.3
 #: Nodes of one key that are compared in one piece.
 UNIT = 512
 #: Bits of a parity sketch for each element that two sets may differ by.
-SKETCH_BITS = 16
+SKETCH_BITS = 8
+#: Units that a task remembers, to give each different one once.
+REMEMBERED = 1 << 20
 #: Ids that are sent to all executors at once; beyond, texts meet them by a shuffle.
 BROADCAST_ROWS = 2_000_000
 _U = np.uint64
@@ -110,7 +112,7 @@ class Scheme:
         return self._segments[band]
 
     def sketch_bits(self, band: int) -> int:
-        return 1 << max(6, (SKETCH_BITS * self.segments(band)[0] - 1).bit_length())
+        return 64 * max(1, -(-SKETCH_BITS * self.segments(band)[0] // 64))
 
 
 def _key(value, band: int, kind: int, segment) -> np.ndarray:
@@ -144,7 +146,7 @@ def keys(grams: np.ndarray, scheme: Scheme) -> np.ndarray:
 
 def sketch(grams: np.ndarray, bits: int) -> bytes:
     """The parity of how many n-grams fall on each bit."""
-    at = (mixed(grams + _U(0xD6E8FEB86659FD93)) & _U(bits - 1)).astype(np.int64)
+    at = (mixed(grams + _U(0xD6E8FEB86659FD93)) % _U(bits)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
@@ -209,39 +211,51 @@ def _chunk(nodes: np.ndarray, k: int) -> np.ndarray:
 def shared(index: DataFrame, unit: int = UNIT) -> DataFrame:
     """(key, ci, cj, node) of keys that two nodes or more have; large keys as pairs of chunks."""
 
-    def units(key: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def units(key: np.ndarray, node: np.ndarray, seen: set[int]) -> Iterator[pa.RecordBatch]:
         if not len(key):
             return
         first = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
         key, node = key[first], node[first]
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         size = np.diff(np.r_[start, len(key)])
-        small = np.repeat((size > 1) & (size <= unit), size)
+        # From here on a unit is named by its nodes and band: keys that the same nodes share are one unit.
+        with np.errstate(over="ignore"):
+            name = mixed(np.add.reduceat(mixed(node.astype(_U)), start))
+        name = ((name & ~_U(0xFF)) | (key[start].astype(_U) & _U(0xFF))).astype(np.int64)
+        new = size > 1
+        for i in np.flatnonzero(new).tolist():
+            if (n := int(name[i])) in seen:
+                new[i] = False
+            elif len(seen) < REMEMBERED:
+                seen.add(n)
+        small = np.repeat(new & (size <= unit), size)
         zero = np.zeros(int(small.sum()), np.int32)
-        yield batch(key[small], zero, zero, node[small])
-        for s, n in zip(start[size > unit].tolist(), size[size > unit].tolist()):
+        yield batch(np.repeat(name, size)[small], zero, zero, node[small])
+        large = new & (size > unit)
+        for s, n, k0 in zip(start[large].tolist(), size[large].tolist(), name[large].tolist()):
             own, k = node[s : s + n], -(-2 * n // unit)
             chunk = _chunk(own, k)
             for i in range(k):
                 mine = own[chunk == i]
-                yield batch(np.full(len(mine), key[s]), np.full(len(mine), i, np.int32), np.full(len(mine), i, np.int32), mine)
+                yield batch(np.full(len(mine), k0), np.full(len(mine), i, np.int32), np.full(len(mine), i, np.int32), mine)
                 for j in range(i + 1, k):
                     both = own[(chunk == i) | (chunk == j)]
-                    yield batch(np.full(len(both), key[s]), np.full(len(both), i, np.int32), np.full(len(both), j, np.int32), both)
+                    yield batch(np.full(len(both), k0), np.full(len(both), i, np.int32), np.full(len(both), j, np.int32), both)
 
     def batch(*columns: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ci", "cj", "node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = node = np.zeros(0, np.int64)
+        seen: set[int] = set()
         for b in batches:
             key, node = np.r_[key, b.column("key").to_numpy()], np.r_[node, b.column("node").to_numpy()]
             cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            yield from units(key[:cut], node[:cut])
+            yield from units(key[:cut], node[:cut], seen)
             key, node = key[cut:], node[cut:]
-        yield from units(key, node)
+        yield from units(key, node, seen)
 
-    return index.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, ci int, cj int, node long")
+    return index.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, ci int, cj int, node long").distinct()
 
 
 def profiles(docs: DataFrame, about: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
