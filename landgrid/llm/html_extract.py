@@ -82,6 +82,8 @@ NAME_WEIGHT = 25.0
 PARAGRAPH_FULL = 25
 KEEP_SIBLING = 0.2
 CLIMB = 0.75
+#: How much more an article or main element counts than another container of the same points.
+SEMANTIC = 1.5
 LINK_LIST = 0.5
 
 
@@ -296,24 +298,34 @@ def density(node: Node) -> float:
     return node.link_len / node.text_len if node.text_len else 0.0
 
 
+def _is_main(node: Node) -> bool:
+    return node.tag == "main" or bool(node.attrs) and "main" in attributes(node.attrs).get("role", "").lower().split()
+
+
+def _body_of(best: Node) -> Node:
+    """The outermost article around the best container, else the innermost main element that holds no article, else the container itself."""
+    around = [best, *best.up()]
+    articles = [x for x in around if x.tag == "article"]
+    if articles:
+        return articles[-1]
+    return next((x for x in around if _is_main(x) and not any(c.tag == "article" and c.text_len for c in _descendants(x))), best)
+
+
 def chosen(root: Node) -> list[Node]:
-    """The best container and the siblings that belong to it, in page order."""
+    """The best container by score and the siblings that belong to it, in page order; article and main only add weight."""
     scored = measure(root)
-    everything = _descendants(root)
-    articles = [x for x in everything if x.tag == "article" and x.text_len and not any(u.tag == "article" for u in x.up())]
-    mains = [x for x in everything if (x.tag == "main" or 'role="main"' in x.attrs) and x.text_len]
-    if articles:
-        best = max(articles, key=lambda x: (x.score, x.text_len, -x.order))
-    elif mains:
-        return mains[:1]
-    elif scored:
-        best = max(scored, key=lambda x: (x.score, -x.order))
-        for up in best.up():
-            if up.tag in ("body", "html", "#root") and up.score < best.score or up.score < CLIMB * best.score:
-                break
-            best = up
-    else:
+    if not scored:
         return [x for x in (root,) if x.text_len]
+    best = max(scored, key=lambda x: (x.score * (SEMANTIC if x.tag == "article" or _is_main(x) else 1), x.text_len, -x.order))
+    for up in best.up():
+        if up.tag in ("body", "html", "#root") and up.score < best.score or up.score < CLIMB * best.score:
+            break
+        best = up
+    peak = best.score
+    best = _body_of(best)
+    peak = max(peak, best.score)
+    while best.parent is not None and best.parent.tag not in ("body", "html", "#root") and best.parent.text_len == best.text_len:
+        best = best.parent  # a wrapper that holds nothing else: what belongs to it stands beside the wrapper
     if best.parent is None:
         return [best]
     kept = []
@@ -321,17 +333,15 @@ def chosen(root: Node) -> list[Node]:
         if x is best:
             kept.append(x)
         elif isinstance(x, Node) and x.text_len:
-            if best.tag == "article":
-                ok = x.tag == "article" and x.score >= max(10.0, KEEP_SIBLING * best.score)
-            elif x.tag in HEADINGS:
+            if x.tag in HEADINGS:
                 ok = density(x) < LINK_LIST and x.order < best.order
             elif x.tag == "p":
                 ok = density(x) < 0.25
             else:
-                ok = x.score >= max(1.0, KEEP_SIBLING * best.score) and density(x) < LINK_LIST
+                ok = x.score >= max(1.0, KEEP_SIBLING * peak) and density(x) < LINK_LIST
             if ok:
                 kept.append(x)
-        elif isinstance(x, str) and best.tag != "article" and x.strip():
+        elif isinstance(x, str) and x.strip():
             kept.append(x)
     return kept
 

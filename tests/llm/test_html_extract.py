@@ -44,6 +44,17 @@ def test_sections_join():
     assert X(page(body)) == f"{LONG.strip()}\n\n{LONG.strip()}"
 
 
+def test_semantic_tags_only_add_weight():
+    text, body = LONG.strip(), f"<p>{LONG}</p><p>{LONG}</p>"
+    teaser = "<article><p>Read this too.</p></article>"
+    assert X(page(f"<main>{teaser}<div class=x><h1>Title</h1>{body}</div></main>")) == f"Title\n\n{text}\n\n{text}"
+    assert X(page(f"{teaser}<section>{body}</section>")) == f"{text}\n\n{text}"
+    assert X(page(f"<article>{body}</article><div><p>{LONG}</p></div><p>The last, short.</p>")) == f"{text}\n\n{text}\n\n{text}\n\nThe last, short."
+    assert X(page(f"<div class=a><article>{body}</article></div><div class=b><p>{LONG}</p></div>")) == f"{text}\n\n{text}\n\n{text}"
+    assert X(page(f"<main><p>Loading.</p></main><div><div role='main'>{body}</div></div>")) == f"{text}\n\n{text}"
+    assert X(page(f"<article><section><div>{body}</div></section><section><p>Short.</p></section></article>")) == f"{text}\n\n{text}\n\nShort."
+
+
 def test_whitespace_and_entities():
     assert X("<article><p>a\n\t b&nbsp;c &#233;&#x41; &lt;b&gt;</p></article>") == "a b c éA <b>"
 
