@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -54,6 +55,11 @@ def deduplicated(log: DataFrame, delay: str = "1 hour") -> DataFrame:
     return log.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["key", "version"])
 
 
+def distinct(log: DataFrame) -> DataFrame:
+    """Each attempt once, however late and in whatever file it comes; the state holds every attempt, so for finite streams."""
+    return log.dropDuplicates(["key", "version"])
+
+
 def hourly(log: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Counts by status in windows of event time; late rows beyond the delay are left out."""
     return log.withWatermark("ts", delay).groupBy(F.window("ts", "1 hour"), "status").agg(F.count("*").alias("n"))
@@ -63,21 +69,48 @@ FSM_SCHEMA = "key long, transitions long, status string, terminal boolean"
 _ORDER = {"pending": 0, "failed": 1, "skipped": 2, "done": 2}
 
 
+def _life(events: dict[int, str]) -> tuple[int, str, dict[int, str]]:
+    """Transitions, status and the events up to the first terminal one, all that later-coming events can still change."""
+    n, status, kept = 0, "pending", {}
+    for v in sorted(events):
+        kept[v] = events[v]
+        if events[v] != status:
+            n, status = n + 1, events[v]
+        if _ORDER[status] == 2:
+            break
+    return n, status, kept
+
+
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A record's life: it never leaves a terminal status; failed may be retried."""
-    n, status, version = state.get if state.exists else (0, "pending", -1)
+    """A record's life in order of version, whatever the order of arrival: it never leaves a terminal status; failed may be retried."""
+    n, status, events = _life(dict(zip(*state.get)) if state.exists else {})
     for pdf in batches:
-        for v, s in sorted(zip(pdf["version"], pdf["status"])):
-            if v > version and _ORDER[status] < 2 and s != status:
-                n, status = n + 1, s
-            version = max(version, int(v))
-    state.update((n, status, version))
+        for v, s in zip(pdf["version"], pdf["status"]):
+            events[int(v)] = min(s, events.get(int(v), s))
+        n, status, events = _life(events)
+    state.update((list(events), list(events.values())))
     yield pd.DataFrame({"key": [key[0]], "transitions": [n], "status": [status], "terminal": [_ORDER[status] == 2]})
 
 
 def lifecycle(log: DataFrame) -> DataFrame:
-    """Record state machines over a stream; one row for each record that a batch touches."""
-    return log.groupBy("key").applyInPandasWithState(_advance, FSM_SCHEMA, "transitions long, status string, version long", "update", GroupStateTimeout.NoTimeout)
+    """Record state machines over a stream; one row for each record that a batch touches, the last one counts."""
+    return log.groupBy("key").applyInPandasWithState(_advance, FSM_SCHEMA, "versions array<long>, statuses array<string>", "update", GroupStateTimeout.NoTimeout)
+
+
+def settled(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Run a finite stream in update mode and return the last row of each key."""
+    spark = updates.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/landgrid-shared"
+    path = f"{root.rstrip('/')}/landgrid/updates-{uuid.uuid4().hex}"
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        batch.withColumn("_epoch", F.lit(epoch).cast("long")).write.mode("overwrite").parquet(f"{path}/batch{epoch}")
+
+    empty = spark.createDataFrame([], updates.schema).withColumn("_epoch", F.lit(-1).cast("long"))
+    empty.write.parquet(f"{path}/none")
+    updates.writeStream.foreachBatch(keep).outputMode("update").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(empty.schema).parquet(f"{path}/*")
+    return newest(rows, keys, "_epoch").drop("_epoch")
 
 
 def apply_corrections(changes: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
