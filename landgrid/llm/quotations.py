@@ -156,20 +156,24 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     )
 
 
-def chats(linked: DataFrame, turns: int = 64) -> DataFrame:
+def chats(linked: DataFrame, turns: int = 64, empty: bool = False) -> DataFrame:
     """Reply-ordered conversations as (thread_conv, thread_turn, part, messages<role, text>).
 
-    A part holds at most ``turns`` levels of depth, so a thread of any length is several rows.
+    A part holds at most ``turns`` levels of depth, so a thread of any length is several rows. Messages without a
+    whole key are conversations of their own. ``empty`` keeps messages that only quote or say nothing.
     """
     part = F.floor(F.col("depth") / turns).alias("part")
     item = F.struct("depth", "conv_id", "turn", "role", "text")
-    grouped = linked.where("text <> ''").groupBy("thread_conv", "thread_turn", part).agg(F.sort_array(F.collect_list(item)).alias("_m"))
+    rows = linked if empty else linked.where("text <> ''")
+    keyed = F.col("thread_conv").isNotNull() & F.col("thread_turn").isNotNull()
+    grouped = rows.where(keyed).groupBy("thread_conv", "thread_turn", part).agg(F.sort_array(F.collect_list(item)).alias("_m"))
+    grouped = grouped.unionByName(rows.where(~keyed).select("thread_conv", "thread_turn", part, F.array(item).alias("_m")))
     return grouped.select("thread_conv", "thread_turn", "part", F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text"))).alias("messages"))
 
 
 def op9_quotations(spark, sf_dir: str) -> DataFrame:
-    """Every row of ``conversations`` without quotes, in reply order."""
-    return link_quotations(table(spark, sf_dir, "conversations"))
+    """Every row of ``conversations`` without quotes, thread by thread in reply order."""
+    return link_quotations(table(spark, sf_dir, "conversations")).orderBy("thread_conv", "thread_turn", "depth", "conv_id", "turn")
 
 
 ORACLE = r"""

@@ -58,3 +58,18 @@ def test_nulls_repeats_and_none(spark):
     out = link_quotations(df).collect()
     assert len(out) == 5 and sorted(r.depth for r in out) == [0, 0, 0, 0, 1]
     assert link_quotations(df.limit(0)).collect() == []
+
+
+def test_conversations_are_whole_and_in_reply_order(spark, tmp_path):
+    rows = [*ROWS, (None, 0, "user", "no conversation"), (None, 0, "user", "nor here"), (1, None, None, "no turn")]
+    df = spark.createDataFrame(rows[::-1], "conv_id long, turn long, role string, text string")
+    df.repartition(4).write.parquet(f"{tmp_path}/conversations.parquet")
+    out = op9_quotations(spark, str(tmp_path)).collect()
+    keyed = [r for r in out if r.thread_conv is not None]
+    order = [(r.thread_conv, r.thread_turn, r.depth, r.conv_id, r.turn) for r in keyed]
+    assert len(out) == len(rows) and len(keyed) == len(ROWS) and order == sorted(order)
+    parts = chats(spark.createDataFrame(out), 3).collect()
+    assert sorted(m.text for p in parts if p.thread_conv is None for m in p.messages) == ["no conversation", "no turn", "nor here"]
+    assert all(len(p.messages) == 1 for p in parts if p.thread_conv is None)
+    whole = chats(spark.createDataFrame(out), 3, empty=True).collect()
+    assert sum(len(p.messages) for p in whole) == len(rows)
