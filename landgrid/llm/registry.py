@@ -29,6 +29,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_licenses": licenses.oracle(),
-    "op8_ngram_join": op8_ngram_join,
     "op9_quotations": quotations.ORACLE,
 }
