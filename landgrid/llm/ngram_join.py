@@ -31,6 +31,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -395,6 +396,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def join_ngrams(docs: DataFrame, scheme: Scheme = Scheme(), unit: int = UNIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of each row: the smallest id that links reach."""
+    return placed(docs, scheme, unit, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def placed(docs: DataFrame, scheme: Scheme = Scheme(), unit: int = UNIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, node, comp of each row; node and its component's least node are null for an empty set."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     about = written(described(docs, scheme), "sets")
     keyed = written(shared(indexed(docs, scheme), unit), "units")
@@ -413,17 +419,32 @@ def join_ngrams(docs: DataFrame, scheme: Scheme = Scheme(), unit: int = UNIT, id
     first = about.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_first"))
     first = first.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = first.groupBy("comp").agg(F.min("_first").alias("component_id"))
-    by_node = first.join(least, "comp").select("node", "component_id")
-    linked = about.where("node is not null").join(by_node, "node").select("doc_id", "n_shingles", "component_id")
-    return linked.unionByName(about.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    by_node = first.join(least, "comp").select("node", "component_id", "comp")
+    linked = about.where("node is not null").join(by_node, "node").select("doc_id", "n_shingles", "component_id", "node", "comp")
+    none = F.lit(None).cast("long")
+    return linked.unionByName(about.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), none.alias("node"), none.alias("comp")))
+
+
+def _node_of(scheme: Scheme):
+    """The node of a text, as a function of Columns."""
+
+    @F.pandas_udf("long")
+    def node(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        sets = Sets(scheme)
+        for batch in texts:
+            found = (sets(t.encode() if isinstance(t, str) else b"") for t in batch)
+            yield pd.Series([sets.node(g) if len(g) else None for g in found], dtype="Int64")
+
+    return node
 
 
 def keep_one(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     """Of each component the row with the smallest id, with all its columns; rows without an id stay.
 
-    Those that go are told to the rows by id: sent to all where they are few, else by a shuffle.
+    Those that go are told to the rows by id: sent to all where they are few, else by a shuffle. Rows whose id
+    repeats are told apart by their sets, and by their texts where those are empty; equal ones are one row.
     """
-    found = written(join_ngrams(docs, scheme), "duplicates")
+    found = written(placed(docs, scheme), "duplicates")
     gone = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     few = gone.count() <= BROADCAST_ROWS
     kept = docs.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("_gone"), "left_anti")
@@ -431,7 +452,12 @@ def keep_one(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     if not often.limit(1).count():
         return kept
     again = F.col("doc_id") == F.col("_often")
-    return kept.join(often, again, "left_anti").unionByName(kept.join(often, again, "left_semi").dropDuplicates(["doc_id"]))
+    first = found.where("component_id = doc_id and node is not null").join(often, again, "left_semi").groupBy("comp", "doc_id").agg(F.min("node").alias("_first"))
+    first = written(first.select(F.col("doc_id").alias("_id"), "_first"), "first")
+    rows = docs.join(often, again, "left_semi").withColumn("_node", _node_of(scheme)("text"))
+    chosen = rows.join(first, (F.col("doc_id") == F.col("_id")) & (F.col("_node") == F.col("_first")), "left_semi").dropDuplicates(["doc_id", "_node"])
+    empty = rows.where("_node is null").dropDuplicates(["doc_id", "text"])
+    return kept.join(often, again, "left_anti").unionByName(chosen.drop("_node")).unionByName(empty.drop("_node"))
 
 
 def op8_ngram_join(spark, sf_dir: str) -> DataFrame:
