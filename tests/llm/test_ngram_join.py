@@ -106,7 +106,7 @@ def test_query(spark):
 def test_keep_one_where_ids_repeat(spark):
     from landgrid.llm.ngram_join import keep_one
 
-    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcé")
     rows = [(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (4, d), (5, b), (6, "x"), (6, "y"), (6, "y"), (None, a)]
     out = keep_one(spark.createDataFrame(rows, "doc_id long, text string"), Scheme(5, 80)).collect()
     want = [(1, a), (2, b), (3, c), (3, d), (6, "x"), (6, "y"), (None, a)]
