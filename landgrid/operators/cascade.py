@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from landgrid.functions import fields, geometry
 from landgrid.operators import mining
-from landgrid.session import materialised
+from landgrid.session import written
 
 KEY3 = ["section", "twp", "rng"]
 OUT = ["stem", "source", "lat", "lon", "flags", "county_verified"]
@@ -206,7 +206,7 @@ def centroids(ready: DataFrame, sections: DataFrame) -> DataFrame:
 INPUT = ["stem", *KEY3, "ns", "ew", "county", "dot_row", "dot_col", "x_norm", "y_norm"]
 
 
-def resolve(rows: DataFrame, grid: DataFrame, materialise=materialised) -> DataFrame:
+def resolve(rows: DataFrame, grid: DataFrame, materialise=written) -> DataFrame:
     """All passes: every row once, with source, lat, lon and flags.
 
     ``materialise`` cuts the plan between passes: the fourth needs the results of

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from landgrid.functions import fields, geometry
 from landgrid.operators import cascade, detections, mining, reconcile, reports, sampling, status, tokens
 from landgrid.plans.views import view, with_views
-from landgrid.session import materialised
+from landgrid.session import written
 from landgrid.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -415,22 +415,22 @@ def _(records, grid):
 
 
 def first_pass(records: DataFrame, grid: DataFrame) -> DataFrame:
-    stats = materialised(mining.direction_stats(grid), "stats")
+    stats = written(mining.direction_stats(grid), "stats")
     ready = cascade.prepared(records.drop("centroid"), stats)
-    return cascade.pass1(ready, *(materialised(g, "grid") for g in cascade.grid_maps(grid)))
+    return cascade.pass1(ready, *(written(g, "grid") for g in cascade.grid_maps(grid)))
 
 
 @query("q_resolve_p2", "stem:s source:s lat:d lon:d", "records grid")
 def _(records, grid):
     """Pass 2: misses by directions, then by neighbouring sections of their county."""
-    stats = materialised(mining.direction_stats(grid), "stats")
-    return cascade.pass2(materialised(first_pass(records, grid).where("source = 'rds_miss'"), "misses"), grid, stats)
+    stats = written(mining.direction_stats(grid), "stats")
+    return cascade.pass2(written(first_pass(records, grid).where("source = 'rds_miss'"), "misses"), grid, stats)
 
 
 @query("q_resolve_p3", "stem:s twp:l ns:s rng:l ew:s missing:s", "records grid")
 def _(records, grid):
     """Pass 3: a missing township or range by its county's grid."""
-    return cascade.pass3(materialised(first_pass(records, grid).where("source = 'bounds_invalid'"), "invalid"), grid)
+    return cascade.pass3(written(first_pass(records, grid).where("source = 'bounds_invalid'"), "invalid"), grid)
 
 
 @query(
