@@ -2,54 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from landgrid.session import release, scratch_mark, shared_dir, written
+
+__all__ = ["WORD", "release", "scratch_mark", "shared_dir", "table", "written"]
+
 #: A word of the contracts that split at ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Used only where the session names no folder, as in tests on one machine.
-LOCAL_SHARED = "/tmp/landgrid-shared"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder, by Spark's reader alone, so that any store works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = LOCAL_SHARED
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-_written: list[str] = []
-
-
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet to the shared folder and read it back.
-
-    Compressed columns take a fraction of the space that ``checkpoint()`` would
-    take, survive the loss of executors, and can be read by column.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/landgrid/{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> int:
-    """Delete the scratch tables that this process wrote; returns how many. Call it when results are stored."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    n = 0
-    while _written:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        n += bool(path.getFileSystem(hadoop).delete(path, True))
-    return n

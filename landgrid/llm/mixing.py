@@ -14,9 +14,11 @@ groups again, level by level, until each source has one, which is drawn.
 
 DataFrame functions only. Defined results: null text counts as empty and takes
 nothing; a null source is a source of its own, last in order; draws depend on
-hashes of id and text alone, so reruns agree whatever the partitions; repeated
-rows are told apart by nothing and take the same words in any order; an empty
-table gives no rows; other columns of docs are not read.
+hashes of id and text alone, so reruns agree whatever the partitions; rows equal in
+id, text and source take part as one: of their common expectation the whole copies
+are dealt out evenly and only the rest is rounded, so however often a row repeats,
+no group grows; an empty table gives no rows; other columns of docs, whatever
+their names, pass through ``mix`` untouched and are not read.
 """
 
 from __future__ import annotations
@@ -98,17 +100,18 @@ def _level(items: DataFrame, level: int) -> DataFrame:
     return written(out, f"mix{level}")
 
 
-def mix_sizes(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, group: int = GROUP) -> DataFrame:
-    """doc_id, key, source, size, source_size, target, copies of each row of sizes."""
+def mix_totals(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, group: int = GROUP) -> DataFrame:
+    """doc_id, key, source, size, rows, source_size, target, total: the copies that all rows of one id, text and source take together."""
     goal = written(targets(sizes, weights, share, most), "targets")
-    largest = goal.agg(F.max("n_docs")).first()[0] or 0
+    each = sizes.groupBy("doc_id", "key", "source", "size").agg(F.count("*").alias("rows"))
     same = lambda a, b: F.col(f"a.{a}").eqNullSafe(F.col(f"b.{b}"))
-    rows = sizes.alias("a").join(goal.alias("b"), same("source", "source")).select("a.*", "b.source_size", "b.target", "b.n_docs")
-    mean = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    rows = each.alias("a").join(goal.alias("b"), same("source", "source")).select("a.*", "b.source_size", "b.target", "b.n_docs")
+    mean = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0) * F.col("rows")
     rows = rows.withColumn("_whole", F.floor(mean)).withColumn("p", mean - F.col("_whole"))
     fractional = (F.col("p") > 0) & (F.col("p") < 1)
     groups = F.ceil(F.col("n_docs") / group)
     items = rows.where(fractional).select("source", "doc_id", "key", "size", "p", F.pmod(F.xxhash64("key", F.lit(0)), groups).alias("_group"))
+    largest = goal.agg(F.max("n_docs")).first()[0] or 0
     decided, level, most_groups = [], 0, -(-largest // group)
     while True:
         done = _level(items, level)
@@ -119,31 +122,41 @@ def mix_sizes(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
         level += 1
         most_groups = -(-most_groups // group)
         items = rest.withColumn("_group", F.pmod(F.xxhash64("key", F.lit(level)), F.lit(most_groups)))
-    drawn = rest.withColumn("p", F.when(uniform(F.col("key"), F.col("doc_id")) < F.col("p"), 1.0).otherwise(0.0))
-    rounded = drawn
+    rounded = rest.withColumn("p", F.when(uniform(F.col("key"), F.col("doc_id")) < F.col("p"), 1.0).otherwise(0.0))
     for d in decided:
         rounded = rounded.unionByName(d)
-    rounded = rounded.join(goal, rounded["source"].eqNullSafe(goal["source"])).drop(goal["source"])
-    rounded = rounded.withColumn("copies", (F.floor(F.col("target") / F.col("source_size")) + F.col("p")).cast("long"))
-    whole = rows.where(~fractional).withColumn("copies", F.col("_whole").cast("long"))
-    columns = ["doc_id", "key", "source", "size", "source_size", "target", "copies"]
-    return rounded.select(columns).unionByName(whole.select(columns))
+    rounded = rounded.select("doc_id", "key", "source", F.col("p").alias("_drawn"))
+    on = same("key", "key") & same("doc_id", "doc_id") & same("source", "source")
+    drawn = rows.alias("a").join(rounded.alias("b"), on, "left").select("a.*", "b._drawn")
+    total = (F.col("_whole") + F.coalesce("_drawn", F.lit(0.0))).cast("long").alias("total")
+    return drawn.select("doc_id", "key", "source", "size", "rows", "source_size", "target", total)
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """The mix itself: the rows of docs, each as often as it is taken, with all their columns.
+def _own_copies(joined: DataFrame, *by: str) -> DataFrame:
+    """Add _copies: the total of equal rows, dealt as evenly as whole numbers go."""
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy(by[0]))
+    own = F.expr("total div rows") + F.when(nth <= F.col("total") % F.col("rows"), 1).otherwise(0)
+    return joined.withColumn("_copies", own)
 
-    Rows that share id and text get their common copies as evenly as whole numbers go.
-    """
-    sizes = written(sized(docs), "sizes")
-    copies = mix_sizes(sizes, weights, share, most).groupBy("doc_id", "key").agg(F.sum("copies").alias("_sum"), F.count("*").alias("_rows"))
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit("")))).alias("d")
-    joined = keyed.join(copies.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._key") == F.col("c.key")))
-    joined = joined.select("d.*", "_sum", "_rows")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy("_key"))
-    often = F.when(F.col("_rows") == 1, F.col("_sum")).otherwise(F.expr("_sum div _rows") + F.when(F.col("_nth") <= F.col("_sum") % F.col("_rows"), 1).otherwise(0))
-    joined = joined.withColumn("_nth", nth).withColumn("_often", often).where("_often > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_often").cast("int")))).select(*docs.columns)
+
+def mix_sizes(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, group: int = GROUP) -> DataFrame:
+    """doc_id, key, source, size, source_size, target, copies of each row of sizes."""
+    totals = mix_totals(sizes, weights, share, most, group).alias("b")
+    same = lambda c: F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    joined = sizes.alias("a").join(totals, same("key") & same("doc_id") & same("source")).select("a.*", "b.rows", "b.source_size", "b.target", "b.total")
+    dealt = _own_copies(joined, "key", "doc_id", "source")
+    return dealt.select("doc_id", "key", "source", "size", "source_size", "target", F.col("_copies").alias("copies"))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The mix itself: the rows of docs, each as often as it is taken, with all their columns."""
+    totals = mix_totals(written(sized(docs), "sizes"), weights, share, most).select("doc_id", "key", "source", "rows", "total").alias("b")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    keyed = docs.select(row, F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))).alias("key"), "doc_id", "source").alias("a")
+    same = lambda c: F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    joined = keyed.join(totals, same("key") & same("doc_id") & same("source")).select("a._row", "a.key", "a.doc_id", "a.source", "b.rows", "b.total").where("total > 0")
+    dealt = _own_copies(joined, "key", "doc_id", "source").where("_copies > 0")
+    return dealt.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:

@@ -10,12 +10,19 @@
    one-deletion neighbourhoods of its segments, and where its n-grams crowd into so
    few segments that even these don't suffice, every n-gram as a key.
 3. The nodes that share a key are a unit of work (the same nodes only once, however
-   many keys they share), large ones cut into pairs of chunks. In a unit, parity sketches (their Hamming distance never exceeds the
-   symmetric difference) leave the pairs that may qualify, and of these the least
-   spanning forest goes to exact verification; components follow by contraction.
-4. A second pass over the units verifies every remaining pair that may qualify
-   and joins two components. So no link between components is lost, and pairs
-   within a component are never listed.
+   many keys they share); large ones are cut into chunks. In a chunk, parity
+   sketches (their Hamming distance never exceeds the symmetric difference) leave
+   the pairs that may qualify, and of these the least spanning forest goes to exact
+   verification; components follow by contraction.
+4. A second pass looks at all pairs of different components that share a unit,
+   chunk against chunk. The nodes of pairs that may still qualify meet with their
+   whole sets, units that overlap as one family, each pair of chunks in a task of its
+   own. They are verified there, and only links that join two components leave: at
+   most one less than the nodes. So no link between components is lost, and neither
+   pairs within a component nor pairs that fail are ever listed.
+
+Keys that many texts have are found in a sample and dealt by salt besides; the sample
+decides how work is dealt, never what is compared.
 
 Defined results: a text with fewer words than n has its whole sequence as one
 n-gram; null text or one without words has no set and links with nothing;
@@ -36,15 +43,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landgrid.llm.common import table, written
+from landgrid.llm.common import release, scratch_mark, table, written
 from landgrid.llm.fingerprint import WordHashes, mixed, shingles
 
 #: Ratio of a band's bounds.
 BAND = 1.3
-#: Nodes of one key that are compared in one piece.
-UNIT = 512
+#: Nodes of one key that are compared in one piece, by sketches.
+UNIT = 2048
+#: Nodes, and bytes of their sets, that are verified in one piece.
+MEET, MEET_BYTES = 1024, 16 << 20
+#: Texts of the sample that tells which keys are dealt by salt besides, how often such a key occurs there, and the salts.
+SAMPLE, OFTEN, SALTS = 4000, 40, 64
 #: Bits of a parity sketch for each element that two sets may differ by.
 SKETCH_BITS = 8
+#: So many times finer are the sketches that are made where whole sets meet.
+FINER = 4
 #: Units that a task remembers, to give each different one once.
 REMEMBERED = 1 << 20
 #: Ids that are sent to all executors at once; beyond, texts meet them by a shuffle.
@@ -184,8 +197,9 @@ def described(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, node long")
 
 
-def indexed(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """(key, node) of each different set, once a partition."""
+def indexed(docs: DataFrame, scheme: Scheme, often: np.ndarray | None = None) -> DataFrame:
+    """(key, salt, node) of each different set, once a partition; salt is 0 but for the keys in ``often``."""
+    often = np.sort(np.zeros(0, np.int64) if often is None else often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, seen = Sets(scheme), set()
@@ -200,63 +214,127 @@ def indexed(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 nodes.append(node)
                 counts.append(len(found[-1]))
             flat = np.concatenate([*found, np.zeros(0, _U)]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(np.array(nodes, np.int64), counts))], names=["key", "node"])
+            node = np.repeat(np.array(nodes, np.int64), counts)
+            salt = np.zeros(len(flat), np.int32)
+            if len(often):
+                hot = often[np.minimum(np.searchsorted(often, flat), len(often) - 1)] == flat
+                salt[hot] = 1 + (mixed(node[hot].astype(_U)) % _U(SALTS)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(salt), pa.array(node)], names=["key", "salt", "node"])
 
-    return docs.mapInArrow(run, "key long, node long")
+    return docs.mapInArrow(run, "key long, salt int, node long")
 
 
-def _chunk(nodes: np.ndarray, k: int) -> np.ndarray:
-    return (mixed(nodes.astype(_U)) % _U(k)).astype(np.int32)
+def frequent(docs: DataFrame, scheme: Scheme, rows: int) -> np.ndarray:
+    """Keys that occur OFTEN in a sample of SAMPLE texts; at most the sample's keys / OFTEN."""
+    if rows <= SAMPLE:
+        return np.zeros(0, np.int64)
+    few = indexed(docs.sample(SAMPLE / rows, seed=5), scheme).groupBy("key").agg(F.count("*").alias("n"))
+    return np.array([r[0] for r in few.where(F.col("n") >= OFTEN).select("key").collect()], np.int64)
 
 
 def shared(index: DataFrame, unit: int = UNIT) -> DataFrame:
-    """(key, ci, cj, node) of keys that two nodes or more have; large keys as pairs of chunks."""
+    """(key, large, node), each once, of keys that two nodes or more have.
 
-    def units(key: np.ndarray, node: np.ndarray, seen: set[int]) -> Iterator[pa.RecordBatch]:
+    Small units are named by their nodes and band, so keys that the same nodes share
+    are one. Nodes of large ones, and of keys with salt, pass by and are never held.
+    """
+
+    def batch(key: np.ndarray, large: bool, node: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), large)), pa.array(node)], names=["key", "large", "node"])
+
+    def first_of(key: np.ndarray, node: np.ndarray, last: tuple) -> np.ndarray:
+        new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.zeros(0, bool)
+        if len(key) and (key[0], node[0]) == last:
+            new[0] = False
+        return new
+
+    def whole(key: np.ndarray, node: np.ndarray, seen: set[int]) -> Iterator[pa.RecordBatch]:
         if not len(key):
             return
-        first = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
+        first = first_of(key, node, ())
         key, node = key[first], node[first]
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         size = np.diff(np.r_[start, len(key)])
-        # From here on a unit is named by its nodes and band: keys that the same nodes share are one unit.
         with np.errstate(over="ignore"):
             name = mixed(np.add.reduceat(mixed(node.astype(_U)), start))
         name = ((name & ~_U(0xFF)) | (key[start].astype(_U) & _U(0xFF))).astype(np.int64)
-        new = size > 1
+        new = (size > 1) & (size <= unit)
         for i in np.flatnonzero(new).tolist():
             if (n := int(name[i])) in seen:
                 new[i] = False
             elif len(seen) < REMEMBERED:
                 seen.add(n)
-        small = np.repeat(new & (size <= unit), size)
-        zero = np.zeros(int(small.sum()), np.int32)
-        yield batch(np.repeat(name, size)[small], zero, zero, node[small])
-        large = new & (size > unit)
-        for s, n, k0 in zip(start[large].tolist(), size[large].tolist(), name[large].tolist()):
-            own, k = node[s : s + n], -(-2 * n // unit)
-            chunk = _chunk(own, k)
-            for i in range(k):
-                mine = own[chunk == i]
-                yield batch(np.full(len(mine), k0), np.full(len(mine), i, np.int32), np.full(len(mine), i, np.int32), mine)
-                for j in range(i + 1, k):
-                    both = own[(chunk == i) | (chunk == j)]
-                    yield batch(np.full(len(both), k0), np.full(len(both), i, np.int32), np.full(len(both), j, np.int32), both)
-
-    def batch(*columns: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ci", "cj", "node"])
+        small, big = np.repeat(new, size), np.repeat(size > unit, size)
+        yield batch(np.repeat(name, size)[small], False, node[small])
+        if big.any():
+            yield batch(key[big], True, node[big])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = node = np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         seen: set[int] = set()
+        last_hot = last_open = ()
+        open_key = None
         for b in batches:
-            key, node = np.r_[key, b.column("key").to_numpy()], np.r_[node, b.column("node").to_numpy()]
-            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            yield from units(key[:cut], node[:cut], seen)
-            key, node = key[cut:], node[cut:]
-        yield from units(key, node, seen)
-
-    return index.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, ci int, cj int, node long").distinct()
+            key, salt, node = (b.column(c).to_numpy() for c in ("key", "salt", "node"))
+            hot = salt > 0
+            if hot.any():
+                k, n = key[hot], node[hot]
+                new = first_of(k, n, last_hot)
+                last_hot = (k[-1], n[-1])
+                yield batch(k[new], True, n[new])
+                key, node = key[~hot], node[~hot]
+            if not len(key):
+                continue
+            if open_key is not None:
+                end = int(np.searchsorted(key, open_key, "right")) if key[0] == open_key else 0
+                k, n = key[:end], node[:end]
+                new = first_of(k, n, last_open)
+                yield batch(k[new], True, n[new])
+                if end:
+                    last_open = (k[-1], n[-1])
+                key, node = key[end:], node[end:]
+                if not len(key):
+                    continue
+                open_key = None
+            if held and held[-1][0][-1] != key[0]:
+                yield from whole(*map(np.concatenate, zip(*held)), seen)
+                held = []
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield from whole(*map(np.concatenate, zip(*held, (key[:cut], node[:cut]))), seen)
+                held = []
+            held.append((key[cut:], node[cut:]))
+            if sum(len(k) for k, _ in held) > 4 * unit:
+                k, n = map(np.concatenate, zip(*held))
+                new, held = first_of(k, n, ()), []
+                if new.sum() > unit:
+                    yield batch(k[new], True, n[new])
+                    open_key, last_open = k[-1], (k[-1], n[-1])
+                else:
+                    held = [(k[new], n[new])]
+        if held:
+            yield from whole(*map(np.concatenate, zip(*held)), seen)
+        yield batch(none, False, none)
+
+    dealt = index.repartition("key", "salt").sortWithinPartitions("salt", "key", "node")
+    return dealt.mapInArrow(run, "key long, large boolean, node long").distinct()
+
+
+def chunked(keyed: DataFrame, unit: int = UNIT) -> DataFrame:
+    """(unit, band, chunks, chunk, node): small units as they are, large ones with their number of chunks and each node's chunk.
+
+    Large keys that hold the same nodes are one unit; a key with salt may turn out to have a single node.
+    """
+    band = F.col("key").bitwiseAND(0xFF).cast("int").alias("band")
+    small = keyed.where("not large").select(F.col("key").alias("unit"), band, F.lit(1).alias("chunks"), F.lit(0).alias("chunk"), "node")
+    large = keyed.where("large")
+    name = F.sum(F.xxhash64("node").cast("decimal(20,0)")).cast("string")
+    sizes = large.groupBy("key").agg(F.count("*").alias("n"), name.alias("name")).where("n > 1")
+    sizes = sizes.groupBy("n", "name", band).agg(F.min("key").alias("key"))
+    sizes = sizes.select("key", F.when(F.col("n") <= unit, 1).otherwise(F.ceil(2 * F.col("n") / unit)).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("chunks")).cast("int").alias("chunk")
+    return small.unionByName(large.join(sizes, "key").select(F.col("key").alias("unit"), band, "chunks", chunk, "node"))
 
 
 def profiles(docs: DataFrame, about: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -283,60 +361,65 @@ def profiles(docs: DataFrame, about: DataFrame, nodes: DataFrame, scheme: Scheme
     return written(found.dropDuplicates(["node"]), "profiles")
 
 
-def _spanning(gap: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of the least spanning forest of a matrix whose infinite entries are no edges."""
-    n = len(gap)
+class Unit:
+    """Nodes that may have links among themselves, with their sketches; rows of the matrix of pairs are made when asked for."""
+
+    def __init__(self, scheme: Scheme, node: np.ndarray, size: np.ndarray, marks: list[bytes], side: np.ndarray):
+        self.scheme, self.node, self.size, self.side = scheme, node, size, side
+        self.bits = np.frombuffer(b"".join(marks), _U).reshape(len(node), -1)
+
+    def row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sketch distances to node i, and which nodes may qualify with it. Nodes of one side (but 0) don't meet."""
+        gap = np.bitwise_count(self.bits ^ self.bits[i]).sum(1, dtype=np.int64)
+        own = self.size[i]
+        ok = (gap <= self.scheme.differ(self.size + own)) & (100 * np.minimum(self.size, own) >= self.scheme.percent * np.maximum(self.size, own))
+        ok &= (self.side != self.side[i]) | (self.side == 0)
+        ok[i] = False
+        return gap, ok
+
+
+def spanning(unit: Unit) -> list[tuple[int, int]]:
+    """Edges of the least spanning forest of the pairs that may qualify, by sketch distance."""
+    n = len(unit.node)
+    if n == 2:
+        return [(0, 1)] if unit.row(0)[1][1] else []
     out, free, best, parent = [], np.ones(n, bool), np.full(n, np.inf), np.zeros(n, int)
     for _ in range(n):
         i = int(np.argmin(np.where(free, best, np.inf)))
         if not free[i] or best[i] == np.inf:
             i = int(np.argmax(free))
-        elif best[i] < np.inf:
+        else:
             out.append((int(parent[i]), i))
         free[i] = False
-        closer = free & (gap[i] < best)
-        best[closer], parent[closer] = gap[i][closer], i
+        gap, ok = unit.row(i)
+        closer = free & ok & (gap < best)
+        best[closer], parent[closer] = gap[closer], i
     return out
 
 
-def candidates(units: DataFrame, scheme: Scheme, across: bool) -> DataFrame:
-    """Different pairs (a, b) that may qualify.
+def _by_unit(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list | None]:
+    """The rows of each unit (the batches' first ``columns`` name it), as lists of the rest; None after each batch."""
+    held: list = []
+    unit = None
+    for batch in batches:
+        for values in zip(*(c.to_pylist() for c in batch.columns)):
+            if unit != values[:columns]:
+                if len(held) > 1:
+                    yield held
+                held, unit = [], values[:columns]
+            held.append(values)
+        yield None
+    if len(held) > 1:
+        yield held
 
-    Of each unit the least spanning forest, or, with ``across``, every pair of
-    different components.
-    """
-    columns = ["key", "ci", "cj", "node", "size", "sketch", *(["comp"] if across else [])]
-
-    def pairs(node: np.ndarray, size: np.ndarray, marks: list[bytes], comp: np.ndarray | None) -> list[tuple[int, int]]:
-        if comp is not None and (comp == comp[0]).all():
-            return []
-        bits = np.frombuffer(b"".join(marks), _U).reshape(len(node), -1)
-        total = size[:, None] + size
-        limit = scheme.differ(total)
-        gap = np.stack([np.bitwise_count(row ^ bits).sum(1, dtype=np.int64) for row in bits])
-        ok = (gap <= limit) & (100 * np.minimum(size[:, None], size) >= scheme.percent * np.maximum(size[:, None], size))
-        np.fill_diagonal(ok, False)
-        if comp is not None:
-            found = np.argwhere(np.triu(ok & (comp[:, None] != comp)))
-        else:
-            found = _spanning(np.where(ok, gap.astype(float), np.inf)) if ok.any() else []
-        return [(min(node[i], node[j]), max(node[i], node[j])) for i, j in found]
+
+def candidates(units: DataFrame, scheme: Scheme) -> DataFrame:
+    """Different pairs (a, b) that may qualify: the least spanning forest of each chunk of a unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        unit = None
         seen: set[tuple[int, int]] = set()
         out: list[tuple[int, int]] = []
 
-        def close() -> None:
-            if len(held) > 1:
-                node, size, marks, *comp = zip(*held)
-                for pair in pairs(np.array(node), np.array(size), marks, np.array(comp[0]) if comp else None):
-                    if pair not in seen:
-                        seen.add(pair)
-                        out.append(pair)
-            held.clear()
-
         def flush() -> pa.RecordBatch:
             a, b = zip(*out) if out else ((), ())
             out.clear()
@@ -344,17 +427,113 @@ def candidates(units: DataFrame, scheme: Scheme, across: bool) -> DataFrame:
                 seen.clear()
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        for batch in batches:
-            for key, ci, cj, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if unit != (key, ci, cj):
-                    close()
-                    unit = (key, ci, cj)
-                held.append(row)
-            yield flush()
-        close()
+        for rows in _by_unit(batches, 2):
+            if rows is None:
+                yield flush()
+                continue
+            _, _, node, size, marks = zip(*rows)
+            found = Unit(scheme, np.array(node), np.array(size), marks, np.zeros(len(node), np.int8))
+            for i, j in spanning(found):
+                pair = (min(node[i], node[j]), max(node[i], node[j]))
+                if pair not in seen:
+                    seen.add(pair)
+                    out.append(pair)
         yield flush()
 
-    dealt = units.select(*columns).repartition("key", "ci", "cj").sortWithinPartitions("key", "ci", "cj", "node")
+    dealt = units.select("unit", "chunk", "node", "size", "sketch").repartition("unit", "chunk").sortWithinPartitions("unit", "chunk", "node")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def against(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows with chunk and chunks, once for each pair of chunks (ci, cj) that they take part in; side 1 or 2 where two chunks meet."""
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("_o")
+    out = rows.select("*", other)
+    ci, cj = F.least("chunk", "_o"), F.greatest("chunk", "_o")
+    side = F.when(F.col("chunk") == F.col("_o"), 0).when(F.col("chunk") < F.col("_o"), 1).otherwise(2)
+    return out.withColumns({"ci": ci, "cj": cj, "side": side}).drop("_o", "chunk", "chunks").repartition(*by, "ci", "cj").sortWithinPartitions(*by, "ci", "cj", "node")
+
+
+def open_nodes(units: DataFrame, scheme: Scheme) -> DataFrame:
+    """(unit, band, node): of each piece of a unit the nodes that may qualify with one of another component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_unit(batches, 3):
+            if rows is None:
+                continue
+            unit, ci, cj, node, size, marks, comp, side, band = zip(*rows)
+            comp = np.array(comp)
+            if (comp == comp[0]).all():
+                continue
+            found = Unit(scheme, np.array(node), np.array(size), marks, np.array(side))
+            wanted = np.zeros(len(node), bool)
+            for i in range(len(node)):
+                wanted[i] = bool((found.row(i)[1] & (comp != comp[i])).any())
+            if wanted.any():
+                n = int(wanted.sum())
+                name = hash((unit[0], ci[0], cj[0]))  # of integers: alike in every process
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, name)), pa.array(np.full(n, band[0], np.int32)), pa.array(found.node[wanted])], names=["unit", "band", "node"])
+
+    dealt = against(units.select("unit", "chunks", "chunk", "node", "size", "sketch", "comp", "band"), "unit")
+    return dealt.select("unit", "ci", "cj", "node", "size", "sketch", "comp", "side", "band").mapInArrow(run, "unit long, band int, node long")
+
+
+def families(needs: DataFrame) -> DataFrame:
+    """(work, band, node) from (unit, band, node): units that overlap become one where that makes no more pairs than they hold by themselves."""
+    each = written(needs.groupBy("unit").agg(F.min("node").alias("hub"), F.max("band").alias("band"), F.count("*").alias("n")), "open_units")
+    star = needs.join(each.select("unit", "hub"), "unit").where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    kin = components(written(star, "kin"))
+    size = kin.groupBy("comp").agg(F.count("*").alias("_f"))
+    each = each.join(kin.withColumnRenamed("node", "hub"), "hub")
+    total = each.groupBy("comp").agg(F.sum((F.col("n") * F.col("n")).cast("double")).alias("_s"), F.max("band").alias("_band")).join(size, "comp")
+    total = written(total.select("comp", "_band", (F.col("_f").cast("double") * F.col("_f") <= F.col("_s")).alias("_one")), "families")
+    one = kin.join(total.where("_one"), "comp").select(F.col("comp").alias("work"), F.lit(1).alias("kind"), F.col("_band").alias("band"), "node")
+    apart = each.join(total.where("not _one"), "comp").select("unit")
+    single = needs.join(apart, "unit").select(F.col("unit").alias("work"), F.lit(0).alias("kind"), "band", "node")
+    return one.unionByName(single)
+
+
+def meeting(needs: DataFrame, sets: DataFrame, comps: DataFrame, scheme: Scheme) -> DataFrame:
+    """(a, b): links between different components among the nodes of a work, verified by whole sets; at most one less than the nodes of a piece."""
+    work = written(families(needs), "work")
+    by = ["work", "kind"]
+    light = work.join(sets.select("node", "size"), "node")
+    volume = light.groupBy(by).agg(F.count("*").alias("_n"), F.sum("size").alias("_g"))
+    pieces = F.greatest(F.ceil(F.col("_n") / MEET), F.ceil(F.col("_g") * 8 / MEET_BYTES))
+    volume = volume.select(*by, F.when(pieces <= 1, 1).otherwise(2 * pieces).cast("int").alias("chunks"))
+    rows = work.join(volume, by).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64(F.lit(4), "node"), F.col("chunks")).cast("int"))
+    dealt = against(rows.join(sets.select("node", "grams"), "node"), *by).select(*by, "ci", "cj", "node", "comp", "side", "band", "grams")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_unit(batches, 4):
+            if rows is None:
+                continue
+            *_, node, comp, side, band, grams = zip(*rows)
+            if len(set(comp)) < 2:
+                continue
+            grams = [np.frombuffer(g, _U) for g in grams]
+            bits = FINER * scheme.sketch_bits(band[0])
+            found = Unit(scheme, np.array(node), np.array([len(g) for g in grams]), [sketch(g, bits) for g in grams], np.array(side))
+            labels, own = np.unique(np.array(comp), return_inverse=True)
+            out: list[tuple[int, int]] = []
+            left = len(labels) - 1
+            for i in range(len(node)):
+                ok = found.row(i)[1] & (own != own[i])
+                ok[:i] = False
+                for j in np.flatnonzero(ok).tolist():
+                    if own[j] == own[i]:
+                        continue
+                    both = len(np.intersect1d(grams[i], grams[j], assume_unique=True))
+                    if 100 * both >= scheme.percent * (len(grams[i]) + len(grams[j]) - both):
+                        own[own == own[j]] = own[i]
+                        out.append((min(node[i], node[j]), max(node[i], node[j])))
+                        left -= 1
+                if not left:
+                    break
+            if out:
+                a, b = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -402,20 +581,21 @@ def join_ngrams(docs: DataFrame, scheme: Scheme = Scheme(), unit: int = UNIT, id
 def placed(docs: DataFrame, scheme: Scheme = Scheme(), unit: int = UNIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, node, comp of each row; node and its component's least node are null for an empty set."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    mark = scratch_mark()
     about = written(described(docs, scheme), "sets")
-    keyed = written(shared(indexed(docs, scheme), unit), "units")
+    keyed = written(shared(indexed(docs, scheme, frequent(docs, scheme, about.count())), unit), "units")
     sets = profiles(docs, about, keyed.select("node").distinct(), scheme)
-    band = (F.col("key").bitwiseAND(0xFF)).cast("int")
     light = sets.select("node", "size", "sketches")
-    units = keyed.join(light, "node").withColumn("sketch", F.element_at("sketches", band)).drop("sketches")
-    tried = written(candidates(units, scheme, False), "pairs")
-    links = written(verified(tried, sets, scheme), "links")
+    units = chunked(keyed, unit).join(light, "node").withColumn("sketch", F.element_at("sketches", F.col("band"))).drop("sketches")
+    links = written(verified(written(candidates(units, scheme), "pairs"), sets, scheme), "links")
     comps = components(links)
     labelled = units.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    rest = written(candidates(labelled, scheme, True).join(tried, ["a", "b"], "left_anti"), "more_pairs")
-    more = written(verified(rest, sets, scheme), "more_links")
-    if more.limit(1).count():
-        comps = components(links.unionByName(more))
+    needs = written(open_nodes(labelled, scheme), "open")
+    if needs.limit(1).count():
+        more = written(meeting(needs, sets, comps, scheme), "more_links")
+        if more.limit(1).count():
+            comps = components(links.unionByName(more))
+    release(docs.sparkSession, mark, (about, comps))  # all that is still to be read
     first = about.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_first"))
     first = first.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = first.groupBy("comp").agg(F.min("_first").alias("component_id"))

@@ -3,7 +3,7 @@
 Statistics of each whole text (no label, language, source or id among them) are
 standardised and mapped to random Fourier features, which approximate a
 Gaussian kernel. Ridge scores are fitted from normal equations that every
-partition sums on its own; a reduction keyed by partition adds the sums up. An
+partition sums on its own; a reduction tree keyed by partition adds the sums up. An
 isotonic fit on a fold of its own turns scores into probabilities.
 
 Defined results: null text counts as empty; empty texts are scored like others
@@ -30,8 +30,8 @@ FEATURES = 256
 WIDTH = 4.0
 RIDGE = 1e-4
 SEED = 7
-#: Partition sums are added in so many groups before they reach the driver.
-REDUCERS = 8
+#: So many partitions' sums are added at a time, level by level, until as few reach the driver.
+FAN_IN = 16
 #: Scores are calibrated in steps of 1 / STEPS.
 STEPS = 2000
 KEEP_FROM = 0.7
@@ -125,7 +125,7 @@ def _rows(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def _summed(labelled: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Z'Z and Z'y, summed by partition, then by REDUCERS keys, then on the driver."""
+    """Z'Z and Z'y, summed by partition, then FAN_IN sums at a time; no task and not the driver holds more."""
     d = len(model.phases) + 1
 
     def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,15 +135,19 @@ def _summed(labelled: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             z, y = model.fourier(_rows(batch, "features")), batch.column("label").to_numpy(zero_copy_only=False)
             total += z.T @ np.column_stack([z, y])
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % REDUCERS], pa.int32()), pa.array([total.tobytes()])], names=["part", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()])], names=["part", "sums"])
 
     def reduce(pdf):
         total = sum(np.frombuffer(b) for b in pdf["sums"])
         return pdf.head(1).assign(sums=[total.tobytes()])
 
     schema = "part int, sums binary"
-    parts = labelled.select("features", "label").mapInArrow(partition, schema).groupBy("part").applyInPandas(reduce, schema).collect()
-    total = sum((np.frombuffer(r["sums"]) for r in parts), np.zeros(d * (d + 1))).reshape(d, d + 1)
+    parts = written(labelled.select("features", "label").mapInArrow(partition, schema), "normal_equations")
+    left = (parts.agg(F.max("part")).first()[0] or 0) + 1
+    while left > FAN_IN:
+        left = -(-left // FAN_IN)
+        parts = written(parts.withColumn("part", F.pmod("part", F.lit(left))).groupBy("part").applyInPandas(reduce, schema), "normal_equations")
+    total = sum((np.frombuffer(r["sums"]) for r in parts.collect()), np.zeros(d * (d + 1))).reshape(d, d + 1)
     return total[:, :-1], total[:, -1]
 
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from landgrid.llm.ngram_join import Scheme, _spanning, join_ngrams, keys, mixed, op8_ngram_join
+from landgrid.llm.ngram_join import Scheme, Unit, join_ngrams, keys, mixed, op8_ngram_join, sketch, spanning
 
 
 def brute(docs, n, percent):
@@ -87,9 +87,32 @@ def test_bound_holds_for_all_small_sizes():
 
 
 def test_spanning():
-    inf = np.inf
-    gap = np.array([[inf, 1, 5, inf], [1, inf, 2, inf], [5, 2, inf, inf], [inf, inf, inf, inf]])
-    assert sorted(tuple(sorted(e)) for e in _spanning(gap)) == [(0, 1), (1, 2)]
+    scheme = Scheme(1, 80)
+    sets = [np.unique(mixed(np.arange(k, k + 100).astype(np.uint64))) for k in (0, 3, 5, 5000)]
+    unit = Unit(scheme, np.arange(4), np.full(4, 100), [sketch(s, 1024) for s in sets], np.zeros(4, int))
+    assert sorted(tuple(sorted(e)) for e in spanning(unit)) == [(0, 1), (1, 2)]
+
+
+@pytest.mark.parametrize("edits,unit", [(9, 2048), (6, 64), (3, 16)])
+def test_large_group_at_the_threshold(spark, monkeypatch, edits, unit):
+    """Copies of one text, about as far from each other as the threshold: by chunks, by salt, by pieces and at once."""
+    import landgrid.llm.ngram_join as module
+
+    rng = random.Random(edits)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    docs = []
+    for i in range(300):
+        own = list(base)
+        for _ in range(rng.randint(0, edits)):
+            own[rng.randrange(300)] = f"x{rng.randrange(10**9)}"
+        docs.append((i, " ".join(own)))
+    docs += [(1000 + i, t) for i, t in corpus(edits, 20, (20, 60), 0.08)]
+    if unit < 2048:
+        for name, value in (("SAMPLE", 200), ("OFTEN", 10), ("MEET", 40)):
+            monkeypatch.setattr(module, name, value)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((tuple(r) for r in join_ngrams(df, Scheme(5, 80), unit).collect()), key=str)
+    assert got == brute(docs, 5, 80)
 
 
 def test_none(spark):
