@@ -18,10 +18,10 @@ such text, 0 to any other. Repeated ids are put in order by their text.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +35,13 @@ SEED = 20240131
 #: Terms that are sampled at a time.
 BLOCK = 1024
 #: Entries of a worker's memo of word -> hash.
-MEMO = 400_000
+MEMO = 200_000
 #: Text that one task puts in order.
 BUCKET_BYTES = 16 << 20
+#: Buckets at most; beyond, each is larger (a task reads its bucket in order and holds two texts).
+MOST_BUCKETS = 4096
+#: Characters of a text that tell buckets apart where ids repeat.
+TIE = 64
 
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
@@ -147,39 +151,54 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprint", samples: int = SAMPLES, shingle: int = SHINGLE) -> DataFrame:
     """Add the fingerprint of each text; a map, without any shuffle."""
 
-    @F.pandas_udf(T.StringType())
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         make = Fingerprinter(samples, shingle)
         for batch in texts:
-            yield pd.Series([as_text(make((t or "").encode())) for t in batch], dtype=object)
+            yield pa.array([as_text(make((t or "").encode())) for t in batch.to_pylist()], pa.string())
 
+    of = F.arrow_udf(of, T.StringType())
     return docs.withColumn(out, of(F.coalesce(F.col(text_col), F.lit(""))))
 
 
 def _in_order(docs: DataFrame, bucket_bytes: int) -> DataFrame:
-    """Rows (doc_id, text, _bucket, _helper) dealt by ranges of doc_id and sorted.
+    """Rows (doc_id, text, _bucket, _helper) dealt by ranges of doc_id, and of text where ids repeat, and sorted.
 
     Each bucket ends with a helper row, a copy of the next bucket's first row (the
     first row of all in the last), so each task sees every row's successor. Only
-    the buckets' bounds, values of doc_id, pass the driver; text is shuffled once.
+    the buckets' first keys (an id and TIE characters of MOST_BUCKETS buckets at most)
+    pass the driver; text is shuffled once.
     """
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    size = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.min(key).alias("first")).first()
-    if size["first"] is None:
-        return docs.select("doc_id", "text", F.lit(0).alias("_bucket"), F.lit(False).alias("_helper"))
-    n = max(1, -(-int(size["b"] or 0) // bucket_bytes))
-    cuts = docs.agg(F.percentile_approx(key, F.array(*[F.lit(i / n) for i in range(1, n)]), 100 * n).alias("c")).first()["c"] if n > 1 else []
-    bounds = np.unique(np.array([c for c in cuts if c > size["first"]], np.int64))
-    first, last = size["first"], len(bounds)
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def places(ids: pd.Series) -> pd.Series:
-        """Its bucket, and for a first row the bucket that it closes."""
-        at = np.searchsorted(bounds, ids.to_numpy(), "right")
-        starts = np.isin(ids.to_numpy(), bounds)
-        return pd.Series([[b, b - 1] if s else [b, last] if i == first else [b] for b, s, i in zip(at.tolist(), starts.tolist(), ids.tolist())])
+    tie = F.substring(F.coalesce("text", F.lit("")), 1, TIE)
+    size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"]
+    n = min(MOST_BUCKETS, max(1, -(-int(size or 0) // bucket_bytes)))
 
-    rows = docs.select("doc_id", "text", F.posexplode(places(key)).alias("_pos", "_bucket"))
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = None
+        for batch in batches:
+            if len(batch):
+                k, t = batch.column(0).to_numpy(), batch.column(1)
+                at = np.flatnonzero(k == k.min())
+                own = (int(k[at[0]]), min(t.take(pa.array(at)).to_pylist()).encode())
+                found = own if found is None else min(found, own)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([found[0]], pa.int64()), pa.array([found[1].decode()])], names=["k", "t"])
+
+    light = docs.select(key.alias("k"), tie.alias("t"))
+    firsts = light.repartitionByRange(n, "k", "t").mapInArrow(least, "k long, t string").collect()
+    first, *bounds = sorted((r["k"], r["t"].encode()) for r in firsts) or [None]
+    last = len(bounds)
+
+    def places(ids: pa.Array, ties: pa.Array) -> pa.Array:
+        """Its bucket, and for a first row the bucket that it closes."""
+        out = []
+        for own in zip(ids.to_pylist(), (t.encode() for t in ties.to_pylist())):
+            b = bisect_right(bounds, own)
+            out.append([b, b - 1] if b and bounds[b - 1] == own else [b, last] if own == first else [b])
+        return pa.array(out, pa.list_(pa.int32()))
+
+    placed = F.arrow_udf(places, T.ArrayType(T.IntegerType()))
+    rows = docs.select("doc_id", "text", F.posexplode(placed(key, tie)).alias("_pos", "_bucket"))
     rows = rows.select("doc_id", "text", "_bucket", (F.col("_pos") == 1).alias("_helper"))
     return rows.repartitionById(last + 1, "_bucket").sortWithinPartitions("_bucket", "_helper", F.col("doc_id").asc_nulls_first(), "text")
 

@@ -8,7 +8,10 @@ container and those of its siblings that belong to it are kept.
 
 Defined results: null, empty or markup-only html gives "" (never null); pages
 without markup give their collapsed text as one block; repeated rows give
-repeated results; a document of any length is read whole.
+repeated results; a document of any length is read whole, in time proportional to
+its length, however deep its elements are nested; of containers with equal scores
+the one with more text is chosen, then the first; a column with the name of the
+output is replaced, other columns pass through.
 """
 
 from __future__ import annotations
@@ -16,8 +19,9 @@ from __future__ import annotations
 import html as _html
 import re
 from collections.abc import Iterator
+from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -88,12 +92,13 @@ LINK_LIST = 0.5
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "score", "text_len", "link_len", "order")
+    __slots__ = ("tag", "attrs", "parent", "children", "score", "text_len", "link_len", "order", "holds", "anchors")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None, order: int):
         self.tag, self.attrs, self.parent, self.children, self.order = tag, attrs, parent, [], order
         self.score = 0.0
-        self.text_len = self.link_len = 0
+        self.text_len = self.link_len = self.anchors = 0
+        self.holds = 0  # bits of what stands below: see HOLDS
 
     def up(self) -> Iterator[Node]:
         node = self.parent
@@ -115,6 +120,16 @@ def parse(page: str) -> Node:
     at = n = 0
     size = len(page)
     lowered = None
+    opened: dict[str, int] = {}
+
+    def closed(upto: Node) -> Node:
+        """upto, after all elements below it are closed."""
+        own = node
+        while own is not upto:
+            opened[own.tag] -= 1
+            own = own.parent
+        return upto
+
     while at < size:
         m = _TAG.search(page, at)
         if m is None:
@@ -128,10 +143,13 @@ def parse(page: str) -> Node:
             if tag == "br":
                 node.children.append(Node("br", "", node, n))
                 continue
-            while up.parent is not None and up.tag != tag:
+            if not opened.get(tag):
+                continue
+            # The end of an inline element closes no block that is still open inside it.
+            while up.tag != tag and (tag in BLOCK or up.tag not in BLOCK):
                 up = up.parent
-            if up.parent is not None and not (tag not in BLOCK and _block_between(node, up)):
-                node = up.parent
+            if up.tag == tag:
+                node = closed(up.parent)
             continue
         tag = m[2] or m[4]
         if not tag:
@@ -139,15 +157,15 @@ def parse(page: str) -> Node:
                 node.children.append(_html.escape(m[0][9:].removesuffix("]]>")))
             continue
         tag, raw = tag.lower(), m[3] if m[2] else m[5]
-        if tag in BLOCK:
+        if tag in BLOCK and opened.get("p"):
             up = node
             while up.parent is not None and up.tag not in ("p", "td", "th", "div", "li", "article", "section", "button"):
                 if up.tag in BLOCK and up.tag not in HEADINGS:
                     break
                 up = up.parent
             if up.tag == "p":
-                node = up.parent
-        if tag in IMPLIED_END:
+                node = closed(up.parent)
+        if tag in IMPLIED_END and any(map(opened.get, IMPLIED_END[tag][0])):
             ends, scope = IMPLIED_END[tag]
             up, last = node, None
             while up.parent is not None and up.tag not in scope:
@@ -155,7 +173,7 @@ def parse(page: str) -> Node:
                     last = up
                 up = up.parent
             if last is not None:
-                node = last.parent
+                node = closed(last.parent)
         n += 1
         new = Node(tag, raw, node, n)
         node.children.append(new)
@@ -169,38 +187,28 @@ def parse(page: str) -> Node:
                 at = size if close < 0 else close + 1
         elif tag not in VOID and not raw.rstrip().endswith("/") or tag in BLOCK - {"hr"}:
             node = new
+            opened[tag] = opened.get(tag, 0) + 1
     return root
 
 
-def _block_between(node: Node, up: Node) -> bool:
-    """Whether closing the inline element up would close a block that is still open inside it."""
-    while node is not up:
-        if node.tag in BLOCK:
-            return True
-        node = node.parent
-    return False
-
-
-def _holds(node: Node, tags: frozenset[str]) -> bool:
-    stack = [node]
-    while stack:
-        for c in stack.pop().children:
-            if isinstance(c, Node):
-                if c.tag in tags:
-                    return True
-                stack.append(c)
-    return False
+_ARTICLE = frozenset(("article", "main"))
+#: Bits of Node.holds: an article or main, a first heading, an article with text stands below.
+HOLDS_ARTICLE, HOLDS_TITLE, HOLDS_TEXT = 1, 2, 4
 
 
-_ARTICLE = frozenset(("article", "main"))
+def _note(root: Node) -> None:
+    """Set the bits of what stands below each element before anything is cut."""
+    for node in reversed(_descendants(root)):
+        own = HOLDS_ARTICLE if node.tag in _ARTICLE else HOLDS_TITLE if node.tag == "h1" else 0
+        node.parent.holds |= node.holds | own
 
 
 def furniture(node: Node) -> bool:
     """Whether the element is page furniture and goes with all it holds."""
     if node.tag in CUT_TAGS:
-        return not (node.tag in ("aside", "footer") and _holds(node, _ARTICLE))
+        return not (node.tag in ("aside", "footer") and node.holds & HOLDS_ARTICLE)
     if node.tag == "form":
-        return not _holds(node, _ARTICLE | {"h1"})
+        return not node.holds & (HOLDS_ARTICLE | HOLDS_TITLE)
     if not node.attrs:
         return False
     attrs = attributes(node.attrs)
@@ -209,27 +217,29 @@ def furniture(node: Node) -> bool:
     if node.tag in ("html", "body", "main"):
         return False
     if attrs.get("role", "").lower() in CUT_ROLES:
-        return not _holds(node, _ARTICLE)
+        return not node.holds & HOLDS_ARTICLE
     for name in (attrs.get("class", "") + " " + attrs.get("id", "")).split():
         if name.lower().startswith(LAYOUT_PREFIX):
             continue
         words = set(_WORDS.findall(_CAMEL.sub(r"\1 \2", name).lower()))
-        if words & CUT_WORDS and not (node.tag == "article" and words & FOR) and not _holds(node, _ARTICLE):
+        if words & CUT_WORDS and not (node.tag == "article" and words & FOR) and not node.holds & HOLDS_ARTICLE:
             return True
     return False
 
 
 def cut(root: Node) -> None:
     """Remove page furniture from the tree; of an article's own header only headings stay."""
-    stack = [root]
+    _note(root)
+    stack = [(root, False)]
     while stack:
-        node = stack.pop()
+        node, inside = stack.pop()
+        inside = inside or node.tag in _ARTICLE
         kept = []
         for c in node.children:
             if isinstance(c, Node):
                 if c.tag == "header":
-                    if not any(u.tag in _ARTICLE for u in (c, *c.up())):
-                        if not _holds(c, _ARTICLE):
+                    if not inside:
+                        if not c.holds & HOLDS_ARTICLE:
                             continue
                     else:
                         c.children = [h for h in _descendants(c) if h.tag in HEADINGS]
@@ -237,7 +247,7 @@ def cut(root: Node) -> None:
                             h.parent = c
                 elif furniture(c):
                     continue
-                stack.append(c)
+                stack.append((c, inside))
             kept.append(c)
         node.children = kept
 
@@ -256,14 +266,16 @@ def _clean(raw: str) -> str:
 
 
 def measure(root: Node) -> list[Node]:
-    """Fill text_len, link_len and score of every element; returns the containers with points."""
-    order = _descendants(root)
+    """Fill text_len, link_len, anchors, holds and score of every element; returns the containers with points."""
+    order = [root, *_descendants(root)]
     paragraphs: dict[int, list] = {}
-    for node in [root, *order]:
-        block = node
-        while block.tag not in BLOCK and block.tag not in ("td", "th") and block.parent is not None:
-            block = block.parent
-        linked = any(x.tag == "a" for x in (node, *node.up()))
+    around: dict[int, tuple[Node, bool]] = {}
+    for node in order:
+        block, linked = around[id(node.parent)] if node.parent is not None else (node, False)
+        if node.tag in BLOCK or node.tag in ("td", "th"):
+            block = node
+        linked = linked or node.tag == "a"
+        around[id(node)] = block, linked
         for c in node.children:
             if isinstance(c, str) and (text := " ".join(_clean(c).split())):
                 n = len(text)
@@ -271,16 +283,24 @@ def measure(root: Node) -> list[Node]:
                 held[1] += n
                 held[2] += text.count(",") + text.count("，") + text.count("、")
                 held[3] += n if linked else 0
+    for block, n, _, links in paragraphs.values():
+        block.text_len, block.link_len = n, links
+    for node in reversed(order):
+        node.holds &= ~HOLDS_TEXT
+    for node in reversed(order[1:]):
+        up = node.parent
+        up.text_len += node.text_len
+        up.link_len += node.link_len
+        up.anchors += node.anchors + (node.tag == "a")
+        if node.holds & HOLDS_TEXT or node.tag == "article" and node.text_len:
+            up.holds |= HOLDS_TEXT
     scored: dict[int, Node] = {}
-    for block, n, commas, links in paragraphs.values():
-        for x in (block, *block.up()):
-            x.text_len += n
-            x.link_len += links
+    for block, n, commas, _ in paragraphs.values():
         if block.tag in HEADINGS:
             continue
         points = min(1.0, n / PARAGRAPH_FULL) + commas + min(n / 100, 3.0)
         own = block.tag not in ("p", "pre", "td", "th", "li", "dd", "blockquote", "tr", "figcaption")
-        for level, x in enumerate((block, *block.up()) if own else block.up()):
+        for level, x in enumerate(chain((block,), block.up()) if own else block.up()):
             if level > 5 or x.tag == "#root":
                 break
             if id(x) not in scored:
@@ -308,7 +328,7 @@ def _body_of(best: Node) -> Node:
     articles = [x for x in around if x.tag == "article"]
     if articles:
         return articles[-1]
-    return next((x for x in around if _is_main(x) and not any(c.tag == "article" and c.text_len for c in _descendants(x))), best)
+    return next((x for x in around if _is_main(x) and not x.holds & HOLDS_TEXT), best)
 
 
 def chosen(root: Node) -> list[Node]:
@@ -348,7 +368,7 @@ def chosen(root: Node) -> list[Node]:
 
 def _link_list(node: Node) -> bool:
     """A menu inside the article: a list of mostly links."""
-    return node.tag in ("ul", "ol", "dl", "dir") and node.text_len > 0 and density(node) > LINK_LIST and sum(x.tag == "a" for x in _descendants(node)) > 2
+    return node.tag in ("ul", "ol", "dl", "dir") and node.text_len > 0 and density(node) > LINK_LIST and node.anchors > 2
 
 
 def blocks(nodes: list) -> list[str]:
@@ -392,10 +412,9 @@ def extract_main_text(page: str | None) -> str:
     return "\n\n".join(blocks(chosen(root)))
 
 
-@F.pandas_udf(StringType())
-def _main_text(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _main_text(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in pages:
-        yield pd.Series([extract_main_text(page) for page in batch], dtype=object)
+        yield pa.array([extract_main_text(page) for page in batch.to_pylist()], pa.string())
 
 
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:
@@ -404,7 +423,7 @@ def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> Data
     Arrow batches are bounded in bytes by the session, so long pages don't add up.
     """
     rest = [c for c in pages.columns if c not in (html_col, out)]
-    return pages.select(*rest, _main_text(F.coalesce(F.col(html_col), F.lit(""))).alias(out))
+    return pages.select(*rest, F.arrow_udf(_main_text, StringType())(F.coalesce(F.col(html_col), F.lit(""))).alias(out))
 
 
 def op1_html_extract(spark, sf_dir: str) -> DataFrame:

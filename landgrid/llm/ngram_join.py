@@ -27,7 +27,9 @@ decides how work is dealt, never what is compared.
 Defined results: a text with fewer words than n has its whole sequence as one
 n-gram; null text or one without words has no set and links with nothing;
 repeated rows and equal texts share a component; a null id counts as greater than
-any other. An empty table gives no rows.
+any other. An empty table gives no rows. Texts are read whole, whatever their
+length; only the id and the text column are read, and ``keep_one`` passes the others
+through, so their names don't matter.
 """
 
 from __future__ import annotations
@@ -38,7 +40,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -573,6 +574,17 @@ def components(links: DataFrame) -> DataFrame:
     return written(found, "components")
 
 
+def joined(comps: DataFrame, more: DataFrame) -> DataFrame:
+    """The components after more links: only the components that these touch are looked at."""
+    of = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"_{c}"))
+    edges = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("x"), F.coalesce("_b", "b").alias("y"))
+    edges = edges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    new = components(written(edges, "component_links"))
+    far = new.select(F.col("node").alias("comp"), F.col("comp").alias("_far"))
+    known = comps.join(far, "comp", "left").select("node", F.coalesce("_far", "comp").alias("comp"))
+    return written(known.unionByName(new.join(comps, "node", "left_anti")), "components")
+
+
 def join_ngrams(docs: DataFrame, scheme: Scheme = Scheme(), unit: int = UNIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of each row: the smallest id that links reach."""
     return placed(docs, scheme, unit, id_col, text_col).select("doc_id", "n_shingles", "component_id")
@@ -594,7 +606,7 @@ def placed(docs: DataFrame, scheme: Scheme = Scheme(), unit: int = UNIT, id_col:
     if needs.limit(1).count():
         more = written(meeting(needs, sets, comps, scheme), "more_links")
         if more.limit(1).count():
-            comps = components(links.unionByName(more))
+            comps = joined(comps, more)
     release(docs.sparkSession, mark, (about, comps))  # all that is still to be read
     first = about.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_first"))
     first = first.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -608,14 +620,13 @@ def placed(docs: DataFrame, scheme: Scheme = Scheme(), unit: int = UNIT, id_col:
 def _node_of(scheme: Scheme):
     """The node of a text, as a function of Columns."""
 
-    @F.pandas_udf("long")
-    def node(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def node(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         sets = Sets(scheme)
         for batch in texts:
-            found = (sets(t.encode() if isinstance(t, str) else b"") for t in batch)
-            yield pd.Series([sets.node(g) if len(g) else None for g in found], dtype="Int64")
+            found = (sets(t.encode() if t else b"") for t in batch.to_pylist())
+            yield pa.array([sets.node(g) if len(g) else None for g in found], pa.int64())
 
-    return node
+    return F.arrow_udf(node, "long")
 
 
 def keep_one(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
@@ -640,6 +651,25 @@ def keep_one(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     return kept.join(often, again, "left_anti").unionByName(chosen.drop("_node")).unionByName(empty.drop("_node"))
 
 
+ORACLE = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents
+), sets as (
+  select distinct doc_id, hash(w[i : i + 2]) g from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) i from d where len(w) > 0)
+), sizes as (
+  select doc_id, count(g) n from d left join sets using (doc_id) group by doc_id
+), pairs as (
+  select a.doc_id a, b.doc_id b, count(*) n from sets a join sets b using (g) where a.doc_id < b.doc_id group by all
+), links as (
+  select a, b from pairs p join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * p.n >= 90 * (x.n + y.n - p.n)
+), both_ways as (select a, b from links union all select b, a from links),
+reach as (
+  select doc_id a, doc_id b from d union select r.a, l.b from reach r join both_ways l on r.b = l.a
+), least as (select a doc_id, min(b) component_id from reach group by a)
+select doc_id, n::bigint n_shingles, component_id from sizes join least using (doc_id)
+"""
+
+
 def op8_ngram_join(spark, sf_dir: str) -> DataFrame:
     """Components of ``documents`` over three-word shingles at a Jaccard similarity of 0.9."""
     return join_ngrams(table(spark, sf_dir, "documents"), Scheme(3, 90))

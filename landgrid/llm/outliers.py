@@ -215,6 +215,33 @@ def keep_passing(docs: DataFrame, cutoff: float = CUTOFF, least: int = LEAST) ->
     return judged(rows, *tables, cutoff).where("kept").select("_row.*")
 
 
+def quality_counts(spark, sf_dir: str) -> DataFrame:
+    """The counts and the base rule of every row of ``documents``: what SQL can say of op4."""
+    found = counted(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *COUNTS[:-1], "base_failed")
+
+
+COUNTS_ORACLE = r"""
+with d as (
+  select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents
+), windows as (
+  select doc_id, i, w[i] a, w[i + 1] b, w[i + 2] c from (select doc_id, w, unnest(range(1, len(w) - 1)) i from d where len(w) >= 3)
+), again as (
+  select doc_id, i from windows qualify count(*) over (partition by doc_id, a, b, c) > 1
+), repeated as (
+  select doc_id, count(distinct i + k) n from again, (values (0), (1), (2)) s(k) group by doc_id
+), lines as (
+  select doc_id, l, count(*) n from (select doc_id, unnest(string_split(t, chr(10))) l from d) where regexp_matches(l, '[^\x20\x09-\x0D]') group by all
+), extra as (select doc_id, sum(n - 1)::bigint n from lines group by doc_id),
+counts as (
+  select doc_id, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint n_symbols,
+    coalesce(e.n, 0) n_dup_lines, coalesce(r.n, 0)::bigint n_repeat_words
+  from d left join extra e using (doc_id) left join repeated r using (doc_id)
+)
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from counts
+"""
+
+
 def op4_outliers(spark, sf_dir: str) -> DataFrame:
     """Counts and verdict for every row of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")

@@ -8,7 +8,9 @@ isotonic fit on a fold of its own turns scores into probabilities.
 
 Defined results: null text counts as empty; empty texts are scored like others
 (all statistics zero); without labels of both kinds every score is the share of
-label 1 (0.5 without any label). Repeated rows get equal scores.
+label 1 (0.5 without any label). Repeated rows get equal scores; texts are read whole,
+whatever their length; scoring reads the id and the text column alone, and
+``keep_good`` passes all columns through, so other columns' names don't matter.
 """
 
 from __future__ import annotations

@@ -13,13 +13,14 @@ conversation and in all), so no common line multiplies. DataFrame functions only
 Defined results: null text counts as empty; a message whose own text is empty
 stays with text ""; null conv_id or turn gives a thread of its own; repeated
 (conv_id, turn) share a thread and keep their own texts; a quote links to earlier
-messages alone (by conv_id, then turn), so there are no cycles; other columns of
-the input are not read.
+messages alone (by conv_id, then turn), so there are no cycles; of equal originals
+the first counts; texts are read whole, in time proportional to their length; other
+columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landgrid.llm.common import table, written
@@ -49,17 +50,20 @@ def own_text(lines: Column) -> Column:
 
 
 def passages(lines: Column) -> Column:
-    """Runs of lines of one quote level, without their marks."""
-    flush = lambda s: F.when(s["level"] > 0, F.concat(s["found"], F.array(F.struct(s["level"].alias("level"), s["text"].alias("text"))))).otherwise(s["found"])
+    """Runs of lines of one quote level above 0, without their marks; each line is looked at once."""
+    body = lambda x: F.regexp_replace(x, MARKS + r"[ \t]?", "")
 
-    def add(state: Column, line: Column) -> Column:
-        body = F.regexp_replace(line, MARKS + r"[ \t]?", "")
-        same = F.struct(state["level"].alias("level"), F.concat(state["text"], F.lit("\n"), body).alias("text"), state["found"].alias("found"))
-        new = F.struct(level(line).alias("level"), body.alias("text"), flush(state).alias("found"))
-        return F.when(level(line) == state["level"], same).otherwise(new)
+    def runs(levels: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | (F.get(levels, i) != F.get(levels, i - 1)))
 
-    start = F.struct(F.lit(0).alias("level"), F.lit("").alias("text"), F.array().cast(PASSAGES).alias("found"))
-    return F.aggregate(lines, start, add, flush)
+        def cut(starts: Column) -> Column:
+            end = lambda k: F.coalesce(F.get(starts, k + 1), F.size(lines))
+            of = lambda i, k: F.struct(F.get(levels, i).alias("level"), F.array_join(F.transform(F.slice(lines, i + 1, end(k) - i), body), "\n").alias("text"))
+            return F.filter(F.transform(starts, of), lambda p: p["level"] > 0)
+
+        return let(begins, cut)
+
+    return let(F.transform(lines, level), runs).cast(PASSAGES)
 
 
 def hashes(text: Column) -> Column:
@@ -159,16 +163,29 @@ def link_quotations(messages: DataFrame) -> DataFrame:
 def chats(linked: DataFrame, turns: int = 64, empty: bool = False) -> DataFrame:
     """Reply-ordered conversations as (thread_conv, thread_turn, part, messages<role, text>).
 
-    A part holds at most ``turns`` levels of depth, so a thread of any length is several rows. Messages without a
-    whole key are conversations of their own. ``empty`` keeps messages that only quote or say nothing.
+    Parts follow each other in order and hold ``turns`` messages or so, whether a thread is deep or broad: a level
+    of depth starts in the part that the number of messages above it gives, and one with more messages than a part
+    holds is dealt by hash over as many parts as it needs. Messages without a whole key are conversations of their
+    own. ``empty`` keeps messages that only quote or say nothing.
     """
-    part = F.floor(F.col("depth") / turns).alias("part")
+    thread = ["thread_conv", "thread_turn"]
     item = F.struct("depth", "conv_id", "turn", "role", "text")
     rows = linked if empty else linked.where("text <> ''")
     keyed = F.col("thread_conv").isNotNull() & F.col("thread_turn").isNotNull()
-    grouped = rows.where(keyed).groupBy("thread_conv", "thread_turn", part).agg(F.sort_array(F.collect_list(item)).alias("_m"))
-    grouped = grouped.unionByName(rows.where(~keyed).select("thread_conv", "thread_turn", part, F.array(item).alias("_m")))
-    return grouped.select("thread_conv", "thread_turn", "part", F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text"))).alias("messages"))
+    whole = rows.where(keyed)
+    levels = whole.groupBy(*thread, "depth").agg(F.count("*").alias("_n"))
+    above = Window.partitionBy(*thread).orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.select(*thread, "depth", F.floor(F.coalesce(F.sum("_n").over(above), F.lit(0)) / turns).alias("_first"), F.ceil(F.col("_n") / turns).alias("_parts"))
+    dealt = F.pmod(F.xxhash64("conv_id", "turn"), F.col("_parts"))
+    placed = whole.join(levels, [*thread, "depth"]).withColumn("part", (F.col("_first") + dealt).cast("long"))
+    grouped = placed.groupBy(*thread, "part").agg(F.sort_array(F.collect_list(item)).alias("_m"))
+    grouped = grouped.unionByName(rows.where(~keyed).select(*thread, F.lit(0).cast("long").alias("part"), F.array(item).alias("_m")))
+    return grouped.select(*thread, "part", F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text"))).alias("messages"))
+
+
+def chat_threads(spark, sf_dir: str) -> DataFrame:
+    """The conversations of ``conversations`` without quotes, in reply order."""
+    return chats(link_quotations(table(spark, sf_dir, "conversations")), empty=True)
 
 
 def op9_quotations(spark, sf_dir: str) -> DataFrame:

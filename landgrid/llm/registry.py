@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from landgrid.llm.fingerprint import op10_fingerprint
 from landgrid.llm.html_extract import op1_html_extract
-from landgrid.llm import licenses, quotations
+from landgrid.llm import licenses, ngram_join, outliers, quotations
 from landgrid.llm.licenses import op3_licenses
 from landgrid.llm.mixing import op2_mixing
 from landgrid.llm.ngram_join import op8_ngram_join
@@ -25,9 +25,14 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quotations": op9_quotations,
     "op10_fingerprint": op10_fingerprint,
+    # What else operators give beside their digests.
+    "quality_counts": outliers.quality_counts,
+    "chat_threads": quotations.chat_threads,
 }
 
 ORACLES: dict[str, str] = {
     "op3_licenses": licenses.oracle(),
+    "op8_ngram_join": ngram_join.ORACLE,
     "op9_quotations": quotations.ORACLE,
+    "quality_counts": outliers.COUNTS_ORACLE,
 }

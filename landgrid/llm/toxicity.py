@@ -11,7 +11,9 @@ Training reads a bounded, documented number of labelled rows (``MOST_POSITIVE``,
 
 Defined results: null text counts as empty; a text without words has the score
 of the model's bias alone; without toxic labels every score is 0. Repeated rows
-get equal scores.
+get equal scores; of rows that share a labelled id one text is learned from; texts
+are read whole, whatever their length; only the id and the text column are read, so
+other columns' names don't matter.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landgrid.llm.common import table
+from landgrid.llm.common import table, written
 
 MOST_POSITIVE = 4000
 MOST_UNLABELLED = 12000
@@ -130,8 +132,30 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return model
 
 
+def _telling(found: DataFrame, n_positive: int, n_unlabelled: int) -> DataFrame:
+    """(feature): those of ``telling``, from counts that every partition makes of (positive, unlabelled, ids)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, DIMENSIONS), np.int64)
+        for batch in batches:
+            for p, u, ids in zip(*(batch.column(c).to_pylist() for c in ("positive", "unlabelled", "ids"))):
+                own = np.frombuffer(ids, np.int32)
+                sums[0][own] += p
+                sums[1][own] += u
+        at = np.flatnonzero(sums.any(0)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[0][at]), pa.array(sums[1][at])], names=["feature", "p", "u"])
+
+    counts = found.mapInArrow(count, "feature int, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    p, u, both = F.col("p") / n_positive, F.col("u") / n_unlabelled, (F.col("p") + F.col("u")) / (n_positive + n_unlabelled)
+    spread = F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / n_positive + 1 / n_unlabelled))
+    return counts.where((F.abs(p - u) > LEAST_Z * spread) & (F.greatest(p, u) > LEAST_LIFT * F.least(p, u))).select("feature")
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """labels: (id, label), label 1 for confirmed toxic texts; others serve as unlabelled."""
+    """labels: (id, label), label 1 for confirmed toxic texts; others serve as unlabelled.
+
+    Features are counted where the texts are; of the chosen rows only the features that training looks at reach the driver.
+    """
     spark = docs.sparkSession
     known = labels.where(F.col("label").isNotNull() & F.col(id_col).isNotNull())
     prior = known.agg(F.avg(F.col("label").cast("double"))).first()[0]
@@ -140,7 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     by_hash = [F.xxhash64(id_col), F.col(id_col)]
     sample = {0: known.orderBy(*by_hash).limit(MOST_UNLABELLED), 1: known.where("label = 1").orderBy(*by_hash).limit(MOST_POSITIVE)}
     chosen = {k: {r[0] for r in v.select(id_col).collect()} for k, v in sample.items()}
-    ids = spark.createDataFrame([(i,) for i in sorted(chosen[0] | chosen[1])], T.StructType([docs.schema[id_col]]))
+    flags = T.StructType([docs.schema[id_col], T.StructField("positive", T.BooleanType()), T.StructField("unlabelled", T.BooleanType())])
+    ids = spark.createDataFrame([(i, i in chosen[1], i in chosen[0]) for i in sorted(chosen[0] | chosen[1])], flags)  # at most both bounds' ids
     schema = T.StructType([docs.schema[id_col], T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,10 +174,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             found = [make(t or "").tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=[id_col, "ids"])
 
-    own = docs.select(id_col, text_col).join(F.broadcast(ids), id_col, "left_semi").mapInArrow(run, schema)  # at most both bounds' ids
-    rows = {r[0]: np.frombuffer(r[1], np.int32) for r in own.collect()}
-    sets = [[rows[i] for i in sorted(chosen[k]) if i in rows] for k in (1, 0)]
-    return train(*sets, min(prior, 0.99)) if all(sets) else Model()
+    own = docs.select(id_col, text_col).join(F.broadcast(ids), id_col, "left_semi").mapInArrow(run, schema)
+    rows = written(own.groupBy(id_col).agg(F.min("ids").alias("ids")).join(F.broadcast(ids), id_col), "toxicity_rows")  # one text where an id repeats
+    n = rows.agg(F.count_if("positive"), F.count_if("unlabelled")).first()
+    if not all(n):
+        return Model()
+    telling_ids = np.sort(np.array([r[0] for r in _telling(rows, *n).collect()], np.int32))
+
+    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [np.intersect1d(np.frombuffer(x, np.int32), telling_ids, assume_unique=True).astype(np.int32).tobytes() for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary())], names=[id_col, "ids"])
+
+    held = {r[0]: np.frombuffer(r[1], np.int32) for r in rows.select(id_col, "ids").mapInArrow(only, schema).collect()}
+    return train(*([held[i] for i in sorted(chosen[k]) if i in held] for k in (1, 0)), min(prior, 0.99))
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", out: str = "score") -> DataFrame:

@@ -57,3 +57,26 @@ def test_query_on_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert Counter(tuple(r) for r in op10_fingerprint(spark, sf).collect()) == brute(rows)
+
+
+def test_one_id_for_all_rows_is_split_by_text(spark):
+    rows = [(None, f"{i % 50} " * 30) for i in range(200)] + [(3, "z " * 40_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in edited_fingerprints(df, bucket_bytes=600).collect()) == brute(rows)
+
+
+def test_fingerprint_against_exact_jaccard():
+    """Of whole texts: the estimate against weighted shingles counted in Python."""
+    import random
+
+    rng = random.Random(6)
+    make = Fingerprinter(4096)
+    for _ in range(6):
+        a = [rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(300)]
+        b = list(a)
+        for _ in range(rng.randint(0, 40)):
+            b[rng.randrange(300)] = "new"
+        ca, cb = (Counter(tuple(x[i : i + 5]) for i in range(296)) for x in (a, b))
+        want = sum((ca & cb).values()) / sum((ca | cb).values())
+        got = likeness(make(" ".join(a).encode()), make(" ".join(b).encode()))
+        assert abs(got - want) < 0.05

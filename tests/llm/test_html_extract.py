@@ -73,3 +73,69 @@ def test_extra_clashing_columns(spark):
 
     df = spark.createDataFrame([(1, "<p>t</p>", "old", 9)], "page_id long, html string, text string, n_chars int")
     assert extract(df).collect()[0].asDict() == {"page_id": 1, "n_chars": 9, "text": "t"}
+
+
+def test_time_grows_with_the_length_alone():
+    import time
+
+    for unit in ("<div><p>", "<div>", "<b>", "<ul><li>", "<b><div></b>", "<div></i>", "<main><article>", "<header><div>", "<ul><li><a href=x>", "<div><hr>"):
+        began = time.time()
+        X(unit * 50_000 + LONG)
+        assert time.time() - began < 8, unit
+
+
+def test_very_long_page():
+    assert len(X("<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>")) == 20_000 * (len(LONG) - 1) + 2 * 19_999
+
+
+def naive(root, nodes):
+    """Lengths and points by walking up from every string, as the definition reads."""
+    from landgrid.llm.html_extract import AGAINST, BLOCK, FOR, HEADINGS, NAME_WEIGHT, PARAGRAPH_FULL, _WORDS, _clean
+
+    total, links, points, blocks = {}, {}, {}, {}
+    for node in nodes:
+        for c in (c for c in node.children if isinstance(c, str)):
+            text = " ".join(_clean(c).split())
+            chain = [node, *node.up()]
+            block = next((x for x in chain if x.tag in BLOCK or x.tag in ("td", "th")), root)
+            blocks.setdefault(block, [0, 0])
+            blocks[block][0] += len(text)
+            blocks[block][1] += sum(text.count(x) for x in ",，、")
+            for x in [block, *block.up()]:
+                total[x] = total.get(x, 0) + len(text)
+                links[x] = links.get(x, 0) + len(text) * any(y.tag == "a" for y in chain)
+    for block, (n, commas) in blocks.items():
+        if not n or block.tag in HEADINGS:
+            continue
+        worth = min(1, n / PARAGRAPH_FULL) + commas + min(n / 100, 3)
+        chain = list(block.up()) if block.tag in ("p", "pre", "td", "th", "li", "dd", "blockquote", "tr", "figcaption") else [block, *block.up()]
+        for part, x in zip((1, 2, 6, 9, 12, 15), chain):
+            if x.tag == "#root":
+                break
+            if x not in points:
+                names = set(_WORDS.findall(x.attrs.lower()))
+                points[x] = NAME_WEIGHT * (bool(names & FOR) - bool(names & AGAINST)) * (worth > 1)
+            points[x] += worth / part
+    return total, links, {x: v * (1 - (links[x] / total[x] if total[x] else 0)) for x, v in points.items()}
+
+
+def test_scores_against_brute_force():
+    import random
+
+    from landgrid.llm.html_extract import _descendants, measure, parse
+
+    rng = random.Random(4)
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 60)):
+            kind = rng.random()
+            tag = rng.choice("div p section a b ul li h2 article main td table span blockquote".split())
+            parts.append(f"<{tag} class='{rng.choice(['x', 'entry', 'meta', 'body tool'])}'>" if kind < 0.45 else f"</{tag}>" if kind < 0.7 else "some words, of text &amp; more " * rng.randint(1, 6))
+        root = parse("".join(parts))
+        nodes = [root, *_descendants(root)]
+        total, links, points = naive(root, nodes)
+        scored = measure(root)
+        assert {x: x.text_len for x in nodes if x.text_len} == {x: v for x, v in total.items() if v}
+        assert {x: x.link_len for x in nodes if x.link_len} == {x: v for x, v in links.items() if v}
+        assert {id(x) for x in scored} == {id(x) for x in points}
+        assert all(abs(x.score - points[x]) < 1e-9 for x in scored)

@@ -100,3 +100,23 @@ def test_mix_repeats_rows(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mix_sizes(sized(df)).collect() == [] and mix(df).collect() == []
+
+
+def test_hot_repeats_clashing_names_and_a_very_long_text(spark):
+    docs = [(1, "w w w", "hot", 5, "k")] * 2000 + [(None, "a b", None, 6, "n")] * 500 + [(i, "one two three four", "cold", i, "c") for i in range(50, 150)] + [(9, "w " * 200_000, "long", 1, "x")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, _key int, total string").repartition(7)
+    rows = mix_sizes(sized(df), group=16).collect()
+    assert len(rows) == len(docs)
+    for s in ("hot", "cold", "long", None):
+        own = [r for r in rows if r.source == s]
+        assert abs(sum(r.copies * r.size for r in own) - own[0].target) <= own[0].size
+        assert max(r.copies for r in own) <= 2 and (s != "hot" or max(r.copies for r in own) - min(r.copies for r in own) <= 1)
+    out = mix(df)
+    assert out.columns == df.columns and {tuple(r) for r in out.collect()} <= set(docs)
+    totals = defaultdict(int)
+    for r in out.collect():
+        totals[r.source] += 1
+    want = defaultdict(int)
+    for r in mix_sizes(sized(df)).collect():
+        want[r.source] += r.copies
+    assert {k: v for k, v in totals.items()} == {k: v for k, v in want.items() if v}

@@ -134,3 +134,10 @@ def test_keep_one_where_ids_repeat(spark):
     out = keep_one(spark.createDataFrame(rows, "doc_id long, text string"), Scheme(5, 80)).collect()
     want = [(1, a), (2, b), (3, c), (3, d), (6, "x"), (6, "y"), (None, a)]
     assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
+
+
+def test_very_long_text(spark):
+    text = " ".join(f"w{i}" for i in range(150_000))
+    df = spark.createDataFrame([(5, text), (3, text + " end"), (9, text[: len(text) // 2]), (7, "short text")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in join_ngrams(df, Scheme(5, 80)).collect()}
+    assert got == {5: 3, 3: 3, 9: 9, 7: 7}

@@ -50,3 +50,39 @@ def test_few_labels_nulls_and_repeats(spark, labels):
     kept = keep_good(df, model, 0.0)
     assert kept.columns == df.columns and kept.count() == len(DOCS)
     assert keep_good(df.limit(0), model).count() == 0
+
+
+def test_normal_equations_against_numpy(spark):
+    """The fitted weights are those of a direct solution over all rows at once."""
+    from pyspark.sql import functions as F
+
+    import landgrid.llm.quality as q
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(40)
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    feats = features(docs)
+    model = fit(feats, labels, F.col("doc_id") % 5 == 0)
+    rows = [r for r in feats.join(labels, "doc_id").collect() if r.doc_id % 5]
+    x, y = np.array([r.features for r in rows], float), np.array([r.label for r in rows], float)
+    sd = x.std(0)
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.where(sd > 1e-6, sd, 1))
+    z = np.c_[np.cos((x - x.mean(0)) / model.scale @ model.weights + model.phases) * np.sqrt(2 / q.FEATURES), np.ones(len(x))]
+    penalty = np.sqrt(np.r_[np.full(q.FEATURES, q.RIDGE * len(x)), 1e-9])
+    beta = np.linalg.lstsq(np.r_[z, np.diag(penalty)], np.r_[y, np.zeros(len(penalty))], rcond=None)[0]
+    assert np.allclose(z @ beta, model.raw(x), atol=1e-5)
+
+
+def test_isotonic_against_its_definition():
+    rng = np.random.RandomState(2)
+    for _ in range(30):
+        n = rng.randint(1, 5, 12).astype(float)
+        y = np.array([rng.binomial(int(k), 0.5) for k in n], float)
+        x, v = isotonic(np.arange(12.0), n, y)
+        mean = lambda a, b: y[a:b].sum() / n[a:b].sum()
+        want = [max(min(mean(a, b) for b in range(i + 1, 13)) for a in range(i + 1)) for i in range(12)]
+        assert np.allclose(sorted(set(np.round(v, 9))), sorted(set(np.round(want, 9))))
+
+
+def test_very_long_text_and_clashing_names(spark):
+    df = spark.createDataFrame([(1, "word and more, " * 300_000, 3, "l")], "doc_id long, text string, features int, label string")
+    assert len(features(df).collect()[0].features) == len(statistics(b"", WordHashes()))

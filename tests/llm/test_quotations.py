@@ -73,3 +73,24 @@ def test_conversations_are_whole_and_in_reply_order(spark, tmp_path):
     assert all(len(p.messages) == 1 for p in parts if p.thread_conv is None)
     whole = chats(spark.createDataFrame(out), 3, empty=True).collect()
     assert sum(len(p.messages) for p in whole) == len(rows)
+
+
+def test_very_long_text_with_many_quotes(spark):
+    text = "\n".join(("> " * (1 + i % 3)) + f"quoted line number {i}" if i % 7 else f"own line {i}" for i in range(20_000))
+    df = spark.createDataFrame([(1, 0, "user", "quoted line number 1"), (1, 1, "user", text)], "conv_id long, turn long, role string, text string")
+    out = {r.turn: r for r in link_quotations(df).collect()}
+    assert out[1].n_quotes > 15_000 and out[1].quote_depth == 3 and out[1].reply_turn == 0
+
+
+def test_broad_and_deep_threads_are_cut_into_parts(spark):
+    rows = [(1, 0, "user", "the root of all the replies here")]
+    rows += [(10 + i, 0, "user", f"> the root of all the replies here\nreply number {i}") for i in range(500)]
+    rows += [(5000, i, "user", f"turn {i}") for i in range(300)]
+    linked = link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    depth = {r.text: (r.thread_conv, r.depth) for r in linked.collect()}
+    parts = chats(linked, 16).collect()
+    assert max(len(p.messages) for p in parts) < 100 and sum(len(p.messages) for p in parts) == len(rows)
+    by = {}
+    for p in sorted(parts, key=lambda p: (p.thread_conv, p.part)):
+        by.setdefault(p.thread_conv, []).extend(depth[m.text][1] for m in p.messages)
+    assert all(d == sorted(d) for d in by.values())

@@ -36,3 +36,42 @@ def test_edges(spark):
     assert len(out) == 5 and all(0 <= r.score <= 1 for r in out)
     assert scores(docs.limit(0), one).collect() == []
     assert Model().score([Features()("x")]).tolist() == [0.0]
+
+
+def risk(model, positive, unlabelled, prior):
+    """The corrected risk, as the paper writes it, with both classes brought to equal weight."""
+    loss = lambda z: np.log1p(np.exp(-z))
+    zp, zu = model.margin(positive), model.margin(unlabelled)
+    return 0.5 * loss(zp).mean() + 0.5 / (1 - prior) * max(0.0, loss(-zu).mean() - prior * loss(-zp).mean())
+
+
+def test_training_lowers_the_corrected_risk():
+    rng = np.random.RandomState(3)
+    words = lambda k: {int(x) for x in rng.randint(100, 300, k)}
+    positive = [np.array(sorted(words(15) | ({7} if rng.rand() < 0.8 else {8})), np.int32) for _ in range(200)]
+    unlabelled = [np.array(sorted(words(15) | ({7} if i % 4 == 0 else {9})), np.int32) for i in range(1000)]
+    model = train(positive, unlabelled, 0.25)
+    zero = Model(np.zeros_like(model.weights), 0.0)
+    best = risk(model, positive, unlabelled, 0.25)
+    assert best < 0.5 * risk(zero, positive, unlabelled, 0.25)
+    for feature, step in ((7, -1.0), (9, 1.0)):
+        worse = Model(model.weights.copy(), model.bias)
+        worse.weights[feature] += step
+        assert risk(worse, positive, unlabelled, 0.25) > best - 1e-3
+
+
+def test_counts_choose_the_same_features_as_numpy(spark):
+    from landgrid.llm.toxicity import _telling, telling
+
+    rng = np.random.RandomState(1)
+    rows = [(bool(i % 3 == 0), bool(i % 3 or i % 2), np.array(sorted({int(x) for x in rng.randint(0, 50, 8)} | ({60} if i % 3 == 0 else {61})), np.int32).tobytes()) for i in range(400)]
+    df = spark.createDataFrame(rows, "positive boolean, unlabelled boolean, ids binary").repartition(5)
+    sets = [[np.frombuffer(r[2], np.int32) for r in rows if r[k]] for k in (0, 1)]
+    got = {r.feature for r in _telling(df, len(sets[0]), len(sets[1])).collect()}
+    assert got == set(np.flatnonzero(telling(*sets)).tolist()) and 60 in got
+
+
+def test_very_long_text(spark):
+    df = spark.createDataFrame([(1, "bad words " * 200_000), (2, "good")], "doc_id long, text string")
+    model = fit(df, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int"))
+    assert scores(df, model).count() == 2
