@@ -128,22 +128,88 @@ def union_box(*boxes: Column) -> Column:
 def zone(cx, cy) -> Column:
     """Where on a page, in shares of its size, a grid's centre lies."""
     x, y = col(cx), col(cy)
-    return F.when((x >= 0.5) & (y < 0.45), "top_right").when((x < 0.5) & (y < 0.45), "top_left").when((y >= 0.58) & (x >= 0.3), "bottom").when(y >= 0.58, "bottom_left").otherwise("middle")
+    low = F.when(x < 0.45, "bottom_left").otherwise("unknown")
+    high = F.when(x < 0.30, "top_left").when(x > 0.58, "top_right").otherwise("top_center")
+    return F.when(x.isNull() | y.isNull(), "unknown").when(y > 0.50, low).otherwise(high)
+
+
+#: What each kind of form means for later stages: where the survey fields stand, how the county is written, what reads them.
+FORMS = {
+    "T1_LARGE": ("top_header", "name_county", "horizontal_group"),
+    "T2_MED": ("right_of_grid", "name_county", "horizontal_group"),
+    "T3_SMALL": ("upper_right", "any", "horizontal_group"),
+    "T4_NOANCHOR": ("upper_right", "any", "vertical_stack"),
+    "MID": ("left_of_grid", "any", "horizontal_group"),
+    "LATE": ("left_of_grid", "stacked", "vertical_stack"),
+    "UNKNOWN": ("any", "any", "any"),
+}
+#: A grid narrower than this share of its height is upright.
+UPRIGHT = 0.75
 
 
 def form_kind(cx, cy, aspect, anchor, era) -> Column:
-    """Kind of form by zone, anchor phrase, shape and era of its collection."""
+    """Kind of form: zone by zone, at top left by anchor phrase and shape, at top centre and right not in early collections."""
     z, a = zone(cx, cy), F.lower(F.coalesce(col(anchor), F.lit("")))
-    tall = col(aspect) < 0.75
-    return (
-        F.when(a.contains("locate well"), "LOCATE_WELL")
-        .when(a.contains("location") & col(era).isin("mid", "late", "modern"), "FORM_1002A")
-        .when((z == "top_right") & ~tall, "TOP_RIGHT")
-        .when((z == "top_left") & ~tall, "TOP_LEFT")
-        .when((z == "middle") & ~col(era).isin("early"), "MID")
-        .when(z.isin("bottom", "bottom_left"), "BOTTOM")
-        .otherwise("UNKNOWN")
-    )
+    upright = F.coalesce(col(aspect), F.lit(1.0)) < UPRIGHT
+    named = a.contains("spot well") | a.contains("locate well correctly") | (a.contains("locate well") & ~upright)
+    at_left = F.when(named, "T2_MED").when(a.contains("locate well"), "T3_SMALL").otherwise("T4_NOANCHOR")
+    late = ~F.coalesce(col(era), F.lit("")).isin("early", "transition")
+    return F.when(z == "bottom_left", "T1_LARGE").when(z == "top_left", at_left).when((z == "top_center") & late, "MID").when((z == "top_right") & late, "LATE").otherwise("UNKNOWN")
+
+
+def form_hints(cx, cy, aspect, anchor, era) -> Column:
+    """struct(form_type, grid_zone, str_zone, county_format, str_strategy)."""
+    kind = form_kind(cx, cy, aspect, anchor, era)
+    hint = lambda i: F.element_at(F.create_map(*[F.lit(x) for k, v in FORMS.items() for x in (k, v[i])]), kind)
+    return F.struct(kind.alias("form_type"), zone(cx, cy).alias("grid_zone"), *[hint(i).alias(n) for i, n in enumerate(("str_zone", "county_format", "str_strategy"))])
+
+
+def zone_region(name, page_w, page_h, gx=None, gy=None, gw=None, gh=None, pad: int = 40) -> Column:
+    """struct(x0, y0, x1, y1) in which a zone of survey fields lies; null for the whole page. Without a grid, grid zones are page parts."""
+    n, w, h = col(name), col(page_w), col(page_h)
+    null = F.lit(None).cast("int")
+    x, y, dx, dy = (null if v is None else col(v) for v in (gx, gy, gw, gh))
+    whole = lambda v: F.floor(v).cast("int")
+    grid = x.isNotNull() & y.isNotNull() & dx.isNotNull() & dy.isNotNull()
+    top = F.when(grid, F.greatest(F.lit(0), y - dy - pad)).otherwise(0)
+    bottom = F.when(grid, F.least(h, y + dy + pad)).otherwise(h)
+    made = lambda a, b, c, d: F.struct(*[v.cast("int").alias(k) for k, v in zip(("x0", "y0", "x1", "y1"), (a, b, c, d))])
+    zero = F.lit(0)
+    right = F.when(grid & (dx > 0), F.greatest(zero, x + dx - pad)).otherwise(whole(w * 0.40))
+    left = F.when(grid & (x > 0), F.least(w, x + pad)).otherwise(whole(w * 0.55))
+    parts = {
+        "top_header": (zero, zero, w, whole(h * 0.42)),
+        "upper_right": (whole(w * 0.33), zero, w, whole(h * 0.42)),
+        "vertical_right": (whole(w * 0.45), zero, w, h),
+        "vertical_left": (zero, zero, whole(w * 0.55), h),
+        "right_of_grid": (right, top, w, bottom),
+        "left_of_grid": (zero, top, left, bottom),
+    }
+    out = F.lit(None).cast("struct<x0:int,y0:int,x1:int,y1:int>")
+    for k, v in parts.items():
+        out = F.when(n == k, made(*v)).otherwise(out)
+    return out
+
+
+def page_order(collection_num, n_pages) -> Column:
+    """Pages from 1 in the order they are read: the third first in long files of collection 12."""
+    pages = F.when(col(n_pages) >= 1, F.sequence(F.lit(1), col(n_pages))).otherwise(F.array().cast("array<int>"))
+    third = (col(collection_num) == 12) & (col(n_pages) >= 4)
+    return F.when(third, F.concat(F.array(F.lit(3)), F.array_remove(pages, 3))).otherwise(pages)
+
+
+def corners_box(corners, w, h, most: int = 700, least: int = 10, span: int = 50) -> Column:
+    """The box around the corner points of a small crop; null where the crop is large, the corners are few or span too little."""
+    c = col(corners)
+    side = lambda f, pick: pick(F.transform(c, lambda p: p[f]))
+    x0, x1, y0, y1 = side("x", F.array_min), side("x", F.array_max), side("y", F.array_min), side("y", F.array_max)
+    ok = (col(w) <= most) & (col(h) <= most) & (F.size(c) >= least) & (x1 - x0 >= span) & (y1 - y0 >= span)
+    return F.when(ok, F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+
+
+def line_density(horizontal, vertical, w, h) -> Column:
+    """Share of line pixels, twentyfold and at most 1; 0 for slivers."""
+    return F.when((col(w) < 10) | (col(h) < 10), 0.0).otherwise(F.least(F.lit(1.0), (col(horizontal) + col(vertical)) * 20))
 
 
 def suspect(cx, cy, x0, y0, x1, y1, pad: float = 0.04) -> Column:

@@ -39,12 +39,35 @@ def grid_maps(grid: DataFrame) -> tuple[DataFrame, DataFrame]:
     return by_direction(sections), by_direction(cells, "quad").withColumnRenamed("boxes", "cells")
 
 
-def prepared(rows: DataFrame, stats: DataFrame | None) -> DataFrame:
-    """Add ns_try, ew_try, reason, quad, cell and quadrant flags.
+def constrained(rows: DataFrame, constraints: DataFrame) -> DataFrame:
+    """Add ns_try and ew_try by the limits of each row's county (``mining.county_constraints``).
 
-    A direction that is known stays, after the county's own where all of the county
-    lies the other way; an unknown one follows the county's cells, then N, S and W, E.
+    A known direction is the only one. A county with one direction settles it; where it has both, a township within
+    its limits is north, and a range keeps the directions that its number allows. A county is found by its name,
+    else as the first in order of name that begins with the row's name or its first word; else both are tried.
     """
+    limits = constraints.where("county is not null").select(
+        fields.county_base("county").alias("_base"), "max_twp", "max_rng", F.col("ns_values").alias("_nv"), F.col("ew_values").alias("_ev")
+    )
+    limits = limits.groupBy("_base").agg(F.max("max_twp").alias("_mt"), F.max("max_rng").alias("_mr"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_nv")))).alias("_nv"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_ev")))).alias("_ev"))
+    starts = limits.select("_base", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("_base")), lambda n: F.substring(F.col("_base"), F.lit(1), n))).alias("_start"))
+    starts = starts.groupBy("_start").agg(F.min("_base").alias("_hit"))
+    names = rows.select("county").distinct().withColumn("_own", fields.county_base("county")).withColumn("_word", F.get(F.split("_own", r"\s+"), 0))
+    by = lambda key, to: starts.select(F.col("_start").alias(key), F.col("_hit").alias(to))
+    found = names.join(limits.select(F.col("_base").alias("_own"), F.col("_base").alias("_same")), "_own", "left").join(by("_own", "_longer"), "_own", "left").join(by("_word", "_first"), "_word", "left")
+    found = found.select("county", F.coalesce("_same", "_longer", "_first").alias("_base")).where("county is not null").join(limits, "_base")
+    met = rows.join(found.drop("_base"), "county", "left")
+    both = lambda *v: F.array(*map(F.lit, v))
+    fits = F.filter("_ev", lambda e: F.col("rng") <= F.when(e == "W", F.col("_mr")).otherwise(fields.RANGE_MAX["E"]))
+    ns = F.when(F.col("ns").isNotNull(), F.array("ns")).when(F.col("_nv").isNull(), both("N", "S")).when(F.size("_nv") == 1, F.col("_nv"))
+    ns = ns.when((F.col("twp") <= F.col("_mt")) & F.array_contains("_nv", "N"), both("N")).otherwise(F.col("_nv"))
+    ew = F.when(F.col("ew").isNotNull(), F.array("ew")).when(F.col("_ev").isNull(), both("W", "E")).when(F.size("_ev") == 1, F.col("_ev"))
+    ew = ew.when(F.col("rng").isNull() | (F.size(fits) == 0), F.col("_ev")).otherwise(fits)
+    return met.withColumns({"ns_try": ns, "ew_try": ew}).select(*rows.columns, "ns_try", "ew_try")
+
+
+def by_statistics(rows: DataFrame, stats: DataFrame | None) -> DataFrame:
+    """Add ns_try and ew_try by the cells of each row's county (``mining.direction_stats``)."""
     key = fields.county_base("county")
     if stats is not None:
         known = stats.where("county is not null").select(fields.county_base("county").alias("_key"), "ns_order", "ew_order").dropDuplicates(["_key"])
@@ -57,7 +80,17 @@ def prepared(rows: DataFrame, stats: DataFrame | None) -> DataFrame:
         other = (F.size(order) == 1) & (F.get(order, 0) != d)
         return F.when(d.isNull(), F.coalesce(order, F.array(*map(F.lit, default)))).when(F.coalesce(other, F.lit(False)), F.array(F.get(order, 0), d)).otherwise(F.array(d))
 
-    rows = rows.withColumns({"ns_try": tries("ns", ("N", "S")), "ew_try": tries("ew", ("W", "E"))})
+    return rows.withColumns({"ns_try": tries("ns", ("N", "S")), "ew_try": tries("ew", ("W", "E"))}).drop("ns_order", "ew_order")
+
+
+def prepared(rows: DataFrame, stats: DataFrame | None, constraints: DataFrame | None = None) -> DataFrame:
+    """Add ns_try, ew_try, reason, quad, cell and quadrant flags.
+
+    By statistics, a direction that is known stays, after the county's own where all of the county
+    lies the other way; an unknown one follows the county's cells, then N, S and W, E. Where
+    ``constraints`` are given they decide alone.
+    """
+    rows = by_statistics(rows, stats) if constraints is None else constrained(rows, constraints)
     reason = fields.bounds_reason("section", "twp", F.get("ns_try", 0), "rng", F.get("ew_try", 0))
     null = F.lit(None).cast("string")
     ocr, unet = (F.col(c) if c in rows.columns else null for c in ("ocr_quad", "unet_quad"))
@@ -68,7 +101,7 @@ def prepared(rows: DataFrame, stats: DataFrame | None) -> DataFrame:
     flags = F.array_compact(F.array(F.when(F.col("_ocr") != F.col("_unet"), "quadrant_mismatch"), F.when(F.col("_unet") != F.col("_rc"), "unet_nw_rc_mismatch")))
     parsed = F.col("dot_row").between(1, 8) & F.col("dot_col").between(1, 8)
     cell = F.coalesce(geometry.label_to_cell(quad), F.when(parsed, F.struct(F.col("dot_row").cast("int").alias("row"), F.col("dot_col").cast("int").alias("col"))))
-    return rows.withColumns({"reason": F.when(F.coalesce(parsed, F.lit(False)), reason).otherwise("parse_failed"), "quad": quad, "cell": cell, "qflags": flags}).drop("_ocr", "_unet", "_rc", "ns_order", "ew_order")
+    return rows.withColumns({"reason": F.when(F.coalesce(parsed, F.lit(False)), reason).otherwise("parse_failed"), "quad": quad, "cell": cell, "qflags": flags}).drop("_ocr", "_unet", "_rc")
 
 
 def _combined(ns: Column, ew: Column) -> Column:
@@ -105,7 +138,9 @@ def _located(df: DataFrame, box: dict[str, Column], in_section: Column) -> DataF
 
 def pass1(ready: DataFrame, sections: DataFrame, cells: DataFrame) -> DataFrame:
     """All rows with source, lat, lon, flags: quadrant_direct, a section strategy, rds_miss, or what their fields fail on."""
-    met = ready.join(cells, [*KEY3, "quad"], "left").join(sections, KEY3, "left")
+    whole = F.col("reason") == "ok"
+    met = ready.where(whole).join(cells, [*KEY3, "quad"], "left").join(sections, KEY3, "left")
+    met = met.unionByName(ready.where(~whole), allowMissingColumns=True)  # rows without a whole key never meet the grid
     tried = _combined(F.col("ns_try"), F.col("ew_try"))
     exact = F.when(F.col("ns").isNotNull() & F.col("ew").isNotNull(), F.array(F.concat("ns", "ew")))
     met = met.withColumns({"_cell": _pick(F.col("cells"), tried), "_exact": _pick(F.col("boxes"), exact), "_any": _pick(F.col("boxes"), tried)})
@@ -206,24 +241,25 @@ def centroids(ready: DataFrame, sections: DataFrame) -> DataFrame:
 INPUT = ["stem", *KEY3, "ns", "ew", "county", "dot_row", "dot_col", "x_norm", "y_norm"]
 
 
-def resolve(rows: DataFrame, grid: DataFrame, materialise=written) -> DataFrame:
-    """All passes: every row once, with source, lat, lon and flags.
+def resolve(rows: DataFrame, grid: DataFrame, materialise=written, direction_source: str = "stats") -> DataFrame:
+    """All passes: every row once, with source, lat, lon and flags; directions by "stats" or by "constraints" of the counties.
 
     ``materialise`` cuts the plan between passes: the fourth needs the results of
     the first three, and each pass is planned on tables with known sizes.
     """
     rows = rows.withColumn("lease", fields.lease_name("stem")) if "lease" not in rows.columns else rows
     stats = materialise(mining.direction_stats(grid), "direction_stats")
+    limits = materialise(mining.county_constraints(grid), "constraints") if direction_source == "constraints" else None
     sections, cells = (materialise(g, n) for g, n in zip(grid_maps(grid), ("sections", "cells")))
     centroid = F.coalesce(F.col("centroid"), F.lit(False)) if "centroid" in rows.columns else F.lit(False)
-    first = materialise(pass1(prepared(rows.where(~centroid), stats), sections, cells), "pass1")
+    first = materialise(pass1(prepared(rows.where(~centroid), stats, limits), sections, cells), "pass1")
     result = lambda df, prefix="": df.select("stem", F.concat(F.lit(prefix), "source").alias("source"), "lat", "lon", "flags")
     done = first.where("lat is not null")
     second = materialise(pass2(first.where("source = 'rds_miss'"), grid, stats), "pass2").withColumn("flags", F.array(F.col("source")))
     invalid = first.where("source = 'bounds_invalid'").drop(*OUT[1:])
     base = rows.drop("centroid")
     filled = materialise(pass3(invalid, grid), "pass3")
-    third = materialise(pass1(prepared(refilled(base, filled), stats), sections, cells).where("lat is not null"), "pass3_placed")
+    third = materialise(pass1(prepared(refilled(base, filled), stats, limits), sections, cells).where("lat is not null"), "pass3_placed")
     third = third.select("stem", F.concat(F.lit("p3_"), "missing", F.lit("_"), "source").alias("source"), "lat", "lon", "flags", "twp", "ns", "rng", "ew", "section", "lease", "county")
     keys = ["stem", "source", "lat", "lon", "flags", "twp", "ns", "rng", "ew", "section", "lease", "county"]
     two = second.join(base.select("stem", "twp", "ns", "rng", "ew", "section", "lease", "county"), "stem").select(keys)
@@ -239,8 +275,8 @@ def resolve(rows: DataFrame, grid: DataFrame, materialise=written) -> DataFrame:
         F.when(F.col("rng").isNull(), part("_r", "^([0-9]+)").cast("int")).alias("rng"),
         F.when(F.col("rng").isNull(), part("_r", "([EW])$")).alias("ew"),
     )
-    fourth = result(materialise(pass1(prepared(refilled(base, materialise(new, "pass4")), stats), sections, cells).where("lat is not null"), "pass4_placed"), "p4_")
-    fifth = centroids(prepared(rows.where(centroid).drop("centroid"), stats), sections) if "centroid" in rows.columns else None
+    fourth = result(materialise(pass1(prepared(refilled(base, materialise(new, "pass4")), stats, limits), sections, cells).where("lat is not null"), "pass4_placed"), "p4_")
+    fifth = centroids(prepared(rows.where(centroid).drop("centroid"), stats, limits), sections) if "centroid" in rows.columns else None
     placed = result(so_far).unionByName(fourth)
     if fifth is not None:
         placed = placed.unionByName(fifth)

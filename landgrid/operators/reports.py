@@ -178,8 +178,8 @@ def suspects(done: DataFrame, envelopes: DataFrame, pad: float = 0.04) -> DataFr
     return met.groupBy("collection_num").agg(F.count("*").alias("n"), F.count_if(suspect("cx", "cy", "x0", "y0", "x1", "y1", pad)).alias("suspects"))
 
 
-def markdown(df: DataFrame, title: str, rows: int = 100) -> str:
-    """A small result as a Markdown table; at most ``rows`` rows reach the driver."""
-    head = "| " + " | ".join(df.columns) + " |\n|" + "--|" * len(df.columns)
-    body = "\n".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in df.limit(rows).collect())
-    return f"## {title}\n\n{head}\n{body}\n"
+def markdown(df: DataFrame, title: str) -> str:
+    """A report as a Markdown table: every row, fetched a partition at a time."""
+    lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "--|" * len(df.columns)]
+    lines += ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|").replace("\n", " ") for v in r) + " |" for r in df.toLocalIterator()]
+    return "\n".join(lines) + "\n"

@@ -114,12 +114,6 @@ def short_county_matches(log: DataFrame) -> DataFrame:
 
 
 def retry_plan(wide: DataFrame, policy: DataFrame) -> DataFrame:
-    """Failed stages joined to the policy (stage, error_type, action, parameter); others take the action plain."""
+    """Failed stages joined to the whole policy (stage, error_type, action, parameter); others take the action plain."""
     failed = long_form(wide).where("status = 'failed'").select("stem", "stage", "error_type")
-    return failed.join(F.broadcast(policy.limit(1000)), ["stage", "error_type"], "left").withColumn("action", F.coalesce("action", F.lit("plain")))
-
-
-#: The life of a record: after each stage, the stages that its outcome makes needless.
-def transitions(status: Column, stage: Column, has_coordinates: Column) -> Column:
-    """What a stage becomes by what came before: skipped by coordinates or for want of a grid."""
-    return F.when(stage.isin("grid", "location") & has_coordinates, "skipped").otherwise(status)
+    return failed.join(policy, ["stage", "error_type"], "left").withColumn("action", F.coalesce("action", F.lit("plain")))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from landgrid.functions import fields, geometry
 from landgrid.operators import cascade, detections, mining, reconcile, reports, sampling, status, tokens
 from landgrid.plans.views import view, with_views
-from landgrid.session import written
+from landgrid.session import shared_dir, written
 from landgrid.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,20 @@ def query(name: str, columns: str, views: str = "", sql: str | None = None):
     return register
 
 
+def sql_list(values: tuple[str, ...]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for v in values) + "]"
+
+
+def with_form(spark: SparkSession, sf_dir: str, forms: tuple[str, ...]) -> DataFrame:
+    """(doc_id, t): the whole text of each document and below it the form block that its id names."""
+    form = F.get(F.array(*map(F.lit, forms)), F.pmod("doc_id", F.lit(len(forms))).cast("int"))
+    return parquet(spark, sf_dir, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit("\n"), form).alias("t"))
+
+
+def with_form_sql(forms: tuple[str, ...]) -> str:
+    return f"forms as (select doc_id, coalesce(text, '') || chr(10) || ({sql_list(forms)})[doc_id % {len(forms)} + 1] t from documents)"
+
+
 def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -114,16 +128,23 @@ def _(spark, sf_dir):
 FORMS = ("well in NW SW NE of the lease", "NE/SW/NW 1/4 of sec", "located SE-NW only", "5W NE NW 1/4 noted", "no quadrant here")
 
 
+_Q, _OF = "(?:NW|NE|SW|SE|5W|5E)", "(?:[\\s\\-/,]+(?:of\\s+|the\\s+)?|(?:of|the)\\s+)+"
+_THREE, _TWO = f"(?i)({_Q}){_OF}({_Q}){_OF}({_Q})", f"(?i)({_Q}){_OF}({_Q})"
+
+
 @query(
     "q_extract_quadrant", "doc_id:l db_label:s levels:l confidence:l", "",
-    """select doc_id, case doc_id % 5 when 0 then 'NE-SW-NW' when 1 then 'NW-SW-NE' when 2 then 'NW-SE' when 3 then 'NW-NE-SW' end db_label, case doc_id % 5 when 2 then 2 when 4 then null else 3 end levels,
-      case doc_id % 5 when 0 then 85 when 1 then 98 when 2 then 45 when 3 then 90 end confidence from documents""",
+    f"""with {with_form_sql(FORMS)}, clean as (
+      select doc_id, t, regexp_replace(regexp_replace(regexp_replace(t, '[¼¾½]', ' 1/4 ', 'g'), '(?i)\\b1/4(?:th)?\\b', ' ', 'g'), '[ \\t\\n\\r\\f\\v]+', ' ', 'g') s from forms
+    ), found as (
+      select *, regexp_extract(s, '{_THREE}', 0) w3, list_transform([3, 2, 1], lambda i: regexp_replace(upper(case i when 1 then regexp_extract(s, '{_THREE}', 1) when 2 then regexp_extract(s, '{_THREE}', 2) else regexp_extract(s, '{_THREE}', 3) end), '^5', 'S')) p3,
+        regexp_extract(s, '{_TWO}', 0) w2, list_transform([2, 1], lambda i: regexp_replace(upper(case i when 1 then regexp_extract(s, '{_TWO}', 1) else regexp_extract(s, '{_TWO}', 2) end), '^5', 'S')) p2 from clean
+    ) select doc_id, case when w3 <> '' then array_to_string(p3, '-') when w2 <> '' then array_to_string(p2, '-') end db_label, case when w3 <> '' then 3 when w2 <> '' then 2 end levels,
+      case when w3 = '' and w2 <> '' then 45 when w3 <> '' then least(98, (case when regexp_matches(w3, '[/\\-]') then 93 else 85 end) + case when regexp_matches(t, '1/4|¼') then 5 else 0 end) end confidence from found""",
 )
 def _(spark, sf_dir):
     """Printed quadrants, fine to coarse, to labels."""
-    form = F.get(F.array(*map(F.lit, FORMS)), (F.col("doc_id") % 5).cast("int"))
-    q = fields.quadrant_of_text(form)
-    return parquet(spark, sf_dir, "documents").select("doc_id", q.alias("q")).select("doc_id", "q.db_label", "q.levels", "q.confidence")
+    return with_form(spark, sf_dir, FORMS).select("doc_id", fields.quadrant_of_text("t").alias("q")).select("doc_id", "q.db_label", "q.levels", "q.confidence")
 
 
 COORDINATES = (
@@ -131,17 +152,37 @@ COORDINATES = (
 )
 
 
+_DMS = "(?i)([0-9]{1,3})[°ºo*''`´\"”‘\\s,\\-]+([0-9]{1,2})[°ºo*''`´\"”‘\\s,\\-]+([0-9]{1,2}(?:[.,][0-9]+)?)[°ºo*''`´\"”‘\\s,]*([NSEW])?"
+_LAT, _LON = "between 32 and 37", "between -104 and -94"
+
+
+def _pair_sql(values: str) -> str:
+    """The first neighbours in a list of which one can be a latitude and the other a longitude."""
+    return f"list_filter(list_transform(range(1, len({values})), lambda i: {{'a': {values}[i], 'b': {values}[i + 1]}}), lambda p: (p.a {_LAT} and p.b {_LON}) or (p.b {_LAT} and p.a {_LON}))[1]"
+
+
 @query(
     "q_latlon", "doc_id:l lat:d lon:d confidence:l method:s", "",
-    """select doc_id, case doc_id % 7 when 0 then 36.123456e0 when 1 then 36 + 30 / 60e0 + 15.5e0 / 3600e0 when 2 then 35.12345e0 when 3 then 35.12345e0 when 4 then 35.5e0 end lat,
-      case doc_id % 7 when 0 then -97.654321e0 when 1 then -(97 + 45 / 60e0 + 30 / 3600e0) when 2 then -98.76543e0 when 3 then -98.76543e0 when 4 then -97.25e0 end lon,
-      case doc_id % 7 when 0 then 95 when 1 then 90 when 2 then 75 when 3 then 70 when 4 then 97 end confidence,
-      case doc_id % 7 when 0 then 'labeled' when 1 then 'dms' when 2 then 'unlabeled' when 3 then 'unlabeled' when 4 then 'labeled' end as method from documents""",
+    f"""with {with_form_sql(COORDINATES)}, labelled as (
+      select doc_id, t, try_cast(nullif(regexp_extract(t, '(?i)\\blat(?:itude)?\\s*[=:.]?\\s*(-?[0-9]{{1,2}}\\.[0-9]{{4,}})', 1), '') as double) la, try_cast(nullif(regexp_extract(t, '(?i)\\blon(?:gitude|g)?\\s*[=:.]?\\s*(-?[0-9]{{1,3}}\\.[0-9]{{4,}})', 1), '') as double) lo,
+        regexp_extract_all(t, '{_DMS}', 1) d, regexp_extract_all(t, '{_DMS}', 2) m, regexp_extract_all(t, '{_DMS}', 3) s, regexp_extract_all(t, '{_DMS}', 4) h,
+        list_transform(regexp_extract_all(t, '-?[0-9]{{1,3}}\\.[0-9]{{4,}}'), lambda x: x::double) u from forms
+    ), angles as (
+      select *, list_filter(list_transform(range(1, len(d) + 1), lambda i: {{'v': case when d[i]::int <= 180 and m[i]::int < 60 and replace(s[i], ',', '.')::double < 60
+        then (case when upper(h[i]) in ('S', 'W') then -1e0 else 1e0 end) * (d[i]::int + m[i]::int / 60e0 + replace(s[i], ',', '.')::double / 3600e0) end, 'h': upper(h[i])}}), lambda x: x.v is not null) z from labelled
+    ), named as (
+      select *, list_filter(z, lambda x: x.h in ('N', 'S'))[1].v na, list_filter(z, lambda x: x.h in ('E', 'W'))[1].v no, list_transform(z, lambda x: x.v) zv from angles
+    ), pairs as (select *, {_pair_sql('zv')} zp, {_pair_sql('u')} up from named),
+    kinds as (
+      select *, case when la {_LAT} and lo {_LON} then 'labeled' when len(z) >= 2 and na {_LAT} and no {_LON} then 'named' when len(z) >= 2 and zp is not null then 'dms' when up is not null then 'unlabeled' end k,
+        case when la {_LAT} and lo {_LON} then null when len(z) >= 2 and zp is not null then zp else up end p from pairs
+    ) select doc_id, case k when 'labeled' then la when 'named' then na else case when p.a {_LAT} and p.b {_LON} then p.a else p.b end end lat, case k when 'labeled' then lo when 'named' then no else case when p.a {_LAT} and p.b {_LON} then p.b else p.a end end lon,
+      case k when 'labeled' then case when regexp_matches(t, '(?i)(?:Location\\s*[:]\\s*|Locate\\s+Well\\b)') then 97 else 95 end when 'named' then 90 when 'dms' then case when p.a {_LAT} and p.b {_LON} then 70 else 65 end when 'unlabeled' then case when p.a {_LAT} and p.b {_LON} then 75 else 70 end end confidence,
+      case k when 'named' then 'dms' else k end as method from kinds""",
 )
 def _(spark, sf_dir):
     """Printed coordinates: labels, degrees-minutes-seconds, bare decimals."""
-    docs = parquet(spark, sf_dir, "documents").select("doc_id", F.get(F.array(*map(F.lit, COORDINATES)), (F.col("doc_id") % 7).cast("int")).alias("t"))
-    return docs.select("doc_id", fields.latlon("t").alias("x")).select("doc_id", "x.lat", "x.lon", "x.confidence", "x.method")
+    return with_form(spark, sf_dir, COORDINATES).select("doc_id", fields.latlon("t").alias("x")).select("doc_id", "x.lat", "x.lon", "x.confidence", "x.method")
 
 
 BLOCKS = (
@@ -149,16 +190,29 @@ BLOCKS = (
 )
 
 
+_LINE = "(?im)^([A-Z][A-Z\\s]{2,24}?)\\s+([0-9]{1,2})\\s+([0-9]{1,2}\\s*[NS])\\s+([0-9]{1,2}\\s*[EW])\\s*$"
+_LABELLED = "(?i)SEC\\s*([0-9]{1,2})\\s+T\\s*([0-9]{1,2}\\s*[NS])\\s+R\\s*([0-9]{1,2}\\s*[EW])"
+_RUN = "(?im)^(C\\b\\s*)?([NS][EW])\\s+([NS][EW])(?:\\s+([NS][EW]))?"
+
+
+def _feet(k: str) -> str:
+    return f"try_cast(regexp_extract_all(s, '(?i)([0-9]{{1,5}})\\s+F\\.?{k}\\.?L', 1)[-1] as int)"
+
+
 @query(
     "q_location_block", "doc_id:l county:s section:s township:s range:s quadrant:s x:d y:d", "",
-    """select doc_id, case doc_id % 4 when 0 then 'Alfalfa' end county, case doc_id % 4 when 0 then '36' when 1 then '14' end section, case doc_id % 4 when 0 then '28N' when 1 then '5N' end township,
-      case doc_id % 4 when 0 then '11W' when 1 then '9W' end as range, case doc_id % 4 when 0 then 'C SW SW' when 1 then 'NW NE NW' when 3 then 'NE' end quadrant,
-      case doc_id % 4 when 0 then 0.25e0 when 1 then 1 - 330 / 5280e0 end x, case doc_id % 4 when 0 then 0.75e0 when 1 then 330 / 5280e0 when 3 then 0.5e0 end y from documents""",
+    f"""with {with_form_sql(BLOCKS)}, block as (select doc_id, substr(nullif(regexp_extract(t, '(?is)((?:Location\\s*[:]\\s*|Locate\\s+Well\\b).*)', 1), ''), 1, 800) s from forms),
+    parts as (
+      select doc_id, s, regexp_extract(s, '{_LINE}', ['c', 's', 't', 'r']) l, regexp_extract(s, '{_LABELLED}', ['s', 't', 'r']) b, regexp_extract(s, '{_RUN}', ['a', 'b', 'c', 'd']) q, regexp_extract(s, '(?im)^([NS][EW])\\s*$', 1) one,
+        {_feet('S')} fsl, {_feet('N')} fnl, {_feet('W')} fwl, {_feet('E')} fel, case when regexp_matches(s, '(?i)of\\s+1/16\\s*SEC') then 1320e0 when regexp_matches(s, '(?i)of\\s+1/4\\s*SEC') then 2640e0 else 5280e0 end unit from block
+    ) select doc_id, nullif(array_to_string(list_transform(regexp_split_to_array(lower(trim(l.c)), ' '), lambda w: upper(w[1]) || w[2:]), ' '), '') county, coalesce(nullif(l.s, ''), nullif(b.s, '')) section,
+      upper(regexp_replace(coalesce(nullif(l.t, ''), nullif(b.t, '')), '\\s+', '', 'g')) township, upper(regexp_replace(coalesce(nullif(l.r, ''), nullif(b.r, '')), '\\s+', '', 'g')) as range,
+      upper(coalesce(nullif(concat_ws(' ', case when q.a <> '' then 'C' end, nullif(q.b, ''), nullif(q.c, ''), nullif(q.d, '')), ''), nullif(one, ''))) quadrant,
+      case when coalesce(fwl, fel) is not null then least(1, greatest(0, coalesce(fwl / unit, 1 - fel / unit))) end x, case when coalesce(fsl, fnl) is not null then least(1, greatest(0, coalesce(1 - fsl / unit, fnl / unit))) end y from parts""",
 )
 def _(spark, sf_dir):
     """Location blocks and feet from section lines."""
-    docs = parquet(spark, sf_dir, "documents").select("doc_id", F.get(F.array(*map(F.lit, BLOCKS)), (F.col("doc_id") % 4).cast("int")).alias("t"))
-    b = docs.select("doc_id", fields.location_block("t").alias("b")).select("doc_id", "b.*")
+    b = with_form(spark, sf_dir, BLOCKS).select("doc_id", fields.location_block("t").alias("b")).select("doc_id", "b.*")
     rel = geometry.feet_to_rel("feet_fsl", "feet_fnl", "feet_fwl", "feet_fel", "feet_ref")
     return b.select("doc_id", "county", "section", "township", "range", "quadrant", rel["x"].alias("x"), rel["y"].alias("y"))
 
@@ -166,15 +220,27 @@ def _(spark, sf_dir):
 STR_TEXTS = ("Section 19 Township 18N Range 12W", "SECTION SW/4 of 13 TOWNSHIP 18 RANGE 11", "Sec. 18 Twp. 18 Range 7", "SEC - 12  T - 23N  R - 10W", "Sec 5 Twp. 17 N then 9 E", "Section 77 Township 99 Range 60")
 
 
+_TOWN = "\\b(?:township|twn|tvp|twp|t)[.\\-\\s]+([0-9]{1,3}(?:[.\\-\\s]*[NS])?)"
+
+
+def _packed_sql(x: str, letters: str) -> str:
+    s = f"upper(regexp_replace({x}, '[.\\-\\s]', '', 'g'))"
+    n = f"try_cast(nullif(regexp_extract({s}, '^([0-9]{{1,3}})', 1), '') as int)"
+    return f"case when {n} between 1 and 50 then {n} || regexp_extract({s}, '([{letters}]?)$', 1) end"
+
+
 @query(
     "q_str_extract", "doc_id:l section:s township:s range:s", "",
-    """select doc_id, case doc_id % 6 when 0 then '19' when 1 then '13' when 2 then '18' when 3 then '12' when 4 then '5' end section,
-      case doc_id % 6 when 0 then '18N' when 1 then '18' when 2 then '18' when 3 then '23N' when 4 then '17N' end township, case doc_id % 6 when 0 then '12W' when 1 then '11' when 2 then '7' when 3 then '10W' when 4 then '9E' end as range from documents""",
+    f"""with {with_form_sql(STR_TEXTS)}, raw as (
+      select doc_id, regexp_extract(t, '(?i)\\b(?:section|sect|sec)[.\\-\\s]*([0-9]{{1,2}})\\b', 1) a, case when regexp_matches(t, '(?i)\\b(?:section|sec)\\b') then regexp_extract(t, '(?i)\\bof\\s+([0-9]{{1,2}})\\b', 1) end b,
+        regexp_extract(t, '(?i){_TOWN}', 1) tw, regexp_extract(t, '(?i)\\b(?:range|rge|r)[.\\-\\s]+([0-9]{{1,3}}(?:[.\\-\\s]*[EW])?)', 1) rg, regexp_extract(regexp_extract(t, '(?is){_TOWN}(.*)$', 2), '(?i)\\b[0-9]{{1,3}}\\s*[EW]\\b', 0) late from forms
+    ), made as (
+      select doc_id, case when try_cast(a as int) between 1 and 36 then a when try_cast(b as int) between 1 and 36 then b end section, {_packed_sql('tw', 'NS')} township, {_packed_sql('rg', 'EW')} rg, {_packed_sql('late', 'EW')} late from raw
+    ) select doc_id, section, township, coalesce(rg, case when section is not null and township is not null then late end) as range from made""",
 )
 def _(spark, sf_dir):
     """Survey fields of labelled free text."""
-    docs = parquet(spark, sf_dir, "documents").select("doc_id", F.get(F.array(*map(F.lit, STR_TEXTS)), (F.col("doc_id") % 6).cast("int")).alias("t"))
-    return docs.select("doc_id", fields.str_of_text("t").alias("x")).select("doc_id", "x.section", "x.township", "x.range")
+    return with_form(spark, sf_dir, STR_TEXTS).select("doc_id", fields.str_of_text("t").alias("x")).select("doc_id", "x.section", "x.township", "x.range")
 
 
 @query(
@@ -195,13 +261,20 @@ def _(records):
 MESSAGES = ("HTTP 503 from service", "unet checkpoint missing", "grid_image_not_found", "keyword_not_found: x", "GEMINI_DISABLED", "no grid on page", "file not_found", "invalid_crop box", "no_change", "boom", "")
 
 
+def _kinds_sql(message: str) -> str:
+    rules = " ".join("when " + " or ".join(f"contains(lower({message}), '{p}')" for p in parts) + f" then '{kind}'" for parts, kind in fields.ERROR_RULES)
+    return f"case when trim({message}) = '' then 'unknown' {rules} when lower({message}) = 'no_change' then 'not_detected' else 'exception' end"
+
+
 @query(
     "q_error_classify", "event_id:l kind:s", "",
-    "select event_id, (['api_error', 'model_load_failed', 'grid_image_not_found', 'keyword_not_found', 'no_match', 'not_detected', 'not_found', 'invalid_crop', 'not_detected', 'exception', 'unknown'])[event_id % 11 + 1] kind from events",
+    f"with m as (select event_id, case event_id % 11 when 8 then 'no_change' when 10 then '' else event_type || ' ' || props || ': ' || ({sql_list(MESSAGES)})[event_id % 11 + 1] end e from events) select event_id, {_kinds_sql('e')} kind from m",
 )
 def _(spark, sf_dir):
-    """Free-text errors to kinds."""
-    return parquet(spark, sf_dir, "events").select("event_id", fields.error_kind(F.get(F.array(*map(F.lit, MESSAGES)), (F.col("event_id") % 11).cast("int"))).alias("kind"))
+    """Free-text errors to kinds: what an event says and a message."""
+    i = (F.col("event_id") % len(MESSAGES)).cast("int")
+    said = F.when(i.isin(8, 10), F.lit("")).otherwise(F.concat("event_type", F.lit(" "), "props", F.lit(": ")))
+    return parquet(spark, sf_dir, "events").select("event_id", fields.error_kind(F.concat(said, F.get(F.array(*map(F.lit, MESSAGES)), i))).alias("kind"))
 
 
 @query("q_eras", "rec_id:l tier:s decade:s prior:d slug:s", "records", "select rec_id, case when collection_num <= 6 then 'early' when collection_num <= 8 then 'transition' when collection_num <= 10 then 'mid' when collection_num <= 12 then 'late' else 'modern' end tier, (year // 10 * 10) || 's' as decade, case when collection_num in (9, 10) then 0.01e0 when collection_num = 11 then 0.03e0 when collection_num = 12 then 0.29e0 when collection_num >= 13 then 0.77e0 else 0e0 end prior, regexp_replace(county, '[^A-Za-z0-9]+', '_', 'g') slug from records")
@@ -383,31 +456,42 @@ def _(grid):
     return mining.section_boxes(grid)
 
 
-P1 = """
- prepared as (
-  select r.*, case when ns is null then ns_order when len(ns_order) = 1 and ns_order[1] <> ns then [ns_order[1], ns] else [ns] end nt, case when ew is null then ew_order when len(ew_order) = 1 and ew_order[1] <> ew then [ew_order[1], ew] else [ew] end et from records r left join (
+PASS1 = """
+ prepared{tag} as (
+  select r.*, case when ns is null then ns_order when len(ns_order) = 1 and ns_order[1] <> ns then [ns_order[1], ns] else [ns] end nt, case when ew is null then ew_order when len(ew_order) = 1 and ew_order[1] <> ew then [ew_order[1], ew] else [ew] end et from {rows} r left join (
     select county, list(ns order by n desc, ns) ns_order from (select county, ns, count(*) n from grid group by all) group by county) a using (county) left join (
     select county, list(ew order by n desc, ew desc) ew_order from (select county, ew, count(*) n from grid group by all) group by county) b using (county)
-), tries as (
-  select *, unnest(range(1, len(nt) + 1)) i from (select * replace (coalesce(nt, ['N', 'S']) as nt, coalesce(et, ['W', 'E']) as et) from prepared)
-), cand as (select stem, section, twp, rng, nt[i] tn, et[j] te, i * 2 + j k, dot_row, dot_col, x_norm, y_norm, county, ns, ew from (select *, unnest(range(1, len(et) + 1)) j from tries)),
- first_dir as (select stem, twp, rng from cand),
- parts as (select *, (case when (dot_row - 1) // 4 % 2 = 0 then 'N' else 'S' end) || (case when (dot_col - 1) // 4 % 2 = 0 then 'W' else 'E' end) || '-' || (case when (dot_row - 1) // 2 % 2 = 0 then 'N' else 'S' end) || (case when (dot_col - 1) // 2 % 2 = 0 then 'W' else 'E' end)
+), tries{tag} as (
+  select *, unnest(range(1, len(nt) + 1)) i from (select * replace (coalesce(nt, ['N', 'S']) as nt, coalesce(et, ['W', 'E']) as et) from prepared{tag})
+), cand{tag} as (select stem, section, twp, rng, nt[i] tn, et[j] te, i * 2 + j k, dot_row, dot_col, x_norm, y_norm, county, ns, ew from (select *, unnest(range(1, len(et) + 1)) j from tries{tag})),
+ parts{tag} as (select *, (case when (dot_row - 1) // 4 % 2 = 0 then 'N' else 'S' end) || (case when (dot_col - 1) // 4 % 2 = 0 then 'W' else 'E' end) || '-' || (case when (dot_row - 1) // 2 % 2 = 0 then 'N' else 'S' end) || (case when (dot_col - 1) // 2 % 2 = 0 then 'W' else 'E' end)
    || '-' || (case when (dot_row - 1) % 2 = 0 then 'N' else 'S' end) || (case when (dot_col - 1) % 2 = 0 then 'W' else 'E' end) q,
    case when x_norm * 8 - (dot_col - 1) between 0 and 1 and y_norm * 8 - (dot_row - 1) between 0 and 1 then x_norm * 8 - (dot_col - 1) else 0.5e0 end rx,
-   case when x_norm * 8 - (dot_col - 1) between 0 and 1 and y_norm * 8 - (dot_row - 1) between 0 and 1 then y_norm * 8 - (dot_row - 1) else 0.5e0 end ry from cand),
- cellhit as (select stem, k, minx x0, miny y0, maxx x1, maxy y1, rx, ry from parts join grid g on g.sect = section and g.twp = parts.twp and g.rng = parts.rng and g.ns = tn and g.ew = te and g.quad = q
+   case when x_norm * 8 - (dot_col - 1) between 0 and 1 and y_norm * 8 - (dot_row - 1) between 0 and 1 then y_norm * 8 - (dot_row - 1) else 0.5e0 end ry from cand{tag}),
+ cellhit{tag} as (select stem, k, minx x0, miny y0, maxx x1, maxy y1, rx, ry from parts{tag} join grid g on g.sect = section and g.twp = parts{tag}.twp and g.rng = parts{tag}.rng and g.ns = tn and g.ew = te and g.quad = q
    qualify row_number() over (partition by stem order by k) = 1),
- secbox as (select sect, twp, ns, rng, ew, min(minx) a, min(miny) b, max(maxx) c, max(maxy) d from grid group by all),
- sechit as (select stem, k, a + (dot_col - 1) * (c - a) / 8 x0, d - dot_row * (d - b) / 8 y0, a + dot_col * (c - a) / 8 x1, d - (dot_row - 1) * (d - b) / 8 y1, rx, ry, coalesce(tn = p.ns and te = p.ew, false) exact from parts p join secbox g on g.sect = section and g.twp = p.twp and g.rng = p.rng and g.ns = tn and g.ew = te
+ secbox{tag} as (select sect, twp, ns, rng, ew, min(minx) a, min(miny) b, max(maxx) c, max(maxy) d from grid group by all),
+ sechit{tag} as (select stem, k, a + (dot_col - 1) * (c - a) / 8 x0, d - dot_row * (d - b) / 8 y0, a + dot_col * (c - a) / 8 x1, d - (dot_row - 1) * (d - b) / 8 y1, rx, ry, coalesce(tn = p.ns and te = p.ew, false) exact from parts{tag} p join secbox{tag} g on g.sect = section and g.twp = p.twp and g.rng = p.rng and g.ns = tn and g.ew = te
    qualify row_number() over (partition by stem order by coalesce(tn = p.ns and te = p.ew, false) desc, k) = 1),
- p1 as (select r.stem, case when r.twp is null or r.rng is null then 'bounds_invalid' when c.stem is not null then 'quadrant_direct' when s.stem is null then 'rds_miss' when exact then 'exact_county' when ns is not null and ew is not null then 'county_constrained'
+ p1{tag} as (select r.stem, case when r.twp is null or r.rng is null then 'bounds_invalid' when c.stem is not null then 'quadrant_direct' when s.stem is null then 'rds_miss' when exact then 'exact_county' when ns is not null and ew is not null then 'county_constrained'
     when ns is not null then 'ew_fallback' when ew is not null then 'ns_fallback' else 'ns_ew_fallback' end source,
     round(coalesce(c.y1 + (c.y0 - c.y1) * c.ry, s.y1 + (s.y0 - s.y1) * s.ry), 7) lat, round(coalesce(c.x0 + (c.x1 - c.x0) * c.rx, s.x0 + (s.x1 - s.x0) * s.rx), 7) lon
-  from records r left join cellhit c using (stem) left join sechit s using (stem))
+  from {rows} r left join cellhit{tag} c using (stem) left join sechit{tag} s using (stem))
 """
 
 
+def p1_sql(rows: str = "records", tag: str = "", directions: str = "") -> str:
+    """Pass 1 over a table with the columns of records; ``directions`` replaces the statistics of the grid."""
+    text = PASS1
+    if directions:
+        at, end = text.index(" prepared{tag} as"), text.index(", tries{tag} as")
+        text = " " + directions + text[end:]
+    return text.replace("{rows}", rows).replace("{tag}", tag)
+
+
+P1 = p1_sql()
+
+
 @query("q_resolve_p1", "stem:s source:s lat:d lon:d", "records grid", f"--cte {P1} select stem, source, lat, lon from p1")
 def _(records, grid):
     """Pass 1 of the cascade: cell, then section."""
@@ -420,14 +504,45 @@ def first_pass(records: DataFrame, grid: DataFrame) -> DataFrame:
     return cascade.pass1(ready, *(written(g, "grid") for g in cascade.grid_maps(grid)))
 
 
-@query("q_resolve_p2", "stem:s source:s lat:d lon:d", "records grid")
+P2 = """
+ m0 as (select r.stem, r.section, r.twp, r.rng, r.dot_row, r.dot_col, split_part(lower(trim(r.county)), ' ', 1) pat, case when r.ns is not null then [r.ns] else list_concat(t.nt, list_filter(['N', 'S'], lambda v: not list_contains(t.nt, v))) end nn,
+    case when r.ew is not null then [r.ew] else list_concat(t.et, list_filter(['W', 'E'], lambda v: not list_contains(t.et, v))) end ee
+  from records r join (select distinct stem, nt, et from tries) t using (stem) join p1 using (stem) where p1.source = 'rds_miss'),
+ m1 as (select *, unnest(range(len(nn))) i from m0), m2 as (select *, unnest(range(len(ee))) j from m1),
+ m3 as (select *, nn[i + 1] d1, ee[j + 1] d2, i * len(ee) + j k from m2),
+ pos as (select distinct stem, q, rx, ry from parts),
+ csec as (select sect, twp, ns, rng, ew, county, min(minx) a, min(miny) b, max(maxx) c, max(maxy) d from grid group by all),
+ incell as (select m3.stem, k as rank, 'direction_inferred_p2_' || d1 || d2 source, minx x0, miny y0, maxx x1, maxy y1 from m3 join pos using (stem) join grid g on g.sect = section and g.twp = m3.twp and g.rng = m3.rng and g.ns = d1 and g.ew = d2 and g.quad = q and contains(lower(g.county), pat)),
+ near as (select m3.stem, dot_row, dot_col, case when delta = 0 then 100 + k else 200 + k * 4 + base end as rank, case when delta = 0 then 'direction_inferred_p2_' || d1 || d2 else 'sect_adj_p2_' || (section + delta) || '_' || d1 || d2 end source, min(a) a, min(b) b, max(c) c, max(d) d
+  from m3, (values (0, 0), (-1, 0), (1, 1), (-2, 2), (2, 3)) s(delta, base) join csec g on g.sect = section + delta and g.twp = m3.twp and g.rng = m3.rng and g.ns = d1 and g.ew = d2 and contains(lower(g.county), pat) group by all),
+ tried2 as (from incell union all select stem, rank, source, a + (dot_col - 1) * (c - a) / 8, d - dot_row * (d - b) / 8, a + dot_col * (c - a) / 8, d - (dot_row - 1) * (d - b) / 8 from near),
+ p2 as (select stem, source, round(y1 + (y0 - y1) * ry, 7) lat, round(x0 + (x1 - x0) * rx, 7) lon from tried2 join pos using (stem)
+  where y1 + (y0 - y1) * ry between 33.6 and 37.1 and x0 + (x1 - x0) * rx between -103.1 and -94.4 qualify row_number() over (partition by stem order by rank, source, lat, lon) = 1)
+"""
+P3 = """
+ inv as (select r.*, t.nt, t.et, lower(trim(r.county)) cl from records r join (select distinct stem, nt, et from tries) t using (stem) join p1 using (stem) where p1.source = 'bounds_invalid'),
+ pats as (select *, list_distinct([cl, trim(regexp_replace(cl, '\\s+county\\.?$', '')), split_part(cl, ' ', 1)]) u from inv),
+ pt as (select *, unnest(list_sort(u, 'DESC')) pat from pats),
+ t1 as (select *, unnest(range(len(et))) i from pt where twp is null and rng is not null), g1 as (select sect, rng, ew, county, twp, ns, count(*) n from grid group by all),
+ c1 as (select t1.stem, i, pat, et[i + 1] dd, g.twp v, g.ns vd, sum(n) n from t1 join g1 g on g.sect = section and g.rng = t1.rng and g.ew = et[i + 1] and contains(lower(g.county), pat) group by all),
+ d1 as (select *, lead(n) over w nx, row_number() over w k from c1 window w as (partition by stem, i, pat order by n desc, v, vd)),
+ f1 as (select stem, v twp, vd ns, dd ew from d1 where k = 1 and (nx is null or n >= 4 * nx) qualify row_number() over (partition by stem order by i, pat desc) = 1),
+ t2 as (select *, unnest(range(len(nt))) i from pt where rng is null and twp is not null), g2 as (select sect, twp, ns, county, rng, ew, count(*) n from grid group by all),
+ c2 as (select t2.stem, i, pat, nt[i + 1] dd, g.rng v, g.ew vd, sum(n) n from t2 join g2 g on g.sect = section and g.twp = t2.twp and g.ns = nt[i + 1] and contains(lower(g.county), pat) group by all),
+ d2 as (select *, lead(n) over w nx, row_number() over w k from c2 window w as (partition by stem, i, pat order by n desc, v, vd)),
+ f2 as (select stem, dd ns, v rng, vd ew from d2 where k = 1 and (nx is null or n >= 4 * nx) qualify row_number() over (partition by stem order by i, pat desc) = 1),
+ p3 as (select stem, f1.twp, f1.ns, r.rng, f1.ew, 'twp' missing from f1 join records r using (stem) union all select stem, r.twp, f2.ns, f2.rng, f2.ew, 'rng' from f2 join records r using (stem))
+"""
+
+
+@query("q_resolve_p2", "stem:s source:s lat:d lon:d", "records grid", f"--cte {P1}, {P2} select stem, source, lat, lon from p2")
 def _(records, grid):
     """Pass 2: misses by directions, then by neighbouring sections of their county."""
     stats = written(mining.direction_stats(grid), "stats")
     return cascade.pass2(written(first_pass(records, grid).where("source = 'rds_miss'"), "misses"), grid, stats)
 
 
-@query("q_resolve_p3", "stem:s twp:l ns:s rng:l ew:s missing:s", "records grid")
+@query("q_resolve_p3", "stem:s twp:l ns:s rng:l ew:s missing:s", "records grid", f"--cte {P1}, {P3} select stem, twp, ns, rng, ew, missing from p3")
 def _(records, grid):
     """Pass 3: a missing township or range by its county's grid."""
     return cascade.pass3(written(first_pass(records, grid).where("source = 'bounds_invalid'"), "invalid"), grid)
@@ -444,25 +559,79 @@ def _(records, grid):
     return cascade.centroids(ready, cascade.grid_maps(grid)[0])
 
 
-@query("q_resolve_all", "stem:s source:s lat:d lon:d flags:s", "records grid")
+_LEASE = "regexp_replace(regexp_extract(stem, '^[^_]+_(.+)_[0-9]+$', 1), '\\s+[0-9]+$', '')"
+_FLAG = "case when x_norm is null or y_norm is null then 'cell_centre_used' else '' end"
+_KEEP = "section, county, dot_row, dot_col, x_norm, y_norm"
+ALL = (
+    f"--cte open as (select * from records where not centroid), {p1_sql('open')}, {P2.replace('from records r', 'from open r')}, {P3.replace('records r', 'open r')}, "
+    + f"rows3 as (select stem, {_KEEP}, p3.twp, coalesce(p3.ns, r.ns) ns, p3.rng, coalesce(p3.ew, r.ew) ew, missing from p3 join open r using (stem)), {p1_sql('rows3', '_3')}, "
+    + f"""sofar as (
+      select r.stem, p1.source, p1.lat, p1.lon, {_FLAG} flags, r.twp, r.ns, r.rng, r.ew, county from p1 join open r using (stem) where p1.lat is not null
+      union all select r.stem, p2.source, p2.lat, p2.lon, p2.source, r.twp, r.ns, r.rng, r.ew, county from p2 join open r using (stem)
+      union all select r.stem, 'p3_' || missing || '_' || p.source, p.lat, p.lon, {_FLAG}, r.twp, r.ns, r.rng, r.ew, county from p1_3 p join rows3 r using (stem) where p.lat is not null
+    ), lease as (select upper({_LEASE}) lease, county, min(twp || coalesce(ns, '')) t, max(twp || coalesce(ns, '')) t2, min(rng || coalesce(ew, '')) g, max(rng || coalesce(ew, '')) g2 from sofar group by all),
+    rows4 as (select stem, r.section, r.county, dot_row, dot_col, x_norm, y_norm, case when r.twp is null and t = t2 then regexp_extract(t, '^([0-9]+)', 1)::int else r.twp end twp, case when r.twp is null and t = t2 then coalesce(nullif(regexp_extract(t, '([NS])$', 1), ''), ns) else ns end ns,
+      case when r.rng is null and g = g2 then regexp_extract(g, '^([0-9]+)', 1)::int else r.rng end rng, case when r.rng is null and g = g2 then coalesce(nullif(regexp_extract(g, '([EW])$', 1), ''), ew) else ew end ew
+      from open r join p1 using (stem) join lease l on l.lease = upper({_LEASE}) and l.county = r.county where p1.source = 'bounds_invalid' and stem not in (select stem from sofar)), {p1_sql('rows4', '_4')}, """
+    + f"cen as (select * from records where centroid), {p1_sql('cen', '_5')}, "
+    + f"""five as (select r.stem, (b + d) / 2 lat, (a + c) / 2 lon, tn || te dir from parts_5 r join secbox_5 g on g.sect = section and g.twp = r.twp and g.rng = r.rng and g.ns = tn and g.ew = te qualify row_number() over (partition by stem order by k) = 1),
+    placed as (
+      select stem, source, lat, lon, flags from sofar union all select stem, 'p4_' || p.source, p.lat, p.lon, {_FLAG} from p1_4 p join rows4 using (stem) where p.lat is not null
+      union all select stem, 'section_centroid', round(lat, 7), round(lon, 7), 'approx_section_center; direction:' || dir from five
+    ), everything as (
+      from placed union all select stem, source, null, null, case when source = 'rds_miss' then '' when r.twp is null then 'township_invalid:None' else 'range_invalid:None' end from p1 join open r using (stem) where stem not in (select stem from placed)
+      union all select stem, 'centroid_miss', null, null, '' from cen where stem not in (select stem from placed))
+    """
+)
+
+
+@query("q_resolve_all", "stem:s source:s lat:d lon:d flags:s", "records grid", ALL + " select * from everything")
 def _(records, grid):
     """All passes of the cascade."""
     return cascade.resolve(records, grid).withColumn("flags", F.array_join("flags", "; "))
 
 
-@query("q_method_families", "family:s n:l", "records grid")
+@query(
+    "q_method_families", "family:s n:l", "records grid",
+    ALL + " select case when source like 'p3%' then 'pass3' when source like 'p4%' then 'pass4' when contains(source, '_p2_') then 'pass2' when source = 'section_centroid' then 'centroid' else source end family, count(*) n from everything where lat is not null group by all",
+)
 def _(records, grid):
     """Resolved records by the pass that placed them."""
     return reports.method_families(cascade.resolve(records, grid).where("lat is not null"))
 
 
+#: Directions by the limits of the county that its name, or the first in order that begins with its first word, has.
+CONSTRAINED = """prepared{tag} as (
+  with lim as (select county cn, trim(regexp_replace(lower(trim(county)), '\\s+county\\.?$', '')) base, list(distinct ns order by ns) nv, list(distinct ew order by ew) ev, max(twp) mt, max(rng) mr from grid group by county),
+  own as (select distinct county, trim(regexp_replace(lower(trim(county)), '\\s+county\\.?$', '')) base from {rows}),
+  met as (select own.county, coalesce((select min(l.base) from lim l where l.base = own.base), (select min(l.base) from lim l where starts_with(l.base, own.base)), (select min(l.base) from lim l where starts_with(l.base, split_part(own.base, ' ', 1)))) base from own)
+  select r.*, case when ns is not null then [ns] when nv is null then ['N', 'S'] when len(nv) = 1 then nv when r.twp <= mt and list_contains(nv, 'N') then ['N'] else nv end nt,
+    case when ew is not null then [ew] when ev is null then ['W', 'E'] when len(ev) = 1 then ev when r.rng is null or len(list_filter(ev, lambda e: r.rng <= case when e = 'W' then mr else 26 end)) = 0 then ev else list_filter(ev, lambda e: r.rng <= case when e = 'W' then mr else 26 end) end et
+  from {rows} r left join met using (county) left join lim on lim.base = met.base
+)"""
+
+
+@query("q_directions_constraints", "stem:s ns:s ew:s", "records grid", "--cte " + CONSTRAINED.replace("{tag}", "").replace("{rows}", "records") + " select stem, array_to_string(nt, ',') ns, array_to_string(et, ',') ew from prepared")
+def _(records, grid):
+    """Directions to try by the limits of each record's county."""
+    tried = cascade.constrained(records, mining.county_constraints(grid))
+    return tried.select("stem", F.array_join("ns_try", ",").alias("ns"), F.array_join("ew_try", ",").alias("ew"))
+
+
+@query("q_resolve_constraints", "stem:s source:s lat:d lon:d", "records grid", f"--cte {p1_sql(directions=CONSTRAINED)} select stem, source, lat, lon from p1")
+def _(records, grid):
+    """Pass 1 of the cascade with directions by the counties' limits."""
+    ready = cascade.prepared(records.drop("centroid"), None, mining.county_constraints(grid))
+    return cascade.pass1(ready, *(written(g, "grid") for g in cascade.grid_maps(grid)))
+
+
 LEASED = "(select *, regexp_replace(regexp_extract(stem, '^[^_]+_(.+)_[0-9]+$', 1), '\\s+[0-9]+$', '') lease from records)"
 
 
-@query("q_lease_consensus", "lease:s county:s twp:l rng:l", "records", f"select lease, county, case when min(twp) = max(twp) then min(twp) end twp, case when min(rng) = max(rng) then min(rng) end rng from {LEASED} where section % 2 = 0 group by all")
+@query("q_lease_consensus", "lease:s county:s twp:l rng:l", "records", f"select lease, county, case when min(twp) = max(twp) then min(twp) end twp, case when min(rng) = max(rng) then min(rng) end rng from {LEASED} group by all")
 def _(records):
     """Values on which all records of a lease agree."""
-    return mining.consensus(records.where("section % 2 = 0").withColumn("lease", fields.lease_name("stem")), ["lease", "county"], ["twp", "rng"])
+    return mining.consensus(records.withColumn("lease", fields.lease_name("stem")), ["lease", "county"], ["twp", "rng"])
 
 
 @query("q_county_consistency", "verdict:s n:l", "records grid", "--cte g as (select sect, twp, ns, rng, ew, list(distinct county) cs from grid group by all) select case when cs is null then 'no_section' when list_contains(cs, county) and len(cs) = 1 then 'agree' when list_contains(cs, county) then 'border' else 'mismatch' end verdict, count(*) n from records r left join g on g.sect = section and g.twp = r.twp and g.ns = r.ns and g.rng = r.rng and g.ew = r.ew group by all")
@@ -675,7 +844,7 @@ NORMAL = "regexp_replace(lower(t), '[.\\s,;:\\-]+$', '')"
     "q_keyword_pairing", "doc_id:l sec_pos:l township_pos:l range_pos:l", "tokens",
     f"""--cte k as (select doc_id, pos, case when {NORMAL} in ('section', 'sec', 'sect') then 's' when {NORMAL} in ('township', 'twp', 'twn') then 't' when {NORMAL} in ('range', 'rge', 'rng') then 'r' end kind, x0, y0 - 50 a, y1 + 50 b from tokens),
     m as (select s.doc_id, s.pos sec_pos, min(o.pos) filter (o.kind = 't') township_pos, min(o.pos) filter (o.kind = 'r') range_pos from k s join k o on o.doc_id = s.doc_id and o.kind in ('t', 'r') and o.x0 > s.x0
-      and greatest(0, least(s.b, o.b) - greatest(s.a, o.a)) / least(s.b - s.a, o.b - o.a) >= 0.3e0 where s.kind = 's' group by all)
+      and greatest(0, least(s.b, o.b) - greatest(s.a, o.a)) / least(s.b - s.a, o.b - o.a) >= 0.35e0 where s.kind = 's' group by all)
     select * from m where township_pos is not null and range_pos is not null qualify row_number() over (partition by doc_id order by sec_pos) = 1""",
 )
 def _(t):
@@ -691,7 +860,7 @@ def _(t):
 
 @query(
     "q_left_right", "doc_id:l label_pos:l left_text:s right_text:s below_text:s", "tokens",
-    f"""--cte l as (select * from tokens where {NORMAL} = 'rge'), m as (select l.doc_id, l.pos label_pos, o.pos, o.t, o.x0 - l.x0 dx, o.y0 - l.y0 dy from l join tokens o on o.doc_id = l.doc_id and o.pos <> l.pos),
+    f"""--cte l as (select * from tokens where {NORMAL} = 'rge'), m as (select l.doc_id, l.pos label_pos, o.pos, o.t, o.x0 - l.x0 dx, o.y0 - l.y0 dy from l left join tokens o on o.doc_id = l.doc_id and o.pos <> l.pos and o.pos between l.pos - 60 and l.pos + 100),
     g as (select doc_id, label_pos, list(t order by dx, pos, t) filter (abs(dy) <= 35 and dx < 0) a, list(t order by dx, pos, t) filter (abs(dy) <= 35 and dx > 0) b, list(t order by dy, pos, t) filter (abs(dx) <= 80 and dy between 5 and 120) c from m group by all)
     select doc_id, label_pos, coalesce(array_to_string(a[-4:], ' '), '') left_text, coalesce(array_to_string(b[1:4], ' '), '') right_text, coalesce(array_to_string(c[1:2], ' '), '') below_text from g""",
 )
@@ -712,13 +881,40 @@ def _(t):
     return tokens.illegible(t)
 
 
-@query("q_form_classifier", "rec_id:l kind:s suspect:b", "records")
+@query(
+    "q_keyword_region", "doc_id:l x0:d y0:d x1:d y1:d how:s", "tokens",
+    f"""--cte k as (select doc_id, pos, case when {NORMAL} in ('section', 'sec', 'sect') then 's' when {NORMAL} in ('township', 'twp', 'twn') then 't' when {NORMAL} in ('range', 'rge', 'rng') then 'r' end kind, x0 a, y0 - 50 b, x1 + 400 c, y1 + 50 d from tokens),
+    l as (select * from k where kind is not null),
+    near as (select s.doc_id, s.pos sp, o.pos op, o.kind, s.a, least(s.b, o.b) b, o.c, greatest(s.d, o.d) d, s.b sb, s.d sd from l s join l o on o.doc_id = s.doc_id and o.kind in ('t', 'r') and o.a > s.a and o.pos between s.pos - 80 and s.pos + 80
+      and greatest(0, least(s.d, o.d) - greatest(s.b, o.b)) / least(s.d - s.b, o.d - o.b) >= 0.35e0 where s.kind = 's'),
+    m as (select doc_id, sp, min(op) filter (kind = 't') tp, min(op) filter (kind = 'r') rp from near group by all),
+    one as (select * from m where tp is not null and rp is not null qualify row_number() over (partition by doc_id order by sp) = 1),
+    trip as (select l.doc_id, min(a) x0, min(b) y0, max(c) + 200 x1, max(d) y1, 'triplet' how, 0 r from one join l on l.doc_id = one.doc_id and l.pos in (sp, tp, rp) group by l.doc_id),
+    two as (select doc_id, min(a) - 300 x0, min(b) - 80 y0, max(c) + 180 x1, max(d) + 80 y1, 'township_range' how, 1 r from l where kind <> 's' group by doc_id having count(distinct kind) = 2),
+    three as (select doc_id, a - 100 x0, b - 80 y0, c + 500 x1, d + 80 y1, 'section_township' how, 2 r from near where kind = 't' qualify row_number() over (partition by doc_id order by sp, op) = 1)
+    select doc_id, x0, y0, x1, y1, how from (from trip union all from two union all from three) qualify row_number() over (partition by doc_id order by r) = 1""",
+)
+def _(t):
+    """The box to read on each page, around its labels."""
+    return tokens.keyword_region(tokens.keyword_boxes(t)).select("doc_id", *[F.col(f"b{c}").alias(c) for c in ("x0", "y0", "x1", "y1")], "how")
+
+
+@query(
+    "q_form_classifier", "rec_id:l form_type:s grid_zone:s str_zone:s county_format:s str_strategy:s suspect:b", "records",
+    """--cte g as (select rec_id, (rec_id % 100) / 100e0 x, (rec_id * 7 % 100) / 100e0 y, (rec_id % 20) / 10e0 + 0.1e0 ar, case when rec_id % 11 = 0 then 'locate well correctly' when rec_id % 13 = 0 then 'spot well' when rec_id % 3 = 0 then 'locate well' else '' end a, collection_num <= 8 early from records),
+    z as (select *, case when y > 0.5 and x < 0.45 then 'bottom_left' when y > 0.5 then 'unknown' when x < 0.3 then 'top_left' when x <= 0.58 then 'top_center' else 'top_right' end z from g),
+    k as (select *, case when z = 'bottom_left' then 'T1_LARGE' when z = 'top_left' and a = '' then 'T4_NOANCHOR' when z = 'top_left' and a = 'locate well' and ar < 0.75 then 'T3_SMALL' when z = 'top_left' then 'T2_MED'
+      when early or z = 'unknown' then 'UNKNOWN' when z = 'top_center' then 'MID' else 'LATE' end k from z)
+    select rec_id, k form_type, z grid_zone, case k when 'T1_LARGE' then 'top_header' when 'T2_MED' then 'right_of_grid' when 'T3_SMALL' then 'upper_right' when 'T4_NOANCHOR' then 'upper_right' when 'UNKNOWN' then 'any' else 'left_of_grid' end str_zone,
+      case when k in ('T1_LARGE', 'T2_MED') then 'name_county' when k = 'LATE' then 'stacked' else 'any' end county_format, case when k in ('T4_NOANCHOR', 'LATE') then 'vertical_stack' when k = 'UNKNOWN' then 'any' else 'horizontal_group' end str_strategy,
+      not (x between 0.5e0 - 0.08e0 and 0.9e0 + 0.08e0 and y between 0.1e0 - 0.08e0 and 0.4e0 + 0.08e0) suspect from k""",
+)
 def _(records):
-    """Kind of form by where its grid stands, and whether the grid is suspect."""
+    """Kind of form by where its grid stands, what it means for later stages, and whether the grid is suspect."""
     cx, cy = (F.col("rec_id") % 100) / 100, (F.col("rec_id") * 7 % 100) / 100
-    anchor = F.when(F.col("rec_id") % 11 == 0, "LOCATE WELL CORRECTLY").when(F.col("rec_id") % 13 == 0, "Location:")
-    kind = geometry.form_kind(cx, cy, (F.col("rec_id") % 20) / 10 + 0.1, anchor, fields.tier("collection_num"))
-    return records.select("rec_id", kind.alias("kind"), geometry.suspect(cx, cy, F.lit(0.5), F.lit(0.1), F.lit(0.9), F.lit(0.4)).alias("suspect"))
+    anchor = F.when(F.col("rec_id") % 11 == 0, "LOCATE WELL CORRECTLY").when(F.col("rec_id") % 13 == 0, "Spot Well").when(F.col("rec_id") % 3 == 0, "locate well")
+    hints = geometry.form_hints(cx, cy, (F.col("rec_id") % 20) / 10 + 0.1, anchor, fields.tier("collection_num"))
+    return records.select("rec_id", hints.alias("h"), geometry.suspect(cx, cy, F.lit(0.5), F.lit(0.1), F.lit(0.9), F.lit(0.4)).alias("suspect")).select("rec_id", "h.*", "suspect")
 
 
 BOXES = "select rec_id stem, detector, 1 as page, 'early' tier, 100 + (rec_id * (3 + k)) % 600 w, 100 + (rec_id * (5 + k)) % 500 h, (rec_id * (7 + k)) % 100 / 100e0 density, 800 page_w, 700 page_h from records, (values ('adaptive', 1), ('otsu', 2), ('canny', 3)) d(detector, k)"
@@ -738,20 +934,21 @@ def _(records):
 # --- streaming ---------------------------------------------------------------
 
 
-def _drained(df: DataFrame, name: str, mode: str) -> DataFrame:
-    """Run a stream over what there is and return the sink's table."""
+def _drained(df: DataFrame, name: str) -> DataFrame:
+    """Run an append stream over what there is into files of the shared folder, and return them."""
     import uuid
 
-    table = f"{name}_{uuid.uuid4().hex}"
-    run = df.writeStream.format("memory").queryName(table).outputMode(mode).trigger(availableNow=True).start()
+    spark = df.sparkSession
+    root = f"{shared_dir(spark)}/landgrid/{name}-{uuid.uuid4().hex}"
+    run = df.writeStream.format("parquet").outputMode("append").option("path", root).option("checkpointLocation", f"{root}.checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
-    return df.sparkSession.table(table)
+    return spark.read.schema(df.schema).parquet(root)
 
 
 @query("q_stream_status", "key:l status:s version:l", "", ORACLES["q_newest_wins"])
 def _(spark, sf_dir):
     """The latest status of each key, as a stream."""
-    return _drained(streams.latest(streams.status_events(streams.stream(spark, f"{sf_dir}/events.parquet"))), "latest", "complete")
+    return streams.settled(streams.latest(streams.status_events(streams.stream(spark, f"{sf_dir}/events.parquet"))), ["key"])
 
 
 @query(
@@ -770,7 +967,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Events once each, in whatever files and order they come."""
     log = streams.status_events(streams.stream(spark, f"{sf_dir}/events.parquet"))
-    return _drained(streams.distinct(log), "dedup", "append").agg(F.count("*").alias("n"))
+    return _drained(streams.distinct(log), "dedup").agg(F.count("*").alias("n"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

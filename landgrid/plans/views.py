@@ -94,8 +94,8 @@ from (
 ) q
 """
 WORDS = {
-    "spark": "(select doc_id, cast(pos as bigint) as i, col as w from (select doc_id, posexplode(slice(split(text, '[ \\n]'), 1, 400)) from {documents}))",
-    "duckdb": "(select doc_id, unnest(range(len(ws))) as i, unnest(ws) as w from (select doc_id, regexp_split_to_array(text, '[ \\n]')[1:400] as ws from documents))",
+    "spark": "(select doc_id, cast(pos as bigint) as i, col as w from (select doc_id, posexplode(split(text, '[ \\n]')) from {documents}))",
+    "duckdb": "(select doc_id, unnest(range(len(ws))) as i, unnest(ws) as w from (select doc_id, regexp_split_to_array(text, '[ \\n]') as ws from documents))",
 }
 
 VIEWS = {"records": RECORDS, "status": _status(0), "baseline": _status(5), "grid": GRID, "tokens": TOKENS}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv as python_csv
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,16 +60,71 @@ def scoped(df: DataFrame, stems: DataFrame, key: str = "stem") -> DataFrame:
     return df.join(stems.select(key), key, "left_semi")
 
 
+def by_header(spark: SparkSession, *globs: str) -> DataFrame:
+    """CSV files united by the names in their headers, all columns text; a column that a file lacks is null there.
+
+    Files of one header are one scan. Only each file's first line is read ahead. Unreadable and empty files go.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for glob in globs:
+        path = jvm.org.apache.hadoop.fs.Path(glob)
+        fs = path.getFileSystem(conf)
+        for found in fs.globStatus(path) or []:
+            for f in fs.listStatus(found.getPath()) if found.isDirectory() else [found]:
+                at = f.getPath()
+                if f.isDirectory() or at.getName().startswith(("_", ".")):
+                    continue
+                stream = fs.open(at)
+                try:
+                    line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+                finally:
+                    stream.close()
+                names = next(python_csv.reader([line.lstrip("\ufeff")])) if line else []
+                if names:
+                    groups.setdefault(tuple(names), []).append(at.toString())
+    parts = []
+    for names, paths in groups.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        read = spark.read.option("header", "true").option("escape", '"').option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+        df = read.schema(schema).csv(paths)
+        parts.append(df.select("*", F.col("_metadata.file_modification_time").alias("_t"), F.col("_metadata.file_path").alias("_f")))
+    if not parts:
+        return spark.createDataFrame([], "_t timestamp, _f string")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def base_and_shards(spark: SparkSession, *paths: str, key: str = "stem", schema: str) -> DataFrame:
-    """Shards by time of their file; a later file's row replaces an earlier one's."""
-    df = spark.read.option("header", "true").schema(schema).csv(list(paths)).withColumn("_t", F.col("_metadata.file_modification_time")).withColumn("_f", F.col("_metadata.file_path"))
-    rest = [c for c in df.columns if c not in (key, "_t", "_f")]
+    """Shards by time of their file, columns by name; a later file's row replaces an earlier one's."""
+    wanted = T._parse_datatype_string(schema)
+    df = by_header(spark, *paths)
+    cast = [(F.col(f.name) if f.name in df.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in wanted.fields]
+    df = df.select(*cast, "_t", "_f")
+    rest = [f.name for f in wanted.fields if f.name != key]
     return df.groupBy(key).agg(F.max(F.struct("_t", "_f", *rest)).alias("b")).select(key, *[F.col(f"b.{c}").alias(c) for c in rest])
 
 
 def slices(spark: SparkSession, glob: str) -> DataFrame:
-    """All slice files one after the other, without deduplication; columns are united, unreadable files skipped."""
-    return spark.read.option("header", "true").option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").csv(glob)
+    """All slice files one after the other, without deduplication; columns are united by name, unreadable files skipped."""
+    return by_header(spark, glob).drop("_t", "_f")
+
+
+def slice_plan(listed: DataFrame, size: int, prefix: str | None = None) -> DataFrame:
+    """(n, slices): files of a listing, of one prefix where it is given, and the slices of ``size`` that hold them."""
+    rows = listed.where(F.col("path").contains(prefix)) if prefix else listed
+    return rows.agg(F.count("*").alias("n")).withColumn("slices", F.ceil(F.col("n") / size))
+
+
+def text_layer(files_: DataFrame, extract, pages: bool = True) -> DataFrame:
+    """(path, page, text) of documents by ``extract(bytes) -> list of page texts``: the boundary to a renderer; pages count from 1."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(path, i + 1, t) for path, content in zip(pdf["path"], pdf["content"]) for i, t in enumerate(extract(bytes(content)))]
+            yield pd.DataFrame(rows, columns=["path", "page", "text"])
+
+    out = files_.select("path", "content").mapInPandas(run, "path string, page int, text string")
+    return out if pages else out.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda p: p["text"]), "\n").alias("text"))
 
 
 def history(spark: SparkSession, path: str, schema: str) -> DataFrame:

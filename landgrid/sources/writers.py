@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +29,41 @@ def read_store(spark: SparkSession, root: str, version: int | None = None) -> Da
     return spark.read.parquet(f"{root}/v={found[-1] if version is None else version}") if found else None
 
 
-def save_store(df: DataFrame, root: str, key: str = "stem") -> int:
-    """Overlay changed rows on the last version and write the next; earlier versions stay as backups."""
+def _claimed(spark: SparkSession, root: str, version: int) -> bool:
+    """Whether this writer is the first to claim a version: a file that can be created once."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/_claims/{version}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        fs.create(path, False).close()
+        return True
+    except Py4JJavaError:
+        if fs.exists(path):
+            return False
+        raise
+
+
+def save_store(df: DataFrame, root: str, key: str = "stem", wait: float = 600.0) -> int:
+    """Overlay changed rows on the last version and write the next; earlier versions stay as backups.
+
+    A version is claimed before it is written. A writer that comes second waits until the first has
+    committed and then overlays its rows on that; a claim that isn't committed within ``wait`` seconds
+    is taken for a writer that died, and its version is passed over.
+    """
     spark = df.sparkSession
-    found = versions(spark, root)
-    new = found[-1] + 1 if found else 0
-    base = read_store(spark, root)
-    (df if base is None else overlaid(base, df, key)).write.mode("overwrite").parquet(f"{root}/v={new}")
+    dead = -1
+    while True:
+        found = versions(spark, root)
+        last = found[-1] if found else -1
+        new = max(last, dead) + 1
+        if _claimed(spark, root, new):
+            break
+        until = time.monotonic() + wait
+        while new not in versions(spark, root) and time.monotonic() < until:
+            time.sleep(min(0.2, wait))
+        if new not in versions(spark, root):
+            dead = new
+    base = read_store(spark, root, last) if last >= 0 else None
+    (df if base is None else overlaid(base, df, key)).write.parquet(f"{root}/v={new}")
     return new
 
 
@@ -56,10 +88,31 @@ def features(placed: DataFrame, *properties: str) -> DataFrame:
 
 
 def write_geojson(placed: DataFrame, root: str, *properties: str) -> None:
-    """Features as JSON lines in parallel (a FeatureCollection for map tools is their concatenation)."""
+    """Features as JSON lines in parallel, for readers that scale."""
     features(placed, *properties).write.mode("overwrite").text(root)
 
 
+def write_collection(placed: DataFrame, path: str, *properties: str) -> int:
+    """One FeatureCollection for map tools, written by the driver a partition at a time; returns the features."""
+    n = 0
+    with open(path, "w", encoding="utf-8") as out:
+        out.write('{"type":"FeatureCollection","features":[')
+        for row in features(placed, *properties).toLocalIterator():
+            out.write((",\n" if n else "\n") + row["value"])
+            n += 1
+        out.write("\n]}\n")
+    return n
+
+
+def exports(coords: DataFrame, root: str) -> None:
+    """The enrichment's outputs: dots, coordinates, failures and a log, each a projection of the resolved rows."""
+    done = F.col("lat").isNotNull()
+    write_csv(coords.where("dot_row is not null and dot_col is not null").select("stem", "dot_row", "dot_col", "x_norm", "y_norm"), f"{root}/dots")
+    write_csv(coords.where(done).select("stem", "lat", "lon", "source"), f"{root}/latlong")
+    write_csv(coords.where(~done).select("stem", F.col("source").alias("reason"), "flags"), f"{root}/failures")
+    write_csv(coords.groupBy("source").agg(F.count("*").alias("n"), F.count_if(done).alias("resolved")), f"{root}/log")
+
+
 def write_csv(df: DataFrame, root: str) -> None:
     """CSV with a header; null is ""; arrays are joined."""
     flat = df.select(*[F.array_join(c, "; ").alias(c) if t.startswith("array<string") else F.col(c) for c, t in df.dtypes])
@@ -71,6 +124,13 @@ def append(df: DataFrame, root: str) -> None:
     df.write.mode("append").json(root)
 
 
-def excel_csv(df: DataFrame, path: str, rows: int = 100_000) -> None:
-    """A small worklist with a byte order mark for spreadsheets, written by the driver."""
-    df.limit(rows).toPandas().to_csv(path, index=False, encoding="utf-8-sig")
+def excel_csv(df: DataFrame, path: str) -> int:
+    """A worklist with a byte order mark for spreadsheets: every row, fetched a partition at a time; returns the rows."""
+    n = 0
+    with open(path, "w", encoding="utf-8-sig", newline="") as out:
+        to = csv.writer(out)
+        to.writerow(df.columns)
+        for row in df.toLocalIterator():
+            to.writerow(["" if v is None else v for v in row])
+            n += 1
+    return n

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from landgrid.operators.status import newest
+from landgrid.session import shared_dir
 
 #: What each kind of event makes of a record's stage.
 EVENT_STATUS = {"signup": "pending", "view": "done", "click": "done", "purchase": "skipped", "error": "failed"}
@@ -100,8 +101,7 @@ def lifecycle(log: DataFrame) -> DataFrame:
 def settled(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Run a finite stream in update mode and return the last row of each key."""
     spark = updates.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/landgrid-shared"
-    path = f"{root.rstrip('/')}/landgrid/updates-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/landgrid/updates-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, epoch: int) -> None:
         batch.withColumn("_epoch", F.lit(epoch).cast("long")).write.mode("overwrite").parquet(f"{path}/batch{epoch}")
