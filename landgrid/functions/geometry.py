@@ -198,6 +198,19 @@ def page_order(collection_num, n_pages) -> Column:
     return F.when(third, F.concat(F.array(F.lit(3)), F.array_remove(pages, 3))).otherwise(pages)
 
 
+#: How far a crop reaches above, below and beside an anchor phrase, by era.
+CROP = {"early": (700, 1100, 450), "transition": (700, 800, 400), "mid": (600, 600, 380), "late": (380, 30, 200), "modern": (350, 50, 250)}
+
+
+def crop_around(anchor, era, page_w, page_h) -> Column:
+    """struct(x0, y0, x1, y1) around an anchor's box, within the page; null without an anchor or where nothing is left."""
+    a, tier_ = col(anchor), F.coalesce(col(era), F.lit("early"))
+    reach = lambda i: F.element_at(F.create_map(*[F.lit(x) for k, v in CROP.items() for x in (k, v[i])]), tier_)
+    x0, x1 = F.greatest(F.lit(0), a["x0"] - reach(2)), F.least(col(page_w), a["x1"] + reach(2))
+    y0, y1 = F.greatest(F.lit(0), a["y0"] - reach(0)), F.least(col(page_h), a["y1"] + reach(1))
+    return F.when((x1 > x0) & (y1 > y0), F.struct(*[v.cast("int").alias(n) for n, v in (("x0", x0), ("y0", y0), ("x1", x1), ("y1", y1))]))
+
+
 def corners_box(corners, w, h, most: int = 700, least: int = 10, span: int = 50) -> Column:
     """The box around the corner points of a small crop; null where the crop is large, the corners are few or span too little."""
     c = col(corners)

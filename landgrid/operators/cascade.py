@@ -2,7 +2,8 @@
 
 Rows: stem, section, twp, ns, rng, ew, county, dot_row, dot_col, x_norm, y_norm,
 and optionally ocr_quad, unet_quad (labels), centroid (boolean: take the section's
-centre). Grid: sect, twp, ns, rng, ew, quad, county, minx, miny, maxx, maxy.
+centre), skipped (boolean: its location stage was skipped; only the fourth pass sees it,
+where it has a dot of some dot_confidence). Grid: sect, twp, ns, rng, ew, quad, county, minx, miny, maxx, maxy.
 
 Pass 1 is one equi-join a level: the grid is folded once to a map of at most four
 directions for each (section, township, range[, quadrant]), and a row picks its
@@ -224,8 +225,33 @@ def pass3(invalid: DataFrame, grid: DataFrame) -> DataFrame:
 
 def refilled(rows: DataFrame, filled: DataFrame) -> DataFrame:
     """Rows with the survey fields that filled has for them."""
-    new = filled.select("stem", *[F.col(c).alias(f"_{c}") for c in ("twp", "ns", "rng", "ew")], *[c for c in filled.columns if c == "missing"])
-    return rows.join(new, "stem").withColumns({c: F.coalesce(f"_{c}", c) for c in ("twp", "ns", "rng", "ew")}).drop("_twp", "_ns", "_rng", "_ew")
+    own = [c for c in ("section", "twp", "ns", "rng", "ew") if c in filled.columns]
+    new = filled.select("stem", *[F.col(c).alias(f"_{c}") for c in own], *[c for c in filled.columns if c in ("missing", "tags")])
+    return rows.join(new, "stem").withColumns({c: F.coalesce(f"_{c}", c) for c in own}).drop(*[f"_{c}" for c in own])
+
+
+def by_lease(rows: DataFrame, placed: DataFrame, section: bool = False) -> DataFrame:
+    """Missing township and range (and section) of rows by what all placed rows of their lease and county agree on; stem, the
+    fields, tags. A row goes unless all that it lacks is found, or where it lacks nothing."""
+    packed = lambda n, d: F.concat(F.col(n).cast("string"), F.coalesce(d, F.lit("")))
+    known = placed.where("lease is not null").withColumns({"_t": packed("twp", "ns"), "_r": packed("rng", "ew"), "_s": F.col("section").cast("string")})
+    met = rows.join(mining.consensus(known, ["lease", "county"], ["_t", "_r", "_s"]), ["lease", "county"])
+    part = lambda c, p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
+    needs = {"sect": (F.col("section").isNull() if section else F.lit(False), "_s"), "twp": (F.col("twp").isNull(), "_t"), "rng": (F.col("rng").isNull(), "_r")}
+    for need, value in needs.values():
+        met = met.where(~need | F.col(value).isNotNull())
+    met = met.where(needs["sect"][0] | needs["twp"][0] | needs["rng"][0])
+    tags = F.array_compact(F.array(*[F.when(need, F.concat(F.lit(f"p4_{k}_inferred:"), F.col(v))) for k, (need, v) in needs.items()]))
+    lacks = lambda c, v: F.when(F.col(c).isNull(), v)
+    return met.select(
+        "stem",
+        (lacks("section", F.col("_s").try_cast("int")) if section else F.lit(None).cast("int")).alias("section"),
+        lacks("twp", part("_t", "^([0-9]+)").cast("int")).alias("twp"),
+        lacks("twp", part("_t", "([NS])$")).alias("ns"),
+        lacks("rng", part("_r", "^([0-9]+)").cast("int")).alias("rng"),
+        lacks("rng", part("_r", "([EW])$")).alias("ew"),
+        tags.alias("tags"),
+    )
 
 
 def centroids(ready: DataFrame, sections: DataFrame) -> DataFrame:
@@ -252,7 +278,8 @@ def resolve(rows: DataFrame, grid: DataFrame, materialise=written, direction_sou
     limits = materialise(mining.county_constraints(grid), "constraints") if direction_source == "constraints" else None
     sections, cells = (materialise(g, n) for g, n in zip(grid_maps(grid), ("sections", "cells")))
     centroid = F.coalesce(F.col("centroid"), F.lit(False)) if "centroid" in rows.columns else F.lit(False)
-    first = materialise(pass1(prepared(rows.where(~centroid), stats, limits), sections, cells), "pass1")
+    skipped = F.coalesce(F.col("skipped"), F.lit(False)) if "skipped" in rows.columns else F.lit(False)
+    first = materialise(pass1(prepared(rows.where(~centroid & ~skipped), stats, limits), sections, cells), "pass1")
     result = lambda df, prefix="": df.select("stem", F.concat(F.lit(prefix), "source").alias("source"), "lat", "lon", "flags")
     done = first.where("lat is not null")
     second = materialise(pass2(first.where("source = 'rds_miss'"), grid, stats), "pass2").withColumn("flags", F.array(F.col("source")))
@@ -264,22 +291,18 @@ def resolve(rows: DataFrame, grid: DataFrame, materialise=written, direction_sou
     keys = ["stem", "source", "lat", "lon", "flags", "twp", "ns", "rng", "ew", "section", "lease", "county"]
     two = second.join(base.select("stem", "twp", "ns", "rng", "ew", "section", "lease", "county"), "stem").select(keys)
     so_far = materialise(done.select(keys).unionByName(two).unionByName(third.select(keys)), "passes_1_to_3")
-    packed = lambda n, d: F.concat(F.col(n).cast("string"), F.coalesce(d, F.lit("")))
-    agreed = mining.consensus(so_far.where("lease is not null").withColumns({"_t": packed("twp", "ns"), "_r": packed("rng", "ew")}), ["lease", "county"], ["_t", "_r"])
-    left = base.join(invalid.select("stem"), "stem", "left_semi").join(so_far.select("stem"), "stem", "left_anti").join(agreed, ["lease", "county"])
-    part = lambda c, p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
-    new = left.select(
-        "stem",
-        F.when(F.col("twp").isNull(), part("_t", "^([0-9]+)").cast("int")).alias("twp"),
-        F.when(F.col("twp").isNull(), part("_t", "([NS])$")).alias("ns"),
-        F.when(F.col("rng").isNull(), part("_r", "^([0-9]+)").cast("int")).alias("rng"),
-        F.when(F.col("rng").isNull(), part("_r", "([EW])$")).alias("ew"),
-    )
-    fourth = result(materialise(pass1(prepared(refilled(base, materialise(new, "pass4")), stats, limits), sections, cells).where("lat is not null"), "pass4_placed"), "p4_")
+    waiting = base.join(invalid.select("stem"), "stem", "left_semi").join(so_far.select("stem"), "stem", "left_anti")
+    asleep = rows.where(~centroid & skipped).drop("centroid")
+    if "dot_confidence" in rows.columns:
+        asleep = asleep.where("dot_row is not null and dot_col is not null and dot_confidence > 0")
+    filled = materialise(by_lease(waiting, so_far).unionByName(by_lease(asleep, so_far, True)), "pass4")
+    again = pass1(prepared(refilled(base, filled), stats, limits), sections, cells).where("lat is not null")
+    fourth = materialise(again.select("stem", F.concat(F.lit("p4_"), "source").alias("source"), "lat", "lon", F.concat("tags", "flags").alias("flags")), "pass4_placed")
     fifth = centroids(prepared(rows.where(centroid).drop("centroid"), stats, limits), sections) if "centroid" in rows.columns else None
     placed = result(so_far).unionByName(fourth)
     if fifth is not None:
         placed = placed.unionByName(fifth)
-    rest = result(first).join(placed.select("stem"), "stem", "left_anti")
+    passed = rows.where(~centroid & skipped).select("stem", F.lit("skipped").alias("source"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.array().cast("array<string>").alias("flags"))
+    rest = result(first).unionByName(passed).join(placed.select("stem"), "stem", "left_anti")
     missed = rows.where(centroid).select("stem", F.lit("centroid_miss").alias("source"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.array().cast("array<string>").alias("flags"))
     return placed.unionByName(rest).unionByName(missed.join(placed.select("stem"), "stem", "left_anti"))

@@ -178,6 +178,63 @@ def suspects(done: DataFrame, envelopes: DataFrame, pad: float = 0.04) -> DataFr
     return met.groupBy("collection_num").agg(F.count("*").alias("n"), F.count_if(suspect("cx", "cy", "x0", "y0", "x1", "y1", pad)).alias("suspects"))
 
 
+def slice_report(wide: DataFrame, reasons: int = 8) -> DataFrame:
+    """For each stage: records, done, failed, skipped, share of done, mean confidence, and its commonest reasons of failure."""
+    rows = long_form(wide)
+    counts = rows.groupBy("stage").agg(
+        F.count("*").alias("n"),
+        *[F.count_if(F.col("status") == s).alias(s) for s in ("done", "failed", "skipped")],
+        F.avg(F.when(F.col("status") == "done", F.coalesce("confidence", F.lit(0)))).alias("avg_confidence"),
+    )
+    why = rows.where("status = 'failed'").groupBy("stage", F.coalesce("error_type", F.lit("unknown")).alias("reason")).agg(F.count("*").alias("k"))
+    ranked = why.withColumn("_r", F.row_number().over(Window.partitionBy("stage").orderBy(F.desc("k"), "reason"))).where(F.col("_r") <= reasons)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "reason", "k"))), lambda x: F.concat(x["reason"], F.lit("="), x["k"].cast("string"))), ",")
+    top = ranked.groupBy("stage").agg(text.alias("reasons"))
+    return counts.join(top, "stage", "left").withColumn("done_pct", percent(F.col("done"), F.col("n"))).withColumn("reasons", F.coalesce("reasons", F.lit("")))
+
+
+def smoke_report(wide: DataFrame) -> DataFrame:
+    """(tier, what, n): statuses by stage, bands of county score, and how many of three survey fields each era's records have."""
+    tier = fields.tier("collection_num").alias("tier")
+    stages = long_form(wide, "collection_num").groupBy(tier, F.concat_ws(" ", "stage", "status").alias("what")).agg(F.count("*").alias("n"))
+    score = fields.score("county_score")
+    band = F.when(score >= 95, "score 95+").when(score >= 86, "score 86-94").when(score >= 72, "score 72-85").otherwise("score below 72")
+    found = sum(F.col(c).isNotNull().cast("int") for c in ("section", "twp", "rng"))
+    more = [wide.groupBy(tier, x.alias("what")).agg(F.count("*").alias("n")) for x in (band, F.concat(F.lit("fields "), found.cast("string")))]
+    return stages.unionByName(more[0]).unionByName(more[1])
+
+
+def audit(wide: DataFrame) -> DataFrame:
+    """(section, name, n) of a collection audit: success rates, confidence, missing and bad survey fields, errors, score deciles, years, dots of grids, whole records."""
+    done = lambda s: status_of(s) == "done"
+    rows = long_form(wide, "year")
+    place = done("location")
+    part = lambda section, df: df.select(F.lit(section).alias("section"), F.col("name").cast("string").alias("name"), F.col("n").cast("long").alias("n"))
+    tally = lambda df, name: df.groupBy(name.alias("name")).agg(F.count("*").alias("n"))
+    ended = F.count_if(F.col("status").isin("done", "failed"))
+    rates_ = rows.groupBy(F.col("stage").alias("name")).agg(percent(F.count_if(F.col("status") == "done"), ended).alias("n"))
+    missing = wide.where(place).select(F.explode(F.array_compact(F.array(*[F.when(F.col(c).isNull(), c) for c in ("section", "twp", "rng")]))).alias("m"))
+    ok = F.coalesce(F.col("section").between(1, 36), F.lit(True)) & F.coalesce(F.col("twp").between(1, 29), F.lit(True)) & F.coalesce(F.col("rng").between(1, 28), F.lit(True))
+    whole = done("grid") & done("county") & done("dot") & place & F.col("section").isNotNull() & F.col("twp").isNotNull() & F.col("rng").isNotNull()
+    by_year = wide.groupBy(F.col("year").alias("name")).agg(percent(F.count_if(place), F.count_if(status_of("location").isin("done", "failed"))).alias("n"))
+    dots = wide.where(done("grid")).groupBy(status_of("dot").alias("name")).agg(F.count("*").alias("n"))
+    sections = {
+        "rate": rates_,
+        "confidence": tally(wide.where(place), F.floor(F.col("location_confidence") / 10) * 10),
+        "missing": tally(missing, F.col("m")),
+        "sane": tally(wide.where(place), F.when(ok, "good").otherwise("bad")),
+        "error": tally(rows.where("status = 'failed'"), F.concat_ws(" ", "stage", F.coalesce("error_type", F.lit("unknown")))),
+        "score": tally(wide.where(done("county")), F.floor(F.col("county_score") / 10) * 10),
+        "year": by_year,
+        "dot of grid": dots,
+        "whole": tally(wide, F.when(whole, "yes").otherwise("no")),
+    }
+    out = None
+    for name, df in sections.items():
+        out = part(name, df) if out is None else out.unionByName(part(name, df))
+    return out
+
+
 def markdown(df: DataFrame, title: str) -> str:
     """A report as a Markdown table: every row, fetched a partition at a time."""
     lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "--|" * len(df.columns)]

@@ -113,6 +113,14 @@ def short_county_matches(log: DataFrame) -> DataFrame:
     return by.where("longest <= 2").select("stem", "county")
 
 
+def reset_short_county(wide: DataFrame, log: DataFrame) -> DataFrame:
+    """Counties that only candidates of one or two letters gave run again."""
+    hit = short_county_matches(log).select("stem", F.lit(True).alias("_hit")).distinct()
+    met = wide.join(hit, "stem", "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
+    blank = tuple(c for c in ("county", "county_score", "county_confidence") if c in wide.columns)
+    return reset(met, F.col("_hit"), ("county",), blank).drop("_hit")
+
+
 def retry_plan(wide: DataFrame, policy: DataFrame) -> DataFrame:
     """Failed stages joined to the whole policy (stage, error_type, action, parameter); others take the action plain."""
     failed = long_form(wide).where("status = 'failed'").select("stem", "stage", "error_type")

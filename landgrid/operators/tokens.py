@@ -57,7 +57,7 @@ def keyword_boxes(tokens: DataFrame, labels: dict = LABELS, right: float = 400,
     for name, words in reversed(labels.items()):
         kind = F.when(token("t").isin(*words), name).otherwise(kind)
     found = tokens.withColumn("kind", kind).where("kind is not null")
-    return found.select(*PAGE, "pos", "kind", F.col("x0").alias("bx0"), (F.col("y0") - pad).alias("by0"), (F.col("x1") + right).alias("bx1"), (F.col("y1") + pad).alias("by1"), F.col("x1").alias("lx1"))
+    return found.select(*PAGE, "pos", "kind", F.col("x0").alias("bx0"), (F.col("y0") - pad).alias("by0"), (F.col("x1") + right).alias("bx1"), (F.col("y1") + pad).alias("by1"))
 
 
 def paired(boxes: DataFrame, least: float = LINE_OVERLAP) -> DataFrame:
@@ -103,8 +103,8 @@ def text_in(tokens: DataFrame, boxes: DataFrame, key: str = "pos") -> DataFrame:
 
 
 def first_values(tokens: DataFrame, boxes: DataFrame) -> DataFrame:
-    """(doc_id, page, section, township, range): the first number right of each kind's first label, where pairing finds none."""
-    first = boxes.groupBy(*PAGE, "kind").agg(F.min(F.struct("pos", "bx0", "by0", "bx1", "by1", "lx1")).alias("b")).select(*PAGE, "kind", "b.pos", F.col("b.lx1").alias("bx0"), "b.by0", "b.bx1", "b.by1")
+    """(doc_id, page, section, township, range): the first number after each kind's first label, where pairing finds none."""
+    first = boxes.groupBy(*PAGE, "kind").agg(F.min(F.struct("pos", "bx0", "by0", "bx1", "by1")).alias("b")).select(*PAGE, "kind", "b.*")
     said = F.trim(F.regexp_replace("text", r"^\s*\S+\s*", ""))
     letters = F.when(F.col("kind") == "township", "NS").when(F.col("kind") == "range", "EW")
     number = F.regexp_extract(said, r"([0-9]{1,3})\s*([NSEWnsew]?)", 1)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landgrid.functions import fields, geometry
-from landgrid.operators import cascade, detections, mining, reconcile, reports, sampling, status, tokens
+from landgrid.operators import cascade, detections, enrichment, mining, reconcile, reports, sampling, status, tokens
 from landgrid.plans.views import view, with_views
 from landgrid.session import shared_dir, written
 from landgrid.streaming import streams
@@ -562,21 +562,29 @@ def _(records, grid):
 _LEASE = "regexp_replace(regexp_extract(stem, '^[^_]+_(.+)_[0-9]+$', 1), '\\s+[0-9]+$', '')"
 _FLAG = "case when x_norm is null or y_norm is null then 'cell_centre_used' else '' end"
 _KEEP = "section, county, dot_row, dot_col, x_norm, y_norm"
-ALL = (
-    f"--cte open as (select * from records where not centroid), {p1_sql('open')}, {P2.replace('from records r', 'from open r')}, {P3.replace('records r', 'open r')}, "
+ASLEEP = """union all select r.* from records r where not centroid and skipped and dot_row is not null and dot_col is not null and dot_confidence > 0 and (section is null or twp is null or rng is null)"""
+
+
+def all_sql(skipped: bool = False) -> str:
+    """The whole cascade; with skipped rows, of which only the fourth pass takes those that it can complete."""
+    awake = " and not skipped" if skipped else ""
+    return (
+    f"open as (select * from records where not centroid{awake}), {p1_sql('open')}, {P2.replace('from records r', 'from open r')}, {P3.replace('records r', 'open r')}, "
     + f"rows3 as (select stem, {_KEEP}, p3.twp, coalesce(p3.ns, r.ns) ns, p3.rng, coalesce(p3.ew, r.ew) ew, missing from p3 join open r using (stem)), {p1_sql('rows3', '_3')}, "
     + f"""sofar as (
       select r.stem, p1.source, p1.lat, p1.lon, {_FLAG} flags, r.twp, r.ns, r.rng, r.ew, county from p1 join open r using (stem) where p1.lat is not null
       union all select r.stem, p2.source, p2.lat, p2.lon, p2.source, r.twp, r.ns, r.rng, r.ew, county from p2 join open r using (stem)
       union all select r.stem, 'p3_' || missing || '_' || p.source, p.lat, p.lon, {_FLAG}, r.twp, r.ns, r.rng, r.ew, county from p1_3 p join rows3 r using (stem) where p.lat is not null
-    ), lease as (select upper({_LEASE}) lease, county, min(twp || coalesce(ns, '')) t, max(twp || coalesce(ns, '')) t2, min(rng || coalesce(ew, '')) g, max(rng || coalesce(ew, '')) g2 from sofar group by all),
-    rows4 as (select stem, r.section, r.county, dot_row, dot_col, x_norm, y_norm, case when r.twp is null and t = t2 then regexp_extract(t, '^([0-9]+)', 1)::int else r.twp end twp, case when r.twp is null and t = t2 then coalesce(nullif(regexp_extract(t, '([NS])$', 1), ''), ns) else ns end ns,
-      case when r.rng is null and g = g2 then regexp_extract(g, '^([0-9]+)', 1)::int else r.rng end rng, case when r.rng is null and g = g2 then coalesce(nullif(regexp_extract(g, '([EW])$', 1), ''), ew) else ew end ew
-      from open r join p1 using (stem) join lease l on l.lease = upper({_LEASE}) and l.county = r.county where p1.source = 'bounds_invalid' and stem not in (select stem from sofar)), {p1_sql('rows4', '_4')}, """
+    ), lease as (select upper({_LEASE}) lease, county, min(twp || coalesce(ns, '')) t, max(twp || coalesce(ns, '')) t2, min(rng || coalesce(ew, '')) g, max(rng || coalesce(ew, '')) g2, min(section::varchar) s, max(section::varchar) s2 from sofar join (select stem, section from records) using (stem) group by all),
+    needy as (select r.* from open r join p1 using (stem) where p1.source = 'bounds_invalid' and stem not in (select stem from sofar) {ASLEEP if skipped else ''}),
+    rows4 as (select stem, coalesce(r.section, s::int) section, r.county, dot_row, dot_col, x_norm, y_norm, case when r.twp is null and t = t2 then regexp_extract(t, '^([0-9]+)', 1)::int else r.twp end twp, case when r.twp is null and t = t2 then coalesce(nullif(regexp_extract(t, '([NS])$', 1), ''), ns) else ns end ns,
+      case when r.rng is null and g = g2 then regexp_extract(g, '^([0-9]+)', 1)::int else r.rng end rng, case when r.rng is null and g = g2 then coalesce(nullif(regexp_extract(g, '([EW])$', 1), ''), ew) else ew end ew,
+      concat_ws('; ', case when r.section is null then 'p4_sect_inferred:' || s end, case when r.twp is null then 'p4_twp_inferred:' || t end, case when r.rng is null then 'p4_rng_inferred:' || g end) tags
+      from needy r join lease l on l.lease = upper({_LEASE}) and l.county = r.county where (r.section is not null or s = s2) and (r.twp is not null or t = t2) and (r.rng is not null or g = g2)), {p1_sql('rows4', '_4')}, """
     + f"cen as (select * from records where centroid), {p1_sql('cen', '_5')}, "
     + f"""five as (select r.stem, (b + d) / 2 lat, (a + c) / 2 lon, tn || te dir from parts_5 r join secbox_5 g on g.sect = section and g.twp = r.twp and g.rng = r.rng and g.ns = tn and g.ew = te qualify row_number() over (partition by stem order by k) = 1),
     placed as (
-      select stem, source, lat, lon, flags from sofar union all select stem, 'p4_' || p.source, p.lat, p.lon, {_FLAG} from p1_4 p join rows4 using (stem) where p.lat is not null
+      select stem, source, lat, lon, flags from sofar union all select stem, 'p4_' || p.source, p.lat, p.lon, tags || case when {_FLAG} = '' then '' else '; ' || {_FLAG} end from p1_4 p join rows4 using (stem) where p.lat is not null
       union all select stem, 'section_centroid', round(lat, 7), round(lon, 7), 'approx_section_center; direction:' || dir from five
     ), everything as (
       from placed union all select stem, source, null, null, case when source = 'rds_miss' then '' when r.twp is null then 'township_invalid:None' else 'range_invalid:None' end from p1 join open r using (stem) where stem not in (select stem from placed)
@@ -585,6 +593,9 @@ ALL = (
 )
 
 
+ALL = "--cte " + all_sql()
+
+
 @query("q_resolve_all", "stem:s source:s lat:d lon:d flags:s", "records grid", ALL + " select * from everything")
 def _(records, grid):
     """All passes of the cascade."""
@@ -625,6 +636,17 @@ def _(records, grid):
     return cascade.pass1(ready, *(written(g, "grid") for g in cascade.grid_maps(grid)))
 
 
+SLEEPY = "records as (select stem, case when location_status = 'skipped' and rec_id % 2 = 0 then null else section end section, twp, ns, rng, ew, county, dot_row, dot_col, x_norm, y_norm, centroid, location_status = 'skipped' skipped, dot_confidence from status)"
+
+
+@query("q_resolve_p4", "stem:s source:s lat:d lon:d flags:s", "status grid", f"--cte {SLEEPY}, {all_sql(True)} select * from everything where source like 'p4%'")
+def _(s, grid):
+    """Pass 4: what records lack, sections of skipped ones too, by their lease's other records."""
+    asleep = F.col("location_status") == "skipped"
+    rows = s.select("stem", F.when(~(asleep & (F.col("rec_id") % 2 == 0)), F.col("section")).alias("section"), "twp", "ns", "rng", "ew", "county", "dot_row", "dot_col", "x_norm", "y_norm", "centroid", asleep.alias("skipped"), "dot_confidence")
+    return cascade.resolve(rows, grid).where("source like 'p4%'").withColumn("flags", F.array_join("flags", "; "))
+
+
 LEASED = "(select *, regexp_replace(regexp_extract(stem, '^[^_]+_(.+)_[0-9]+$', 1), '\\s+[0-9]+$', '') lease from records)"
 
 
@@ -931,6 +953,240 @@ def _(records):
     return detections.best_grids(c)
 
 
+# --- fields without a text of their own in the tables -------------------------
+
+_CELL = "greatest(1, least(8, floor({v} * 8)::int + 1))"
+
+
+@query(
+    "q_cell_geometry", "rec_id:l row:l col:l tl_lon:d br_lat:d lat:d lon:d", "records",
+    f"""--cte p as (select rec_id, x_norm x, y_norm y, {_CELL.format(v='y_norm')} r, {_CELL.format(v='x_norm')} c from records where x_norm is not null and y_norm is not null)
+    select rec_id, r as row, c col, -98 + (c - 1) / 8e0 tl_lon, 36 - r / 8e0 br_lat, (36 - (r - 1) / 8e0) * (1 - y) + (36 - r / 8e0) * y lat, (-98 + (c - 1) / 8e0) * (1 - x) + (-98 + c / 8e0) * x lon from p""",
+)
+def _(records):
+    """Cells of positions, their corners in a section's box, and a position between corners."""
+    rows = records.where("x_norm is not null and y_norm is not null").withColumn("k", geometry.xy_to_cell("x_norm", "y_norm"))
+    rows = rows.withColumn("q", geometry.cell_corners(F.lit(-98.0), F.lit(35.0), F.lit(-97.0), F.lit(36.0), "k.row", "k.col"))
+    rows = rows.withColumn("p", geometry.interpolated("q", "x_norm", "y_norm"))
+    return rows.select("rec_id", "k.row", "k.col", F.col("q.tl.lon").alias("tl_lon"), F.col("q.br.lat").alias("br_lat"), "p.lat", "p.lon")
+
+
+NOTES = ("C SW SW", "NW NE NW", "sw se", "NE", "no quarter", "")
+
+
+@query(
+    "q_notation", "rec_id:l kind:s label:s", "records",
+    f"""--cte n as (select rec_id, upper(trim(({sql_list(NOTES)})[rec_id % {len(NOTES)} + 1])) t from records), p as (select *, list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x in ('NW', 'NE', 'SW', 'SE')) q from n)
+    select rec_id, case when regexp_matches(t, '^C\\b') and len(q) > 0 then 'center' when len(q) >= 3 then 'three_level' when len(q) = 2 then 'two_level' when len(q) = 1 then 'one_level' else '' end kind,
+      case when len(q) >= 3 then q[3] || '-' || q[2] || '-' || q[1] when len(q) = 2 then q[2] || '-' || q[1] || '-NW' end label from p""",
+)
+def _(records):
+    """Printed quarters to labels."""
+    text = F.get(F.array(*map(F.lit, NOTES)), (F.col("rec_id") % len(NOTES)).cast("int"))
+    return records.select("rec_id", geometry.notation(text).alias("x")).select("rec_id", F.col("x.type").alias("kind"), "x.label")
+
+
+WELLS = ("a salt water well", "gas well number two", "an oil  production unit", "gasoline and crude", "nothing here", "gas produced")
+
+
+@query(
+    "q_well_type", "doc_id:l by_text:s by_name:s", "",
+    f"""with {with_form_sql(WELLS)} select doc_id, case when regexp_matches(t, '(?i)\\b(salt\\s+water|saltwater|swd|disposal|injection)\\b') then 'water/disposal' when regexp_matches(t, '(?i)\\bgas\\s+(well\\b|unit\\b|prod)') then 'gas'
+      when regexp_matches(t, '(?i)\\boil\\s+(well\\b|prod)|\\bcrude\\b') then 'oil' when regexp_matches(t, '(?i)\\bgas\\b') then 'gas' when regexp_matches(t, '(?i)\\boil\\b') then 'oil' else '' end by_text,
+      case doc_id % 3 when 0 then 'water/disposal' when 1 then 'gas' else 'oil' end by_name from forms""",
+)
+def _(spark, sf_dir):
+    """Kinds of wells by their texts and by their names."""
+    name = F.get(F.array(F.lit("Smith SWD 1"), F.lit("Big Gas 2"), F.lit("Oil Creek 3")), F.pmod("doc_id", F.lit(3)).cast("int"))
+    return with_form(spark, sf_dir, WELLS).select("doc_id", fields.well_type("t", F.lit(None).cast("string")).alias("by_text"), fields.well_type("t", name).alias("by_name"))
+
+
+@query(
+    "q_small_fields", "rec_id:l ns:s ew:s tw:s base:s number:l coordinate:d site:s folder:s", "records",
+    """select rec_id, ns, ew, case when twp is null then null else coalesce(ns, 'N') end tw, 'c' || (rec_id * 0 + regexp_extract(county, '([0-9]+)', 1)::int) base, collection_num number,
+      case when section * 6e0 <= 180 then section * 6e0 end coordinate, 'C' || regexp_extract(county, '([0-9]+)', 1) site, '(' || collection_num || ')' folder from records""",
+)
+def _(records):
+    """Directions, county keys, collection numbers, coordinates and names for the site."""
+    folder = F.concat(F.lit("ExportedFolderContents ("), F.col("collection_num").cast("string"), F.lit(").zip"))
+    return records.select(
+        "rec_id", fields.norm_direction(F.lower("ns"), "NS").alias("ns"), fields.norm_direction(F.concat(F.lit(" "), "ew"), "EW").alias("ew"), fields.direction_or(F.concat(F.col("twp").cast("string"), F.coalesce("ns", F.lit(""))), "NS", "N").alias("tw"),
+        fields.county_base("county").alias("base"), fields.collection_number(folder).alias("number"), fields.coordinate((F.col("section") * 6).cast("string")).alias("coordinate"), fields.site_county(F.upper("county")).alias("site"), fields.site_collection(folder).alias("folder"),
+    )
+
+
+ANSWERS = ("Section: 14\nTownship: 5N\nRange: 9W", "Section - 77 / Township - 05 n / Range - not found", "Township: T-7-S", "I can not read it")
+
+
+@query(
+    "q_model_answer", "rec_id:l section:s township:s range:s confidence:l", "records",
+    "select rec_id, case rec_id % 4 when 0 then '14' end section, case rec_id % 4 when 0 then '5N' when 1 then '5N' end township, case rec_id % 4 when 0 then '9W' end as range, case rec_id % 4 when 0 then 75 when 1 then 33 else 0 end confidence from records",
+)
+def _(records):
+    """A model's answers read, and their confidence capped."""
+    x = enrichment.read_answer(F.get(F.array(*map(F.lit, ANSWERS)), (F.col("rec_id") % 4).cast("int")))
+    rows = records.select("rec_id", x.alias("x")).select("rec_id", "x.*")
+    n = sum(F.col(c).isNotNull().cast("int") for c in ("section", "township", "range"))
+    return rows.withColumn("confidence", enrichment.capped(n, F.lit("llm")))
+
+
+# --- what surrounds the stages -------------------------------------------------
+
+ELIGIBLE = "section is not null and twp is not null and rng is not null"
+
+
+@query("q_eligible", "stem:s enrichable:b centroid:b derivation:s agreement:s", "status", f"""select stem, not ({ELIGIBLE}) and dot_confidence > 0 enrichable, {ELIGIBLE} and dot_status = 'skipped' centroid,
+  case when latlong_lat <> '' then 'latlong_direct' when rec_id % 3 = 0 then 'not_resolved' when rec_id % 3 = 1 then 'dot_interpolation_quad' else 'dot_interpolation' end derivation,
+  case rec_id % 4 when 0 then 'agree' when 1 then 'disagree' when 2 then 'single_source' else 'none' end agreement from status""")
+def _(s):
+    """Who can be enriched or takes a section's centre, and where coordinates and quadrants came from."""
+    k = F.col("rec_id") % 4
+    quads = F.when(k < 3, "NW"), F.when(k == 0, "NW").when(k == 1, "SE")
+    lat, source = F.when(F.col("rec_id") % 3 > 0, F.lit(35.0)), F.when(F.col("rec_id") % 3 == 1, "quadrant_direct").otherwise("exact_county")
+    return s.select("stem", enrichment.enrichable_skip().alias("enrichable"), F.coalesce(enrichment.centroid_eligible(), F.lit(False)).alias("centroid"), enrichment.derivation(lat, source, F.col("latlong_lat") != "").alias("derivation"), enrichment.quadrant_meta(*quads)["agreement"].alias("agreement"))
+
+
+@query("q_run_selection", "stem:s", "records", "select stem from records where collection_num in (3, 5) and year between 1993 and 1996 order by stem limit 40")
+def _(records):
+    """The records of a run: collections, years, and how many."""
+    return enrichment.selected(records, [3, 5], (1993, 1996), 40)
+
+
+@query("q_runs", "rec_id:l run:l", "records", "--cte m as (select rec_id, case when collection_num is distinct from lag(collection_num) over (order by rec_id) then 1 else 0 end e from records) select rec_id, sum(e) over (order by rec_id) run from m")
+def _(records):
+    """Stretches of neighbouring records of one collection."""
+    return enrichment.runs(records.select("rec_id", "collection_num"), "rec_id", "collection_num")
+
+
+@query(
+    "q_slice_report", "stage:s n:l done:l failed:l skipped:l avg_confidence:d done_pct:l reasons:s", "status",
+    f"""--cte long as ({LONG}), c as (select stage, error_type, count(*) k from long where status = 'failed' group by all), w as (select *, row_number() over (partition by stage order by k desc, error_type) r from c),
+    t as (select stage, string_agg(error_type || '=' || k, ',' order by r) reasons from w where r <= 8 group by stage)
+    select stage, count(*) n, count(*) filter (status = 'done') done, count(*) filter (status = 'failed') failed, count(*) filter (status = 'skipped') skipped, avg(confidence) filter (status = 'done') avg_confidence, count(*) filter (status = 'done') * 100 // count(*) done_pct, any_value(t.reasons) reasons from long join t using (stage) group by stage""",
+)
+def _(s):
+    """Quality of each stage over all slices, with its commonest reasons."""
+    return reports.slice_report(s)
+
+
+@query(
+    "q_smoke_report", "tier:s what:s n:l", "status",
+    f"""--cte long as ({LONG}), t as (select *, case when collection_num <= 6 then 'early' when collection_num <= 8 then 'transition' when collection_num <= 10 then 'mid' when collection_num <= 12 then 'late' else 'modern' end tier from status), u as (select stem, tier from t)
+    select tier, stage || ' ' || status what, count(*) n from long join u using (stem) group by all union all select tier, case when county_score >= 95 then 'score 95+' when county_score >= 86 then 'score 86-94' when county_score >= 72 then 'score 72-85' else 'score below 72' end, count(*) from t group by all
+    union all select tier, 'fields ' || (1 + (twp is not null)::int + (rng is not null)::int), count(*) from t group by all""",
+)
+def _(s):
+    """Stages, scores and completeness by era."""
+    return reports.smoke_report(s)
+
+
+@query(
+    "q_audit", "section:s name:s n:l", "status",
+    f"""--cte long as ({LONG}), loc as (select * from status where location_status = 'done')
+    select 'rate' as section, stage as name, count(*) filter (status = 'done') * 100 // count(*) filter (status in ('done', 'failed')) n from long group by all union all select 'confidence', (location_confidence // 10 * 10)::varchar, count(*) from loc group by all
+    union all select 'missing', 'twp', count(*) from loc where twp is null having count(*) > 0 union all select 'missing', 'rng', count(*) from loc where rng is null having count(*) > 0 union all select 'sane', 'good', count(*) from loc
+    union all select 'error', stage || ' ' || error_type, count(*) from long where status = 'failed' group by all union all select 'score', (county_score // 10 * 10)::varchar, count(*) from status where county_status = 'done' group by all
+    union all select 'year', year::varchar, count(*) filter (location_status = 'done') * 100 // count(*) filter (location_status in ('done', 'failed')) from status group by all union all select 'dot of grid', dot_status, count(*) from status where grid_status = 'done' group by all
+    union all select 'whole', case when grid_status = 'done' and county_status = 'done' and dot_status = 'done' and location_status = 'done' and twp is not null and rng is not null then 'yes' else 'no' end, count(*) from status group by all""",
+)
+def _(s):
+    """An audit of collections, section by section."""
+    return reports.audit(s)
+
+
+@query("q_suspect_sweep", "collection_num:l n:l suspects:l", "records", "select collection_num, count(*) n, count(*) filter (not ((rec_id % 100) / 100e0 between 0.2e0 - 0.08e0 and 0.8e0 + 0.08e0 and (rec_id * 7 % 100) / 100e0 between 0.1e0 - 0.08e0 and 0.5e0 + 0.08e0)) suspects from records group by all")
+def _(records):
+    """Grids outside their collection's envelope."""
+    box = records.select("collection_num").distinct().select("collection_num", F.lit(0.2).alias("x0"), F.lit(0.1).alias("y0"), F.lit(0.8).alias("x1"), F.lit(0.5).alias("y1"))
+    return reports.suspects(records.withColumns({"cx": (F.col("rec_id") % 100) / 100, "cy": (F.col("rec_id") * 7 % 100) / 100}), box)
+
+
+@query("q_queue_delta", "stage:s before:l after:l delta:l", "status baseline", f"--cte a as ({LONG.replace('from status', 'from baseline')}), b as ({LONG}) select stage, x.n as before, y.n as after, y.n - x.n delta from (select stage, count(*) n from a where status = 'failed' group by all) x join (select stage, count(*) n from b where status = 'failed' group by all) y using (stage)")
+def _(s, b):
+    """Change of the failures that wait, by stage."""
+    return reports.queue_delta(*(status.long_form(x).where("status = 'failed'") for x in (b, s)))
+
+
+@query("q_hit_rate", "source:s n:l hit_rate:d", "records", "--cte p as (select 'c' || (collection_num % 3) source, sqrt(((rec_id % 10) / 100e0) ** 2 + ((rec_id % 7) / 100e0) ** 2) d from records) select source, count(*) n, avg((d <= 0.06e0)::int) hit_rate from p group by all")
+def _(records):
+    """Predictions close to the truth."""
+    zero = F.lit(0.0)
+    return reports.hit_rate(records.select(F.concat(F.lit("c"), (F.col("collection_num") % 3).cast("string")).alias("source"), ((F.col("rec_id") % 10) / 100).alias("x"), ((F.col("rec_id") % 7) / 100).alias("y"), zero.alias("true_x"), zero.alias("true_y")))
+
+
+@query("q_reset_misclassified", "stem:s grid_status:s dot_status:s", "status", "select stem, case when h then 'pending' else grid_status end grid_status, case when h then 'pending' else dot_status end dot_status from (select *, collection_num <= 6 and rec_id % 5 = 0 h from status)")
+def _(s):
+    """Early records whose form was taken for a later kind run again."""
+    return status.reset_misclassified(s.withColumn("form_type", F.when(F.col("rec_id") % 5 == 0, "MID").otherwise("T1_LARGE")))
+
+
+@query("q_reset_short_county", "stem:s county_status:s", "status", "select stem, case when rec_id % 10 = 0 then 'pending' else county_status end county_status from status")
+def _(s):
+    """Counties that only short candidates gave run again."""
+    said = F.when(F.col("rec_id") % 10 == 0, F.array(F.lit("ok"), F.lit("l"))).otherwise(F.array(F.lit("ok"), F.lit("logan")))
+    log = s.where("rec_id % 5 = 0").select("stem", "county", F.explode(said).alias("candidate"))
+    return status.reset_short_county(s, log).select("stem", F.coalesce("county_status", F.lit("")).alias("county_status"))
+
+
+@query("q_upgraded", "stem:s lat:d source:s", "records", "select stem, case when rec_id % 2 = 0 and rec_id % 3 = 0 then 35.5e0 else section * 1e0 end lat, case when rec_id % 2 = 0 and rec_id % 3 = 0 then 'printed_latlon' when rec_id % 2 = 0 then 'modern_text_section_centroid' else 'exact_county' end source from records")
+def _(records):
+    """Section centres replaced by printed coordinates."""
+    coords = records.select("stem", F.col("section").cast("double").alias("lat"), F.lit(-97.0).alias("lon"), F.when(F.col("rec_id") % 2 == 0, "modern_text_section_centroid").otherwise("exact_county").alias("source"))
+    return reconcile.upgraded(coords, records.where("rec_id % 3 = 0").select("stem", F.lit(35.5).alias("lat"), F.lit(-97.5).alias("lon")))
+
+
+@query("q_index_completion", "stem:s year:l", "records", "select stem, case when rec_id % 3 > 0 then year end as year from records")
+def _(records):
+    """An index with the listed files that it lacked."""
+    return reconcile.completed_index(records.where("rec_id % 3 > 0").select("stem", "year"), records.select("stem"))
+
+
+@query("q_confirmed", "stem:s last_at:l", "", "select user_id::varchar stem, max(event_id) last_at from events where event_type = 'purchase' group by all")
+def _(spark, sf_dir):
+    """The last confirmed decision of each record."""
+    e = parquet(spark, sf_dir, "events")
+    decision = F.when(F.col("event_type") == "purchase", "confirmed").otherwise("rejected")
+    return reconcile.confirmed(e.select(F.col("user_id").cast("string").alias("stem"), decision.alias("decision"), F.col("event_id").alias("at"))).withColumnRenamed("at", "last_at")
+
+
+_OVER = " and ".join(f"coalesce({s}_status in ('done', 'skipped', 'failed'), false)" for s in status.STAGES)
+
+
+@query("q_progress", "collection_num:l n:l finished:l not_started:l", "records status", f"--cte s as (select * from status where rec_id % 4 > 0) select r.collection_num, count(*) n, count(*) filter ({_OVER}) finished, count(*) filter (s.stem is null) not_started from records r left join s using (stem) group by all")
+def _(records, s):
+    """Progress of each collection."""
+    return reconcile.progress(records.select("stem", "collection_num"), s.where("rec_id % 4 > 0"), "collection_num")
+
+
+@query("q_shard_fold", "stem:s location_status:s", "status baseline", "select stem, case when rec_id % 2 = 0 then s.location_status else b.location_status end location_status from status s join baseline b using (stem, rec_id)")
+def _(s, b):
+    """Shards folded into their base: later rows replace whole ones."""
+    return status.merged_base_and_shards(b, [s.where("rec_id % 2 = 0")])
+
+
+@query("q_phrases", "doc_id:l pos:l px1:d", "tokens", f"--cte n as (select doc_id, pos, {NORMAL} a, x1, lead({NORMAL}) over w b, lead(x1) over w x2 from tokens window w as (partition by doc_id order by pos)) select doc_id, pos, greatest(x1, x2) px1 from n where contains(a, 'twp') and contains(b, 'e')")
+def _(t):
+    """Neighbouring tokens that hold the words."""
+    return tokens.phrases(t, ["twp", "e"])
+
+
+@query("q_campaign_fold", "stem:s source:s lat:d lon:d", "records grid", f"--cte un as (select * from records where rec_id % 4 > 0 and twp is not null and rng is not null), {p1_sql('un')}, far as (select stem, (b + d) / 2 lat, (a + c) / 2 lon from parts p join secbox g on g.sect = section and g.twp = p.twp and g.rng = p.rng and g.ns = tn and g.ew = te where stem in (select stem from p1 where lat is null) qualify row_number() over (partition by stem order by k) = 1) select stem, source, lat, lon from p1 where lat is not null union all select stem, 'section_centroid', lat, lon from far")
+def _(records, grid):
+    """A campaign's unmapped records placed by dot or section."""
+    mapped = records.where("rec_id % 4 = 0").select("stem", F.lit(35.0).alias("lat"))
+    return enrichment.folded_campaign(records.drop("centroid"), mapped, grid)
+
+
+@query("q_recover_sections", "stem:s source:s lat:d lon:d", "status grid", f"""--cte lost as (select stem, section, twp, coalesce(ns, 'N') ns, rng, coalesce(ew, 'W') ew from status where location_status = 'done' and twp is not null and rng is not null and rec_id % 3 = 0 and rec_id % 7 > 0),
+  secbox as (select sect, twp, ns, rng, ew, min(minx) a, min(miny) b, max(maxx) c, max(maxy) d from grid group by all)
+  select stem, 'recovered_section_centroid' source, (b + d) / 2 lat, (a + c) / 2 lon from lost l join secbox g on g.sect = section and g.twp = l.twp and g.ns = l.ns and g.rng = l.rng and g.ew = l.ew""")
+def _(s, grid):
+    """Sections read again from texts, and placed."""
+    said = F.concat(F.lit("Section "), F.col("section").cast("string"), F.lit(" Township "), F.col("twp").cast("string"), F.coalesce("ns", F.lit("N")), F.lit(" Range "), F.col("rng").cast("string"), F.coalesce("ew", F.lit("W")))
+    lost = s.where("rec_id % 3 = 0").withColumn("section", F.lit(None).cast("int")).withColumn("county", F.lit("nowhere"))
+    return enrichment.recovered_sections(lost, s.select("stem", said.alias("text")), s.where("rec_id % 7 = 0").select("stem", F.lit(1.0).alias("lat")), grid)
+
+
 # --- streaming ---------------------------------------------------------------
 
 

@@ -130,3 +130,143 @@ def test_split_is_a_partition(spark):
     rows = view(spark, "/root/testdata/sf0.001", "status")
     good, bad = status.split(rows)
     assert good.count() + bad.count() == rows.count() and not set(r.stem for r in good.collect()) & set(r.stem for r in bad.collect())
+
+
+def test_csv_columns_are_united_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("stem,v,w\nx,1,2\n")
+    (tmp_path / "b.csv").write_text('v,stem,z\n7,y,"9, or more"\n')
+    (tmp_path / "empty.csv").write_text("")
+    got = readers.slices(spark, str(tmp_path / "*.csv"))
+    assert sorted(tuple(r[c] or "" for c in ("stem", "v", "w", "z")) for r in got.collect()) == [("x", "1", "2", ""), ("y", "7", "", "9, or more")]
+    shards = readers.base_and_shards(spark, str(tmp_path / "a.csv"), str(tmp_path / "b.csv"), schema="stem string, v int, w string")
+    assert sorted(tuple(r) for r in shards.fillna({"w": ""}).collect()) == [("x", 1, "2"), ("y", 7, "")]
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path / "store")
+    rows = lambda *x: spark.createDataFrame(list(x), "stem string, n int")
+    writers.save_store(rows(("base", 0)), root)
+    with ThreadPoolExecutor(3) as pool:
+        saved = list(pool.map(lambda k: writers.save_store(rows((f"w{k}", k)), root), range(3)))
+    assert sorted(saved) == [1, 2, 3]
+    assert sorted(r.stem for r in writers.read_store(spark, root).collect()) == ["base", "w0", "w1", "w2"]
+
+
+def test_a_dead_writer_is_passed_over(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = lambda *x: spark.createDataFrame(list(x), "stem string, n int")
+    assert writers.save_store(rows(("a", 1)), root) == 0
+    assert writers._claimed(spark, root, 1) and not writers._claimed(spark, root, 1)
+    assert writers.save_store(rows(("b", 2)), root, wait=0.1) == 2
+    assert sorted(r.stem for r in writers.read_store(spark, root).collect()) == ["a", "b"]
+
+
+def test_reports_keep_every_row(spark, tmp_path):
+    df = spark.range(250).selectExpr("id", "concat('é|', id) as name")
+    assert reports.markdown(df, "T").count("\n") == 254
+    path = str(tmp_path / "w.csv")
+    assert writers.excel_csv(df, path) == 250
+    with open(path, "rb") as f:
+        raw = f.read()
+    assert raw.startswith(b"\xef\xbb\xbfid,name") and raw.count(b"\r\n") == 251
+    policy = spark.createDataFrame([("grid", f"e{i}", "a") for i in range(1500)], "stage string, error_type string, action string")
+    wide = spark.createDataFrame([("s", *["failed", 0, "e1499"] * 5)], "stem string, " + ", ".join(f"{s}_status string, {s}_confidence int, {s}_error_type string" for s in status.STAGES))
+    assert {r.action for r in status.retry_plan(wide, policy).collect() if r.stage == "grid"} == {"a"}
+
+
+def test_collection_and_exports(spark, tmp_path):
+    placed = spark.createDataFrame([("a", 35.0, -97.0, 1, 2, 0.5, 0.5, "exact", ["f"]), ("b", None, None, None, None, None, None, "rds_miss", [])], "stem string, lat double, lon double, dot_row int, dot_col int, x_norm double, y_norm double, source string, flags array<string>")
+    path = str(tmp_path / "map.json")
+    assert writers.write_collection(placed, path) == 1
+    with open(path) as f:
+        assert [x["properties"]["stem"] for x in json.load(f)["features"]] == ["a"]
+    writers.exports(placed, str(tmp_path / "out"))
+    count = lambda name: spark.read.option("header", "true").csv(str(tmp_path / "out" / name)).count()
+    assert (count("dots"), count("latlong"), count("failures"), count("log")) == (1, 1, 1, 2)
+
+
+def test_slices_and_text_layer(spark, tmp_path):
+    for i in range(7):
+        (tmp_path / f"{i}.pdf").write_bytes(b"one\x0ctwo")
+    listed = readers.files(spark, str(tmp_path))
+    assert tuple(readers.slice_plan(listed, 3).first()) == (7, 3)
+    raw = spark.read.format("binaryFile").load(str(tmp_path))
+    pages = readers.text_layer(raw, lambda b: b.decode().split("\x0c"))
+    assert pages.count() == 14 and {r.text for r in pages.where("page = 2").collect()} == {"two"}
+    assert {r.text for r in readers.text_layer(raw, lambda b: b.decode().split("\x0c"), pages=False).collect()} == {"one\ntwo"}
+
+
+def test_zones_crops_pages_and_corners(spark):
+    from landgrid.functions import geometry
+
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    lit = F.lit
+    grid = [lit(v) for v in (100, 300, 200, 150)]
+    assert tuple(one(geometry.zone_region(lit("right_of_grid"), lit(1000), lit(800), *grid))) == (260, 110, 1000, 490)
+    assert tuple(one(geometry.zone_region(lit("left_of_grid"), lit(1000), lit(800)))) == (0, 0, 550, 800)
+    assert tuple(one(geometry.zone_region(lit("top_header"), lit(1000), lit(800)))) == (0, 0, 1000, 336)
+    assert one(geometry.zone_region(lit("any"), lit(1000), lit(800))) is None
+    assert one(geometry.page_order(lit(12), lit(5))) == [3, 1, 2, 4, 5] and one(geometry.page_order(lit(12), lit(3))) == [1, 2, 3] and one(geometry.page_order(lit(3), lit(4))) == [1, 2, 3, 4]
+    box = F.struct(lit(500).alias("x0"), lit(500).alias("y0"), lit(600).alias("x1"), lit(520).alias("y1"))
+    assert tuple(one(geometry.crop_around(box, lit("late"), lit(1000), lit(800)))) == (300, 120, 800, 550)
+    points = F.transform(F.sequence(lit(0), lit(10)), lambda i: F.struct((i * 10).alias("x"), (i * 6).alias("y")))
+    assert tuple(one(geometry.corners_box(points, lit(700), lit(700)))) == (0, 0, 100, 60)
+    assert one(geometry.corners_box(points, lit(701), lit(700))) is None and one(geometry.corners_box(F.slice(points, 1, 9), lit(70), lit(70))) is None
+    assert one(geometry.line_density(lit(0.01), lit(0.02), lit(50), lit(50))) == 0.6 and one(geometry.line_density(lit(0.1), lit(0.2), lit(9), lit(50))) == 0.0
+
+
+def test_values_by_keyword_and_anchor(spark):
+    words = "Section: 14 of it Twp. 5 N then RGE 9W County Garfield well".split()
+    page = spark.createDataFrame([(1, 1, i, w, i * 60.0, 0.0, i * 60.0 + 50, 20.0) for i, w in enumerate(words)], "doc_id long, page int, pos int, t string, x0 double, y0 double, x1 double, y1 double")
+    boxes = tokens.keyword_boxes(page)
+    assert tuple(tokens.first_values(page, boxes).select("section", "township", "range").first()) == ("14", "5N", "9W")
+    side = tokens.by_anchor(tokens.beside(page, "county", right=1))
+    assert tuple(side.select("side", "county", "score").first()) == ("right", "Garfield", 100)
+
+
+def test_no_join_by_page_alone(spark):
+    """A page of many labels on many lines: labels meet tokens of their own lines only."""
+    n = 6000
+    page = spark.range(n).selectExpr("1 as doc_id", "1 as page", "id as pos", "case when id % 23 = 0 then 'Section:' when id % 29 = 0 then 'Twp.' when id % 31 = 0 then 'RGE' else 'w' end as t", "(id % 20) * 60.0 as x0", "(id div 20) * 40.0 as y0", "(id % 20) * 60.0 + 50 as x1", "(id div 20) * 40.0 + 20 as y1")
+    assert tokens.beside(page, "rge").count() == sum(i % 31 == 0 and i % 23 and i % 29 != 0 for i in range(n))
+    for df in (tokens.paired(tokens.keyword_boxes(page)), tokens.text_in(page, tokens.keyword_boxes(page)), tokens.value_below(page, "section")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "_band" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_other_text_fields(spark):
+    from landgrid.functions import fields
+
+    one = lambda f, *t: spark.createDataFrame([t], ", ".join(f"c{i} string" for i in range(len(t)))).select(f(*[f"c{i}" for i in range(len(t))]).alias("x")).first().x
+    assert tuple(one(fields.str_of_line, "14 T5N R9W")) == ("14", "5N", "9W") and one(fields.str_of_line, "5N 9").township is None
+    assert tuple(one(fields.printed_latlon, "well at 35.123 by 97.456")) == (35.123, -97.456)
+    assert tuple(one(fields.form_title, "Form No. 1002A\nOKLAHOMA CORPORATION\nWELL RECORD HERE")) == ("1002A", "WELL RECORD HERE")
+    assert one(fields.modern_text, "SEC 14 T5N R9W", "35003_X 1_2").county == "Alfalfa"
+    assert one(fields.text_signals, "Section 14 Township 5N Range 9W Garfield").free_win is True
+    assert one(fields.text_scan, "Garfield County, NE NW\n" + "x " * 50).county_at_top is True
+    rows = spark.createDataFrame([(" S 14", "T 5 n", "zz")], "section string, township string, county string")
+    assert tuple(fields.norm_row(rows).first()) == ("14", "5N", "Zz")
+
+
+def test_scratch_without_a_checkpoint_folder(tmp_path):
+    """In a session that names no folder: a folder of this machine on this machine alone, and nothing is set."""
+    import os
+    import subprocess
+    import sys
+
+    (tmp_path / "conf").mkdir()
+    code = """
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+from landgrid.session import release, scratch_mark, shared_dir, written
+assert not spark.conf.get("spark.checkpoint.dir", None)
+a = written(spark.range(5).toDF("id"), "a")
+mark = scratch_mark()
+b = written(a, "b")
+assert b.count() == 5 and release(spark, mark) == 1 and a.count() == 5 and release(spark) == 1
+spark.sparkContext.setCheckpointDir(%r)
+assert "checkpoints" in shared_dir(spark)
+""" % str(tmp_path / "checkpoints")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), timeout=200, env=os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf")})
