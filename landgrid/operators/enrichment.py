@@ -80,11 +80,10 @@ def recovered_sections(status: DataFrame, texts: DataFrame, mapped: DataFrame, g
     """Located records without a section, extracted again from their texts (stem, text) and placed at the section's centre."""
     lost = status.where((F.col("location_status") == "done") & ~_said("section") & _said("twp") & _said("rng") & _said("county"))
     lost = lost.join(mapped.where("lat is not null").select("stem"), "stem", "left_anti")
-    found = texts.join(lost.select("stem", "county"), "stem").select("stem", "county", fields.str_of_text("text").alias("x"))
+    found = written(texts.join(lost.select("stem", "county"), "stem").select("stem", "county", fields.str_of_text("text").alias("x")), "read_again")
     t, r = fields.parsed("x.township", "NS"), fields.parsed("x.range", "EW")
     rows = found.select("stem", "county", F.col("x.section").cast("int").alias("section"), t["num"].alias("twp"), t["dir"].alias("ns"), r["num"].alias("rng"), r["dir"].alias("ew"))
-    rows = written(rows.where("section is not null and twp is not null and rng is not null"), "recovered")
-    return _centres(rows, grid, "recovered_section_centroid")
+    return _centres(rows.where("section is not null and twp is not null and rng is not null"), grid, "recovered_section_centroid")
 
 
 def folded_campaign(shard: DataFrame, mapped: DataFrame, grid: DataFrame) -> DataFrame:

@@ -82,9 +82,16 @@ def holdout(df: DataFrame, source: str, key: str, fraction: float = 0.1, only: t
 
 
 def windowed_count(events: DataFrame, ts: str, seconds: int = 60, *keys: str) -> DataFrame:
-    """Add in_window: events of the last seconds, this one included."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).cast("timestamp").cast("long")).rangeBetween(-seconds, 0)
-    return events.withColumn("in_window", F.count("*").over(w))
+    """Add in_window: events of the last seconds, this one included, of the same keys; without keys, of all.
+
+    Work is dealt by stretch of time besides, so neither one key nor none puts all rows in a task: each event is seen
+    in its own stretch and, as a helper, in the next.
+    """
+    at = F.col(ts).cast("timestamp").cast("long")
+    stretch = F.floor(at / (16 * seconds))
+    rows = events.select(F.struct(*events.columns).alias("_row"), at.alias("_at"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.explode(F.array(F.struct(stretch.alias("s"), F.lit(True).alias("own")), F.struct((stretch + 1).alias("s"), F.lit(False).alias("own")))).alias("_x"))
+    w = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))], "_x.s").orderBy("_at").rangeBetween(-seconds, 0)
+    return rows.withColumn("in_window", F.count("*").over(w)).where("_x.own").select("_row.*", "in_window")
 
 
 def review_pack(status: DataFrame, years: tuple[int, int], n: int, key: str, seed: int = 13) -> DataFrame:

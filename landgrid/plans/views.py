@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landgrid.session import is_scratch, written
+
 DIALECT = {"spark": {"div": "div", "s": "string", "grid_rows": "range(276480)"}, "duckdb": {"div": "//", "s": "varchar", "grid_rows": "range(276480) g(id)"}}
 
 
@@ -107,12 +109,19 @@ def text(name: str, dialect: str = "duckdb") -> str:
     return VIEWS[name].format(**words)
 
 
+_grids: dict[str, DataFrame] = {}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view as a DataFrame. The land grid, a dimension of fixed size that no table holds here, is made once a session."""
+    """A view as a DataFrame. The land grid, a dimension of fixed size that no table holds here, is written once a session."""
     sql = text(name, "spark")
+    if name == "grid":
+        app = spark.sparkContext.applicationId
+        if app not in _grids or not is_scratch(_grids[app]):
+            _grids[app] = written(spark.sql(sql), "grid")
+        return _grids[app]
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "documents") if f"{{{t}}}" in sql}
-    df = spark.sql(sql, **tables)
-    return df.persist() if name == "grid" else df
+    return spark.sql(sql, **tables)
 
 
 def with_views(sql: str, *names: str) -> str:

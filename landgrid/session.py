@@ -70,6 +70,11 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return out
 
 
+def is_scratch(df: DataFrame) -> bool:
+    """Whether df is a scratch table that hasn't been deleted."""
+    return getattr(df, "_scratch", None) in _scratch
+
+
 def scratch_mark() -> int:
     """How many scratch tables there are, for ``release(since=...)``."""
     return len(_scratch)

@@ -270,3 +270,12 @@ spark.sparkContext.setCheckpointDir(%r)
 assert "checkpoints" in shared_dir(spark)
 """ % str(tmp_path / "checkpoints")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), timeout=200, env=os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf")})
+
+
+def test_counts_of_the_last_seconds_without_keys(spark):
+    from landgrid.operators import sampling
+
+    rows = [(i, (i * i * 7) % 400) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, s long").withColumn("ts", F.timestamp_seconds("s"))
+    got = {r.id: r.in_window for r in sampling.windowed_count(df, "ts", 5).collect()}
+    assert got == {i: sum(t - 5 <= u <= t for _, u in rows) for i, t in rows}
