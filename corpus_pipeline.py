@@ -3,6 +3,13 @@
 Quality classifier, quality rules, near duplicates, mixing by source, packing.
 Each stage works on all that the one before it kept and returns the columns of
 documents; the last returns pieces with their places in sequences.
+
+Defined results: null and empty texts fail the base rule of the second stage (or the
+classifier before it) and go; null ids stay as rows of their own; of rows that share an
+id those with different texts count as different documents; repeated rows of one id and
+text are one document; null languages and sources are values of their own; very long
+texts pass whole; an empty table gives no rows; other columns of documents, whatever
+their names, pass through unread up to the last stage.
 """
 
 from __future__ import annotations

@@ -636,19 +636,20 @@ def keep_one(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     repeats are told apart by their sets, and by their texts where those are empty; equal ones are one row.
     """
     found = written(placed(docs, scheme), "duplicates")
-    gone = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    gone = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias("id")).distinct(), "gone")
     few = gone.count() <= BROADCAST_ROWS
-    kept = docs.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    often = written(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_often")), "repeated")
+    same = F.col("d.doc_id") == F.col("o.id")
+    kept = docs.alias("d").join((F.broadcast(gone) if few else gone).alias("o"), same, "left_anti")
+    often = written(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("id")), "repeated")
     if not often.limit(1).count():
         return kept
-    again = F.col("doc_id") == F.col("_often")
-    first = found.where("component_id = doc_id and node is not null").join(often, again, "left_semi").groupBy("comp", "doc_id").agg(F.min("node").alias("_first"))
-    first = written(first.select(F.col("doc_id").alias("_id"), "_first"), "first")
-    rows = docs.join(often, again, "left_semi").withColumn("_node", _node_of(scheme)("text"))
-    chosen = rows.join(first, (F.col("doc_id") == F.col("_id")) & (F.col("_node") == F.col("_first")), "left_semi").dropDuplicates(["doc_id", "_node"])
-    empty = rows.where("_node is null").dropDuplicates(["doc_id", "text"])
-    return kept.join(often, again, "left_anti").unionByName(chosen.drop("_node")).unionByName(empty.drop("_node"))
+    first = found.alias("d").where("component_id = doc_id and node is not null").join(often.alias("o"), same, "left_semi").groupBy("comp", "doc_id").agg(F.min("node").alias("first"))
+    first = written(first.select(F.col("doc_id").alias("id"), "first"), "first")
+    row = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.alias("d").join(often.alias("o"), same, "left_semi").select(row, "doc_id", "text", _node_of(scheme)("text").alias("node"))
+    chosen = rows.alias("d").join(first.alias("o"), same & (F.col("d.node") == F.col("o.first")), "left_semi").dropDuplicates(["doc_id", "node"])
+    empty = rows.where("node is null").dropDuplicates(["doc_id", "text"])
+    return kept.join(often.alias("o"), same, "left_anti").unionByName(chosen.select("row.*")).unionByName(empty.select("row.*"))
 
 
 ORACLE = r"""

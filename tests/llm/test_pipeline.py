@@ -42,3 +42,38 @@ def test_run_is_repeatable_and_releases(spark):
     a = sorted(corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect())
     assert a and a == sorted(corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect())
     assert release(spark) > 0
+
+
+def test_edges(spark, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated ids and rows, columns with the operators' own names."""
+    from pyspark.sql import functions as F
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    extra = ["_row", "node", "key", "total", "features", "label", "_gone", "size", "row", "id"]
+    wide = docs.select("*", *[F.when(F.lit(True), i).alias(c) for i, c in enumerate(extra)])
+    good = docs.where("n_chars between 800 and 4000").orderBy("doc_id").limit(2).collect()
+    tail = list(range(len(extra)))
+    odd = [
+        (None, None, None, None, None, *[None] * len(extra)),
+        (None, good[0].text + " and a last line of words of its own", "en", None, 1, *tail),
+        (10**9, "", "en", "web", 0, *tail),
+        (10**9 + 1, good[0].text.replace(" ", "  "), None, None, 1, *tail),
+        (10**9 + 2, good[1].text, "en", "web", 1, *tail),
+        (10**9 + 2, " ".join(f"word{i} {'of the' if i % 3 else 'and'}" for i in range(60_000)), "en", "web", 1, *tail),
+        (10**9 + 3, None, "en", "web", None, *tail),
+        *[(10**9 + 4, good[0].text, "en", "web", 1, *tail)] * 3,
+    ]
+    all_ = wide.unionByName(spark.createDataFrame(odd, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide.schema)))
+    for name, df in (("odd", all_), ("none", all_.limit(0))):
+        root = str(tmp_path / name)
+        df.repartition(3).write.parquet(f"{root}/documents.parquet")
+        table(spark, "/root/testdata/sf0.001", "labels").write.parquet(f"{root}/labels.parquet")
+        kept = table(spark, root, "documents")
+        for stage_name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = written(stage(spark, kept, root), "edge")
+            assert kept.columns == wide.columns, stage_name
+            if stage_name == "n-gram Jaccard join":
+                rows = [(r.doc_id, r.text) for r in kept.collect()]
+                assert len([r for r in rows if r[0] == 10**9 + 4]) <= 1 and (None, None) not in rows and (10**9, "") not in rows
+        out = corpus_pipeline.STAGES[-1][1](spark, kept, root)
+        assert (out.count() > 0) == (name == "odd")
