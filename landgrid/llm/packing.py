@@ -24,6 +24,7 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from landgrid.llm.common import written
 
 WINDOW = 4096
 END_ID = 2
-#: Entries of a worker's memo of chunk -> ids; it is emptied when full.
+#: Entries of a worker's memo of chunk -> ids, over two generations.
 MEMO = 600_000
 #: Bytes of text that are split at a time.
 SPLIT_BYTES = 1 << 20
@@ -47,9 +48,26 @@ SALTS = 64
 PIECE_FIELDS = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
 
 
-#: Chunks of Latin letters, perhaps with punctuation at the end: two units of the word pattern, apart by definition.
-_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+#: A line of Latin letters, perhaps with punctuation at the end (two units of the word pattern, apart by definition), or any other.
+_LINE = re.compile("^(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)|.+)$", re.M)
 WORD_END = "</w>"
+#: Words put into one call of the tokenizer.
+CALL = 1024
+#: Every letter of ``_LINE`` in lower case: what ``_bare`` is tried on.
+_PROBE = "abcdefghijklmnopqrstuvwxyz word packing " + " ".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+
+
+def _bare(tokenizer):
+    """The tokenizer's model behind a split at white space, for lower-case words of letters alone: no normalising, no pattern.
+
+    The tokenizer itself where the two differ on such words.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    bare = Tokenizer(tokenizer.model)
+    bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    same = bare.encode(_PROBE, add_special_tokens=False).ids == tokenizer.encode(_PROBE, add_special_tokens=False).ids
+    return bare if same else tokenizer
 
 
 class Encoder:
@@ -59,7 +77,9 @@ class Encoder:
     is encoded once: right for tokenizers that drop white space and never join
     what it separates. Chunks of letters and closing punctuation are put together
     from their two parts; new words are encoded in one call and told apart by the
-    ids that end a word.
+    ids that end a word. A memo of two generations keeps what texts still use:
+    when the younger is full it becomes the elder, whose chunks come back as they
+    are met. What is kept never changes the ids.
     """
 
     def __init__(self, path: str, chunked: bool = True):
@@ -67,66 +87,68 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.chunked = Tokenizer.from_file(path), chunked
-        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        self.bare = _bare(self.tokenizer)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.clear()
-
-    def clear(self) -> None:
         self.memo: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {"": b""}
+        self.elder: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.batch(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], by=None) -> list[bytes]:
+        by = by or self.tokenizer
+        return [np.array(e.ids, "<u4").tobytes() for e in getattr(by, "encode_batch_fast", by.encode_batch)(texts, add_special_tokens=False)]
 
-    def _learn_words(self, new: list[str]) -> None:
+    def _words(self, new: list[str]) -> dict[str, bytes]:
         """Words of letters alone: each ends with the one id that ends a word."""
-        for a in range(0, len(new), 4096):
-            part = new[a : a + 4096]
-            ids = np.array(self.batch([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part) or cuts[-1] != len(ids):
-                self.words.update(zip(part, self._encode(part)))
+        found = {}
+        for a in range(0, len(new), CALL):
+            part = new[a : a + CALL]
+            flat = self._encode([" ".join(part)], self.bare)[0]
+            cuts = 4 * (np.flatnonzero(self.ends[np.frombuffer(flat, "<u4")]) + 1)
+            if len(cuts) != len(part) or cuts[-1] != len(flat):
+                found.update(zip(part, self._encode(part)))
                 continue
-            flat = ids.tobytes()
-            at = 0
-            for word, end in zip(part, (4 * cuts).tolist()):
-                self.words[word] = flat[at:end]
-                at = end
-
-    def _learn(self, new: set[bytes]) -> None:
-        plain, other, parts = [], [], []
-        for chunk in new:
-            m = _PLAIN.fullmatch(chunk)
-            if m:
-                plain.append(chunk)
-                parts.append((m[1].decode().lower(), m[2].decode()))
-            else:
-                other.append(chunk)
+            ends = cuts.tolist()
+            found.update(zip(part, [flat[i:j] for i, j in zip([0, *ends], ends)]))
+        return found
+
+    def _learn(self, new: list[bytes]) -> None:
+        parts = [(w.lower(), t) for w, t in _LINE.findall(b"\n".join(new).decode())]
         words = self.words
-        self._learn_words(list({w for w, _ in parts if w not in words}))
-        tails = [t for t in {t for _, t in parts} if t not in words]
-        words.update(zip(tails, self._encode(tails)))
-        self.memo.update((chunk, words[w] + words[t]) for chunk, (w, t) in zip(plain, parts))
+        words.update(self._words(list({w for w, _ in parts if w}.difference(words))))
+        tails = list({t for _, t in parts})
+        tail = dict(zip(tails, self._encode(tails)))
+        self.memo.update(zip(new, [words[w] + tail[t] if w else b"" for w, t in parts]))
+        other = [c for c, (w, _) in zip(new, parts) if not w]
         self.memo.update(zip(other, self._encode([c.decode() for c in other])))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.chunked:
             return self._encode([t.decode() for t in texts])
         split = [t.split() for t in texts]
-        if len(self.memo) + len(self.words) > MEMO:
-            self.clear()
+        if len(self.memo) > MEMO // 2:
+            self.memo, self.elder, self.words = {}, self.memo, {}
         new: set[bytes] = set()
         for chunks in split:
             new.update(chunks)
         new.difference_update(self.memo)
+        known = [c for c in new if c in self.elder]
+        if known:
+            self.memo.update(zip(known, map(self.elder.__getitem__, known)))
+            new.difference_update(known)
         if new:
-            self._learn(new)
+            self._learn(list(new))
         get = self.memo.__getitem__
         return [b"".join(map(get, chunks)) for chunks in split]
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str, chunked: bool) -> Encoder:
+    """The encoder that a worker keeps from task to task."""
+    return Encoder(path, chunked)
+
+
 def _by_size(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     at = held = 0
     for i, t in enumerate(texts):
@@ -144,7 +166,7 @@ def pieces(docs: DataFrame, text_col: str, tokenizer: str, window: int = WINDOW,
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer, chunked)
+        encode = encoder(tokenizer, chunked)
         for batch in batches:
             texts = [t or b"" for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
             rows, starts, lengths, sums, totals = [], [], [], [], []

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from landgrid.llm import packing
 from landgrid.llm.packing import CapacityTree, best_fit_plan, default_tokenizer, pack_documents
 
 
@@ -106,3 +107,22 @@ def test_query(spark):
     a = op7_packing(spark, sf).collect()
     check(a, docs, 4096)
     assert sorted(a) == sorted(op7_packing(spark, sf).collect())
+
+
+def test_a_kept_encoder_gives_the_same_ids_whatever_it_has_forgotten(monkeypatch):
+    """Words in several cases, accents, decomposed letters, look-alike letters, marks and ids of a full memo."""
+    from tokenizers import Tokenizer
+
+    texts = [
+        "Straße STRASSE Ünï, naïve... café Éa! Kelvin Ångström İstanbul ΣΑΣ don't it's a'b",
+        "word word, Word; WORD) x<|endoftext|> <|startoftext|> 12ab ab12 ß÷× ÿ Ÿ  a\u0085b\x1cc",
+        " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}q," for i in range(900)),
+    ]
+    whole = Tokenizer.from_file(packing.default_tokenizer())
+    expected = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    monkeypatch.setattr(packing, "MEMO", 50)
+    kept = packing.Encoder(packing.default_tokenizer())
+    for _ in range(3):
+        for t, ids in zip(texts, expected):
+            assert kept([t.encode()]) == [ids]
+    assert len(kept.elder) > 0
