@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Limits of a grid candidate, and of its width by era.
 MOST_OF_IMAGE, LEAST_DENSITY, LEAST_SIDE = 0.92, 0.15, 50
 ASPECT = (0.6, 1.7)
 WIDTH_CAP = {"early": 565}
+LEAST_CONTOUR, LEAST_RECT_SIDE = 2500, 10
 #: Dot thresholds by era, and by default.
 DOT_THRESHOLD = {"early": 0.52, "transition": 0.48, "mid": 0.35, "late": 0.28, "modern": 0.26}
 DOT_DEFAULT, DOT_LEAST_AREA = 0.40, 8
@@ -57,6 +58,17 @@ def largest_quads(contours: DataFrame) -> DataFrame:
     return ok.groupBy("stem", "page").agg(F.max_by(F.struct("x", "y", "w", "h"), F.col("w") * F.col("h")).alias("box"))
 
 
+def rotated_grids(contours: DataFrame) -> DataFrame:
+    """The box of each page's contour (stem, page, area, rect_w, rect_h, x, y, w, h) with the largest turned rectangle.
+
+    rect_w and rect_h are the sides of the least rectangle at any angle, x to h the upright box. Small contours and thin
+    rectangles don't count; of equal rectangles the one furthest up, then furthest left, is taken.
+    """
+    ok = contours.where((F.col("area") >= LEAST_CONTOUR) & (F.col("rect_w") > LEAST_RECT_SIDE) & (F.col("rect_h") > LEAST_RECT_SIDE))
+    first = F.struct(F.col("rect_w") * F.col("rect_h"), -F.col("y"), -F.col("x"), F.col("w") * F.col("h"))
+    return ok.groupBy("stem", "page").agg(F.max_by(F.struct("x", "y", "w", "h"), first).alias("box"))
+
+
 def dots(peaks: DataFrame) -> DataFrame:
     """The strongest peak of each record (stem, tier, x, y, area, strength) that passes its era's threshold."""
     limit = F.lit(DOT_DEFAULT)
@@ -70,13 +82,18 @@ def recognised(pages: DataFrame, cache: DataFrame, recognise: Callable[[Iterator
     """Recognition with a content-addressed cache: (hash, text) of pages that it lacks, to be appended.
 
     pages: (content binary). ``recognise`` maps batches of (hash, content) to the
-    schema; only content that no row of the cache has reaches it, once.
+    schema; only content that no row of the cache has a text for reaches it, once.
     """
     hashed = pages.select(F.sha2("content", 256).alias("hash"), "content")
-    missing = hashed.join(cache.select("hash"), "hash", "left_anti").dropDuplicates(["hash"])
+    missing = hashed.join(cache.where("text is not null").select("hash"), "hash", "left_anti").dropDuplicates(["hash"])
     return missing.mapInPandas(recognise, schema).where("text <> ''")
 
 
+def evicted(cache: DataFrame, days: int = 60, now: Column | None = None) -> DataFrame:
+    """The cache without rows last used (used_at) longer ago than that, or at no known time."""
+    return cache.where(F.col("used_at") >= (F.current_timestamp() if now is None else now) - F.make_interval(days=F.lit(days)))
+
+
 def stub(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A deterministic stand-in for a recogniser: content read as UTF-8."""
     for pdf in batches:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,6 +98,42 @@ def change_log(rows: DataFrame, log: DataFrame, columns: list[str]) -> DataFrame
     return last_changes(log).join(old, ["stem", "field"]).where("not (old <=> new)").select("stem", "field", "old", "new", "issue")
 
 
+SURVEY = ["section", "twp", "ns", "rng", "ew", "quad"]
+
+
+def reapplied(rows: DataFrame, log: DataFrame, resolve: Callable[[DataFrame], DataFrame], survey: list[str] = SURVEY, other: tuple[str, ...] = ("county",)) -> DataFrame:
+    """Mapped rows (stem, survey fields, county, lat, lon, resolution) after the changes, with coordinates to match, and note.
+
+    lat and lon of the log win; one that the log lacks is the row's, and without it the override is ignored. Else rows
+    whose survey fields change go to ``resolve`` (rows -> stem, lat, lon, source), and those that it doesn't place keep
+    their coordinates, marked "+needs-coord-rerun". note: human_latlong, latlong_incomplete, reresolved, needs_rerun,
+    fields_updated, no_change; null for rows that the log doesn't name. corrected tells whether anything changed.
+    Changes of no use (values that don't parse, fields that rows don't have) are none; county alone doesn't re-resolve.
+    """
+    fields_ = [c for c in (*survey, *other) if c in rows.columns]
+    types = dict(rows.dtypes)
+    wide = last_changes(log).groupBy("stem").pivot("field", [*fields_, "lat", "lon"]).agg(F.first("new"))
+    new = wide.select("stem", F.lit(True).alias("_named"), *[F.col(c).try_cast(types[c]).alias(f"_{c}") for c in fields_], *[fields.coordinate(c).alias(f"_{c}") for c in ("lat", "lon")])
+    differs = lambda names: reduce(lambda a, b: a | b, [F.col(f"_{c}").isNotNull() & ~F.col(f"_{c}").eqNullSafe(F.col(c)) for c in names], F.lit(False))
+    met = rows.join(new, "stem", "left").withColumns({"_any": differs(fields_), "_moved": differs([c for c in survey if c in fields_])})
+    met = met.withColumns({c: F.coalesce(f"_{c}", c) for c in fields_})
+    met = met.withColumn("_given", F.col("_lat").isNotNull() | F.col("_lon").isNotNull())
+    met = met.withColumns({f"_{c}": F.coalesce(f"_{c}", c) for c in ("lat", "lon")})
+    # the join is by stem and only rows to resolve take part in it
+    again = F.col("_moved") & ~F.col("_given")
+    found = resolve(met.where(again).select(*rows.columns)).where("lat is not null and lon is not null")
+    found = found.select("stem", F.struct("lat", "lon", "source").alias("_found"))
+    met = met.join(found, "stem", "left")
+    whole = F.col("_given") & F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
+    placed = again & F.col("_found").isNotNull()
+    note = F.when(whole, "human_latlong").when(F.col("_given"), "latlong_incomplete").when(placed, "reresolved").when(again, "needs_rerun").when(F.col("_any"), "fields_updated").when(F.col("_named"), "no_change")
+    at = lambda c: F.when(whole, F.round(F.col(f"_{c}"), 7)).when(placed, F.round(F.col(f"_found.{c}"), 7)).otherwise(F.col(c))
+    source = F.when(whole, "human_latlong").when(placed, F.col("_found.source")).when(again, F.concat(F.coalesce("resolution", F.lit("")), F.lit("+needs-coord-rerun"))).otherwise(F.col("resolution"))
+    result = {"lat": at("lat"), "lon": at("lon"), "resolution": source, "note": note, "corrected": F.coalesce(F.col("_any") | whole, F.lit(False))}
+    kept = [c for c in rows.columns if c not in result]
+    return met.select(*kept, *[v.alias(k) for k, v in result.items()])
+
+
 def upgraded(coords: DataFrame, printed: DataFrame, source: str = "modern_text_section_centroid") -> DataFrame:
     """Coordinates of one source replaced by printed ones where there are any."""
     p = printed.select("stem", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))

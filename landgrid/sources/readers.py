@@ -142,6 +142,43 @@ def metadata(spark: SparkSession, root: str) -> DataFrame:
     return df.select("source.*", *[stage(s, f) for s in ("latlong", "grid", "location", "county", "dot") for f in ("status", "confidence", "method")])
 
 
+#: The stages of a metadata.json and the fields read of each.
+STRUCTURES = """source struct<pdf_stem:string,collection:string,year:string,month:string>, stages struct<
+    grid:struct<detected:boolean,method:string,form_type:string,grid_zone:string,bbox:array<double>,page:int,anchor_phrase:string,confidence:double,
+        str_zone:string,county_format_hint:string,str_strategy_hint:string,_elapsed:double>,
+    location:struct<detected:boolean,section:string,township:string,range:string,confidence:double,raw_text:string,error:string,_elapsed:double>,
+    county:struct<detected:boolean,name:string,method:string,fuzzy_score:double,_elapsed:double>,
+    dot:struct<detected:boolean,row:int,col:int,x_norm:double,y_norm:double,threshold:double,confidence:double,_elapsed:double>>"""
+
+
+def structures(spark: SparkSession, root: str, collection: str | None = None) -> DataFrame:
+    """Form structures, 41 columns a record, from the metadata.json files below root, or below its folders "*_<collection>*".
+
+    Blank and absent values are null; files that hold neither source nor stages, or no JSON, go. A box is read by its
+    corners, or as corner, width and height where the last two do not exceed the first.
+    """
+    read = spark.read.schema(STRUCTURES).option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "metadata.json")
+    df = read.json(f"{root}/*_{collection}*" if collection else root).where("source is not null or stages is not null")
+    text = lambda c: F.nullif(F.trim(c), F.lit(""))
+    grid, location, county, dot = (F.col(f"stages.{s}") for s in ("grid", "location", "county", "dot"))
+    at = [F.get(grid["bbox"], i) for i in range(4)]
+    side = lambda low, high: F.when(high - low > 0, high - low).otherwise(high)
+    width, height = F.when(at[0].isNotNull(), side(at[0], at[2])), F.when(at[1].isNotNull(), side(at[1], at[3]))
+    has = lambda c: text(c).isNotNull()
+    seconds = lambda s: F.round(F.coalesce(s["_elapsed"], F.lit(0.0)), 1)
+    columns = {c: text(F.col(f"source.{c}")) for c in ("pdf_stem", "collection", "year", "month")}
+    columns |= {"grid_detected": grid["detected"], "grid_method": text(grid["method"])} | {c: text(grid[c]) for c in ("form_type", "grid_zone")}
+    columns |= {"grid_x": at[0], "grid_y": at[1], "grid_w": width, "grid_h": height}
+    columns |= {"grid_ar": F.when((width != 0) & (height != 0), F.round(width / height, 3)), "grid_page": grid["page"], "anchor_phrase": text(grid["anchor_phrase"]), "grid_confidence": grid["confidence"]}
+    columns |= {c: text(grid[c]) for c in ("str_zone", "county_format_hint", "str_strategy_hint")}
+    columns |= {"loc_detected": location["detected"]} | {f"has_{c}": has(location[c]) for c in ("section", "township", "range")}
+    columns |= {"loc_confidence": location["confidence"], "loc_raw_len": F.coalesce(F.char_length(location["raw_text"]), F.lit(0)), "loc_error": text(location["error"])}
+    columns |= {"county_detected": county["detected"], "county_name": text(county["name"]), "county_method": text(county["method"]), "county_score": county["fuzzy_score"]}
+    columns |= {f"dot_{c}": dot[c] for c in ("detected", "row", "col", "x_norm", "y_norm", "threshold", "confidence")}
+    columns |= {"grid_s": seconds(grid), "loc_s": seconds(location), "county_s": seconds(county), "dot_s": seconds(dot)}
+    return df.select(*[v.alias(k) for k, v in columns.items()])
+
+
 GEOJSON = "type string, features array<struct<type:string,geometry:struct<type:string,coordinates:array<double>>,properties:map<string,string>>>"
 
 

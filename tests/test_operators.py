@@ -279,3 +279,66 @@ def test_counts_of_the_last_seconds_without_keys(spark):
     df = spark.createDataFrame(rows, "id long, s long").withColumn("ts", F.timestamp_seconds("s"))
     got = {r.id: r.in_window for r in sampling.windowed_count(df, "ts", 5).collect()}
     assert got == {i: sum(t - 5 <= u <= t for _, u in rows) for i, t in rows}
+
+
+def test_corrections_place_anew(spark):
+    """An override wins, half an override takes the row's other half, moved rows are resolved, the unplaced are marked."""
+    rows = spark.createDataFrame(
+        [(s, 1, 5, "N", 3, "W", "NE", "Kay", 35.0, -97.0, "exact_county") for s in "abcdefgh"] + [("i", 1, 5, "N", 3, "W", "NE", "Kay", None, None, None)],
+        "stem string, section int, twp int, ns string, rng int, ew string, quad string, county string, lat double, lon double, resolution string",
+    )
+    log = [("a", "section", "9", 1), ("a", "section", "2", 2), ("b", "section", "99", 1), ("c", "county", "Alfalfa", 1), ("d", "section", "1", 1), ("e", "lat", "35.5", 1), ("e", "lon", "-97.5", 1)]
+    log += [("e", "section", "2", 9), ("f", "lon", "-98.25", 1), ("g", "section", "two", 1), ("i", "lat", "35.5", 1)]
+    seen = []
+
+    def resolve(moved):
+        seen.extend(r.stem for r in moved.collect())
+        return moved.select("stem", F.when(F.col("section") <= 36, 36.0).alias("lat"), F.lit(-99.0).alias("lon"), F.lit("quadrant_direct").alias("source"))
+
+    got = {r.stem: r for r in reconcile.reapplied(rows, spark.createDataFrame(log, "stem string, field string, new string, issue int"), resolve).collect()}
+    assert sorted(seen) == ["a", "b"]
+    view = {k: (r.section, r.lat, r.lon, r.resolution, r.note, r.corrected) for k, r in got.items()}
+    assert view == {
+        "a": (2, 36.0, -99.0, "quadrant_direct", "reresolved", True),
+        "b": (99, 35.0, -97.0, "exact_county+needs-coord-rerun", "needs_rerun", True),
+        "c": (1, 35.0, -97.0, "exact_county", "fields_updated", True),
+        "d": (1, 35.0, -97.0, "exact_county", "no_change", False),
+        "e": (2, 35.5, -97.5, "human_latlong", "human_latlong", True),
+        "f": (1, 35.0, -98.25, "human_latlong", "human_latlong", True),
+        "g": (1, 35.0, -97.0, "exact_county", "no_change", False),
+        "h": (1, 35.0, -97.0, "exact_county", None, False),
+        "i": (1, None, None, None, "latlong_incomplete", False),
+    }
+    assert got["c"].county == "Alfalfa"
+
+
+def test_structures(spark, tmp_path):
+    """41 columns; boxes of both conventions; blanks, other collections and broken files."""
+    made = {
+        "Box_3/s1": {"source": {"pdf_stem": "s1", "year": "1911"}, "stages": {"grid": {"detected": True, "bbox": [10, 20, 110, 70], "page": 1, "method": "", "_elapsed": 1.26}, "location": {"section": " 4 ", "range": " ", "raw_text": "abc"}, "dot": {"row": 3}}},
+        "Box_3/s2": {"source": {"pdf_stem": "s2"}, "stages": {"grid": {"bbox": [300, 400, 100, 50]}, "county": None}},
+        "Box_4/s3": {"source": {"pdf_stem": "s3"}},
+    }
+    for name, content in made.items():
+        (tmp_path / name).mkdir(parents=True)
+        (tmp_path / name / "metadata.json").write_text(json.dumps(content))
+    (tmp_path / "Box_3" / "metadata.json").write_text('{"source": {"pdf_')
+    df = readers.structures(spark, str(tmp_path))
+    assert len(df.columns) == len(set(df.columns)) == 41
+    got = {r.pdf_stem: r for r in df.collect()}
+    assert sorted(got) == ["s1", "s2", "s3"]
+    r = got["s1"]
+    assert (r.grid_w, r.grid_h, r.grid_ar, r.grid_method, r.grid_s, r.has_section, r.has_range, r.loc_raw_len, r.dot_row, r.county_name) == (100, 50, 2.0, None, 1.3, True, False, 3, 3, None)
+    assert (got["s2"].grid_x, got["s2"].grid_w, got["s2"].grid_h, got["s2"].grid_ar) == (300, 100, 50, 2.0)
+    assert (got["s3"].grid_ar, got["s3"].loc_raw_len, got["s3"].dot_s) == (None, 0, 0.0)
+    assert {r.pdf_stem for r in readers.structures(spark, str(tmp_path), "3").collect()} == {"s1", "s2"}
+
+
+def test_rotated_grids_and_cache_age(spark):
+    found = spark.createDataFrame(
+        [("a", 1, 2400.0, 900.0, 900.0, 0, 0, 9, 9), ("a", 1, 2500.0, 100.0, 50.0, 5, 6, 110, 60), ("a", 1, 2600.0, 99.0, 50.0, 1, 1, 120, 70), ("a", 1, 9000.0, 900.0, 10.0, 2, 2, 900, 10), ("b", 1, 10.0, 99.0, 99.0, 0, 0, 9, 9)],
+        "stem string, page int, area double, rect_w double, rect_h double, x int, y int, w int, h int",
+    )
+    assert [(r.stem, *r.box) for r in detections.rotated_grids(found).collect()] == [("a", 5, 6, 110, 60)]
+    cache = spark.sql("select * from values ('a', timestamp'2024-03-01'), ('b', timestamp'2024-01-01'), ('c', timestamp'2023-12-31 23:59:59'), ('d', null) as t(hash, used_at)")
+    assert sorted(r.hash for r in detections.evicted(cache, 60, F.lit("2024-03-01").cast("timestamp")).collect()) == ["a", "b"]
