@@ -765,6 +765,28 @@ def _(records):
     return reconcile.change_log(records.select("stem", "twp", "rng"), _changes(records), ["twp", "rng"])
 
 
+PLACED = "select stem, field, new, issue from " + CHANGES + " union all select stem, 'lat', '35.25', rec_id + 2 from records where rec_id % 150 = 0 union all select stem, 'lon', '-97.5', rec_id + 2 from records where rec_id % 210 = 0"
+
+
+@query(
+    "q_corrections_resolve", "stem:s twp:l rng:l lat:d lon:d resolution:s note:s corrected:b", "records grid",
+    f"""--cte log as ({PLACED}), l as (select stem, max_by(new, issue) filter (field = 'twp')::int t, max_by(new, issue) filter (field = 'rng')::int g, max(new) filter (field = 'lat')::double la, max(new) filter (field = 'lon')::double lo from log group by stem),
+    now as (select r.* replace (coalesce(t, twp) as twp, coalesce(g, rng) as rng), la, lo, l.stem is not null named, coalesce(t is distinct from twp and t is not null, false) or coalesce(g is distinct from rng and g is not null, false) moved,
+      case when rec_id % 3 > 0 then 35.0e0 end olat, case when rec_id % 3 > 0 then -97.0e0 end olon, coalesce(la, olat) nlat, coalesce(lo, olon) nlon, la is not null or lo is not null given from records r left join l using (stem)),
+    movers as (select * exclude (la, lo, named, moved, olat, olon, nlat, nlon, given) from now where moved and not given),
+    {p1_sql("movers", "c")}, x as (select now.*, p.lat plat, p.lon plon, p.source, case when given and nlat is not null and nlon is not null then 'human_latlong' when given then 'latlong_incomplete' when moved and p.lat is not null then 'reresolved' when moved then 'needs_rerun' when named then 'no_change' end note from now left join p1c p using (stem))
+    select stem, twp, rng, case note when 'human_latlong' then nlat when 'reresolved' then plat else olat end lat, case note when 'human_latlong' then nlon when 'reresolved' then plon else olon end lon,
+      case note when 'human_latlong' then note when 'reresolved' then source when 'needs_rerun' then 'map+needs-coord-rerun' else 'map' end resolution, note, moved or coalesce(note = 'human_latlong', false) corrected from x""",
+)
+def _(records, grid):
+    """Corrected records with the coordinates of their new fields or of the override."""
+    extra = lambda field, k, new: records.where(F.col("rec_id") % k == 0).select("stem", F.lit(field).alias("field"), F.lit(new).alias("new"), (F.col("rec_id") + 2).alias("issue"))
+    log = _changes(records).unionByName(extra("lat", 150, "35.25")).unionByName(extra("lon", 210, "-97.5"))
+    known = lambda v: F.when(F.col("rec_id") % 3 > 0, F.lit(v))
+    rows = records.withColumns({"lat": known(35.0), "lon": known(-97.0), "resolution": F.lit("map")})
+    return reconcile.reapplied(rows, log, lambda moved: first_pass(moved.drop("lat", "lon", "resolution"), grid))
+
+
 @query("q_missing_objects", "stem:s key:s", "records", "select stem, concat_ws('/', 'pdf', collection_num, year, stem || '.pdf') as key from records where rec_id % 9 = 0")
 def _(records):
     """Records without a stored object and their keys."""
