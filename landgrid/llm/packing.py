@@ -36,7 +36,7 @@ from landgrid.llm.common import written
 
 WINDOW = 4096
 END_ID = 2
-#: Entries of a worker's memo of chunk -> ids, over two generations.
+#: Chunks of a worker's memo (chunk -> ids), over two generations; the younger one's words come on top.
 MEMO = 600_000
 #: Bytes of text that are split at a time.
 SPLIT_BYTES = 1 << 20
