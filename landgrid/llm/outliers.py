@@ -209,10 +209,13 @@ def judged(stats: DataFrame, names: DataFrame, estimates: DataFrame, cutoff: flo
 
 
 def keep_passing(docs: DataFrame, cutoff: float = CUTOFF, least: int = LEAST) -> DataFrame:
-    """The rows of docs that are kept, with all their columns; texts are read twice and never shuffled."""
-    tables = estimated(written(counted(docs.select("text", "lang", "source")), "counts"), least)
+    """The rows of docs that are kept, with all their columns; texts are counted once and never shuffled.
+
+    The rows that pass the base rule are written beside their counts, so that the estimates read the counts' columns alone.
+    """
     rows = counted(docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source"))
-    return judged(rows, *tables, cutoff).where("kept").select("_row.*")
+    passed = written(rows.where(~F.col("base_failed")), "passed")
+    return judged(passed, *estimated(passed, least), cutoff).where("kept").select("_row.*")
 
 
 def quality_counts(spark, sf_dir: str) -> DataFrame:
