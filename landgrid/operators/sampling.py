@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 #: A hash that other engines can work out too: a linear step modulo a prime.
 PRIME, STEP = 1000003, 7919
@@ -81,15 +82,28 @@ def holdout(df: DataFrame, source: str, key: str, fraction: float = 0.1, only: t
     return ranked.withColumn("split", F.when(out, "holdout").otherwise("train")).drop("_r", "_n")
 
 
+def whole_seconds(df: DataFrame, ts: str) -> Column:
+    """Seconds since 1970 of a column of times, rounded as SQL casts a double to a whole number: halves to the even one."""
+    if isinstance(df.select(ts).schema[0].dataType, TimestampNTZType):
+        since = (F.col(ts) - F.lit("1970-01-01").cast("timestamp_ntz")).cast("interval second").cast("decimal(20, 6)")
+        micros = (since * 1000000).cast("long")
+    else:
+        micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    return F.rint(micros / F.lit(1e6)).cast("long")
+
+
 def windowed_count(events: DataFrame, ts: str, seconds: int = 60, *keys: str) -> DataFrame:
     """Add in_window: events of the last seconds, this one included, of the same keys; without keys, of all.
 
-    Work is dealt by stretch of time besides, so neither one key nor none puts all rows in a task: each event is seen
-    in its own stretch and, as a helper, in the next.
+    Times are rounded to whole seconds, halves to the even one; those without a time zone are read as UTC, so no change
+    of clocks moves them. Events without a time count one another. Work is dealt by stretch of time besides, so neither
+    one key nor none puts all rows in a task: each event is seen in its own stretch and, as a helper, in the next.
     """
-    at = F.col(ts).cast("timestamp").cast("long")
+    at = whole_seconds(events, ts)
     stretch = F.floor(at / (16 * seconds))
-    rows = events.select(F.struct(*events.columns).alias("_row"), at.alias("_at"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.explode(F.array(F.struct(stretch.alias("s"), F.lit(True).alias("own")), F.struct((stretch + 1).alias("s"), F.lit(False).alias("own")))).alias("_x"))
+    own, helper = F.struct(stretch.alias("s"), F.lit(True).alias("own")), F.struct((stretch + 1).alias("s"), F.lit(False).alias("own"))
+    seen = F.explode(F.when(at.isNull(), F.array(own)).otherwise(F.array(own, helper)))
+    rows = events.select(F.struct(*events.columns).alias("_row"), at.alias("_at"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], seen.alias("_x"))
     w = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))], "_x.s").orderBy("_at").rangeBetween(-seconds, 0)
     return rows.withColumn("in_window", F.count("*").over(w)).where("_x.own").select("_row.*", "in_window")
 

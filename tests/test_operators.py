@@ -4,6 +4,7 @@ import json
 import zipfile
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from landgrid.operators import detections, reconcile, reports, status, tokens
@@ -281,6 +282,24 @@ def test_counts_of_the_last_seconds_without_keys(spark):
     assert got == {i: sum(t - 5 <= u <= t for _, u in rows) for i, t in rows}
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_rate_window_rounds_times_as_its_sql(spark, tmp_path, zone):
+    """Halves of seconds at the window's edge, before 1970 too, no time, no user, a change of clocks: as the SQL counts them."""
+    times = ["2024-01-01 00:00:00.5", "2024-01-01 01:00:00.5", "2024-01-01 01:00:01.499999", "2024-01-01 01:00:01.5", "1969-12-31 22:59:58.5", "1969-12-31 23:59:58.6", "2024-03-10 01:30:00", "2024-03-10 02:29:00", "2024-03-10 03:29:00", None, None]
+    con = duckdb.connect()
+    con.execute("create table events (event_id bigint, ts timestamp, user_id bigint)")
+    con.executemany("insert into events values (?, ?, ?)", [(100 * u + i, t, u or None) for u in range(3) for i, t in enumerate(times[u:])])
+    con.execute(f"copy events to '{tmp_path}/events.parquet' (format parquet)")
+    want = dict(con.execute(catalog.ORACLES["q_rate_window"]).fetchall())
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = {r.event_id: r.in_window for r in catalog.QUERIES["q_rate_window"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == want and len(want) == 30
+
+
 def test_corrections_place_anew(spark):
     """An override wins, half an override takes the row's other half, moved rows are resolved, the unplaced are marked."""
     rows = spark.createDataFrame(
